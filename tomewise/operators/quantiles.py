@@ -9,7 +9,7 @@ and order only inside the buckets that hold a wanted rank.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -48,26 +48,30 @@ def exact_quantiles(
     return out
 
 
-def _by_buckets(df: DataFrame, c: str, probs: Sequence[float], n: int) -> list[float]:
-    counts = cut(df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n")), "counts")
+def values_at_ranks(df: DataFrame, c: str, ranks: Iterable[int]) -> dict[int, object]:
+    """The values at the given 0-based ranks of a numeric column without nulls."""
+    counts = cut(df.groupBy(c).agg(F.count("*").alias("n")), "counts")
     edges = counts.agg(
-        F.percentile_approx(c, [i / BUCKETS for i in range(1, BUCKETS)], F.lit(10 * BUCKETS))
+        F.percentile_approx(
+            F.col(c).cast("double"), [i / BUCKETS for i in range(1, BUCKETS)], F.lit(10 * BUCKETS)
+        )
     ).first()[0]
     splits = [-math.inf, *sorted(set(edges)), math.inf]
-    bucketed = Bucketizer(inputCol=c, outputCol="bucket", splits=splits).transform(counts)
+    bucketed = Bucketizer(inputCol="x", outputCol="bucket", splits=splits).transform(
+        counts.withColumn("x", F.col(c).cast("double"))
+    )
     totals = dict(bucketed.groupBy("bucket").agg(F.sum("n")).collect())
 
-    ranks = {int(f(p * (n - 1))) for p in probs for f in (math.floor, math.ceil)}
     start, targets, offsets = 0, [], []
     for bucket in sorted(totals):
-        inside = [r for r in ranks if start <= r < start + totals[bucket]]
+        inside = [r for r in set(ranks) if start <= r < start + totals[bucket]]
         if inside:
             offsets.append((bucket, start))
             targets += [(bucket, r) for r in inside]
         start += totals[bucket]
 
     spark = df.sparkSession
-    # at most one row per bucket, and two per probability
+    # at most one row per bucket, and one per rank
     offset = F.broadcast(spark.createDataFrame(offsets, "bucket double, below long"))
     target = F.broadcast(spark.createDataFrame(targets, "bucket double, rank long"))
     running = Window.partitionBy("bucket").orderBy(c)
@@ -77,7 +81,12 @@ def _by_buckets(df: DataFrame, c: str, probs: Sequence[float], n: int) -> list[f
     hit = ranked.join(target, "bucket").where(
         (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
     )
-    at = {r["rank"]: r[c] for r in hit.select("rank", c).collect()}
+    return {r["rank"]: r[c] for r in hit.select("rank", c).collect()}
+
+
+def _by_buckets(df: DataFrame, c: str, probs: Sequence[float], n: int) -> list[float]:
+    ranks = {int(f(p * (n - 1))) for p in probs for f in (math.floor, math.ceil)}
+    at = values_at_ranks(df.where(F.col(c).isNotNull()), c, ranks)
 
     def value(p: float) -> float:
         pos = p * (n - 1)

@@ -303,59 +303,56 @@ def _table_matrix(table: pa.Table) -> np.ndarray:
 
 
 # ------------------------------------------------------------- neighbour aggregates
-def rating_stats(neighbours: DataFrame, prefix: str = "k20_", rated: bool = True) -> DataFrame:
-    """Rating mean, deviation and median, and similarities, over each query's neighbours.
-    The rows are already partitioned by query, so this needs no further shuffle."""
+# Each function gives aggregate columns over ranked neighbour rows, so that any mix of them
+# takes one group-by; the rows come partitioned by query, so it needs no shuffle.
+def rating_stats(prefix: str = "k20_", rated: bool = True) -> list[Column]:
+    """Rating mean, deviation and median, and similarities, over all neighbours. Without
+    ratings everything but the highest similarity is 0."""
+    stats = {
+        "mean_similar_rating": F.avg("rating"),
+        "std_similar_rating": F.stddev_pop("rating"),
+        "median_similar_rating": F.median("rating"),
+        "max_similarity": F.max("similarity"),
+        "mean_similarity": F.avg("similarity"),
+    }
     if not rated:
-        zeros = [
-            F.lit(0.0).alias(prefix + n)
-            for n in ("mean_similar_rating", "std_similar_rating", "median_similar_rating")
-        ]
-        return neighbours.groupBy("book_id").agg(
-            *zeros,
-            F.max("similarity").alias(prefix + "max_similarity"),
-            F.lit(0.0).alias(prefix + "mean_similarity"),
-        )
-    return neighbours.groupBy("book_id").agg(
-        F.avg("rating").alias(prefix + "mean_similar_rating"),
-        F.stddev_pop("rating").alias(prefix + "std_similar_rating"),
-        F.median("rating").alias(prefix + "median_similar_rating"),
-        F.max("similarity").alias(prefix + "max_similarity"),
-        F.avg("similarity").alias(prefix + "mean_similarity"),
-    )
+        stats = {n: c if n == "max_similarity" else F.lit(0.0) for n, c in stats.items()}
+    return [c.alias(prefix + n) for n, c in stats.items()]
 
 
-def multiscale(
-    neighbours: DataFrame, mean_rating: float | None, scales: tuple[int, ...] = (5, 10, 20)
-) -> DataFrame:
+def multiscale(mean_rating: float | None, scales: tuple[int, ...] = (5, 10, 20)) -> list[Column]:
     """Similarity-weighted rating, mean and highest similarity for several k at once. Where
     the similarities do not sum to more than 0 the overall mean rating stands in."""
     sums: list[Column] = []
     for k in scales:
-        near = F.col("rn") <= k
-        weight = F.sum(F.when(near, F.col("similarity")))
-        weighted = F.sum(F.when(near, F.col("similarity") * F.col("rating")))
+        similarity = F.when(F.col("rn") <= k, F.col("similarity"))
+        weight, weighted = F.sum(similarity), F.sum(similarity * F.col("rating"))
         sums += [
             F.when(weight > 0, weighted / weight)
             .otherwise(F.lit(mean_rating).cast("double"))
             .alias(f"weighted_similar_rating_k{k}"),
-            F.avg(F.when(near, F.col("similarity"))).alias(f"mean_similarity_k{k}"),
-            F.max(F.when(near, F.col("similarity"))).alias(f"max_similarity_k{k}"),
+            F.avg(similarity).alias(f"mean_similarity_k{k}"),
+            F.max(similarity).alias(f"max_similarity_k{k}"),
         ]
-    return neighbours.groupBy("book_id").agg(*sums)
-
-
-def rating_distribution(neighbours: DataFrame, k: int = 10, prefix: str = "s10_") -> DataFrame:
-    near = neighbours.where(F.col("rn") <= k).groupBy("book_id")
-    quartiles = F.percentile("rating", F.lit([0.25, 0.75]))
-    return near.agg(
-        F.avg("rating").alias(prefix + "mean_similar_rating"),
-        F.median("rating").alias(prefix + "median_similar_rating"),
-        F.stddev_pop("rating").alias(prefix + "std_similar_rating"),
-        quartiles[0].alias(prefix + "similar_rating_q25"),
-        quartiles[1].alias(prefix + "similar_rating_q75"),
-        (F.max("rating") - F.min("rating")).alias(prefix + "similar_rating_range"),
-    )
+    return sums
+
+
+def rating_distribution(k: int = 10, prefix: str = "s10_") -> list[Column]:
+    rating = F.when(F.col("rn") <= k, F.col("rating"))
+    quartiles = F.percentile(rating, F.lit([0.25, 0.75]))
+    stats = {
+        "mean_similar_rating": F.avg(rating),
+        "median_similar_rating": F.median(rating),
+        "std_similar_rating": F.stddev_pop(rating),
+        "similar_rating_q25": quartiles[0],
+        "similar_rating_q75": quartiles[1],
+        "similar_rating_range": F.max(rating) - F.min(rating),
+    }
+    return [c.alias(prefix + n) for n, c in stats.items()]
+
+
+def aggregate(neighbours: DataFrame, *groups: list[Column]) -> DataFrame:
+    return neighbours.groupBy("book_id").agg(*[c for group in groups for c in group])
 
 
 # ------------------------------------------------------------------------- sampling
