@@ -116,7 +116,8 @@ def fit_quantile_transform(
 def _grid(
     values: Sequence[float], shares: Sequence[float]
 ) -> tuple[list[float], list[float], list[float]]:
-    v = np.maximum.accumulate(np.array(values, dtype=float))
+    # twelve digits: interpolation noise must not split one repeated value into several
+    v = np.maximum.accumulate(np.array([float(f"{x:.12g}") for x in values]))
     distinct, start, count = np.unique(v, return_index=True, return_counts=True)
     share = np.array(shares[: len(v)])
     return (
