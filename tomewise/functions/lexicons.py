@@ -12,6 +12,16 @@ WS = (
 )
 NOT_WS = WS.replace("[", "[^", 1)
 NOT_WORD_SPACE_DOT = WS.replace("[", r"[^\p{L}\p{N}_.", 1)
+# The same white space, character by character.
+WS_CHARS = "".join(
+    map(
+        chr,
+        [
+            *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+            0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+        ],
+    )
+)
 NOT_UPPER = (
     r"[^\p{Lu}\x{2160}-\x{216f}\x{24b6}-\x{24cf}"
     r"\x{1f130}-\x{1f149}\x{1f150}-\x{1f169}\x{1f170}-\x{1f189}]"

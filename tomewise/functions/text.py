@@ -28,13 +28,18 @@ def n_chars(x: Column) -> Column:
     return F.length(x)
 
 
+def plain_spaces(x: Column) -> Column:
+    """Every kind of white space as a plain blank, so that simple patterns do afterwards."""
+    return F.translate(x, lx.WS_CHARS, " " * len(lx.WS_CHARS))
+
+
 def n_words(x: Column) -> Column:
-    return F.regexp_count(x, F.lit(lx.NOT_WS + "+"))
+    return F.regexp_count(plain_spaces(x), F.lit("[^ ]+"))
 
 
 def words(x: Column) -> Column:
     """White-space separated words; never yields empty strings."""
-    return F.array_remove(F.split(x, lx.WS + "+"), "")
+    return F.array_remove(F.split(plain_spaces(x), " "), "")
 
 
 def n_distinct_words(x: Column) -> Column:
@@ -42,7 +47,7 @@ def n_distinct_words(x: Column) -> Column:
 
 
 def avg_word_length(x: Column) -> Column:
-    letters = F.length(F.regexp_replace(x, lx.WS + "+", ""))
+    letters = F.length(F.replace(plain_spaces(x), F.lit(" "), F.lit("")))
     return F.coalesce(F.try_divide(letters.cast("double"), n_words(x)), F.lit(0.0))
 
 
@@ -116,8 +121,8 @@ def readability(x: Column) -> Column:
     Pieces are what splitting on sentence ends yields, a trailing empty one included.
     """
     pieces = F.regexp_count(x, F.lit(lx.SENTENCE_END)) + 1
-    score = avg_word_length(x) + n_words(x) / pieces / 10
-    return F.when(n_words(x) > 0, score).otherwise(0.0)
+    # no words: the first term is 0 already, and so is the second
+    return avg_word_length(x) + n_words(x) / pieces / 10
 
 
 def sentiment(x: Column) -> Column:
@@ -169,10 +174,9 @@ def estimated_age_title(title: str | Column = "title") -> Column:
 
 
 def book_text() -> Column:
-    joined = F.concat(text("title"), F.lit(". "), text("description"))
-    stripped = F.regexp_replace(joined, f"^{lx.WS}+|{lx.WS}+$", "")
-    plain = F.regexp_replace(stripped, lx.NOT_WORD_SPACE_DOT, " ")
-    return F.regexp_replace(plain, lx.WS + "+", " ")
+    joined = plain_spaces(F.concat(text("title"), F.lit(". "), text("description")))
+    plain = F.regexp_replace(F.trim(joined), r"[^\p{L}\p{N}_. ]", " ")
+    return F.regexp_replace(plain, " {2,}", " ")
 
 
 def text_quality(x: Column) -> dict[str, Column]:

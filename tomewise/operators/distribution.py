@@ -128,13 +128,12 @@ def _grid(
 
 
 # ------------------------------------------------------------------- Yeo-Johnson
-def yeo_johnson(x: Column, lam: float) -> Column:
-    up = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1, F.lit(lam)) - 1) / lam
-    if abs(lam - 2) < 1e-12:
-        down = -F.log1p(-x)
-    else:
-        down = -(F.pow(1 - x, F.lit(2 - lam)) - 1) / (2 - lam)
-    return F.when(x >= 0, up).otherwise(down)
+def yeo_johnson(x: Column, lam: Column | float) -> Column:
+    lam = lam if isinstance(lam, Column) else F.lit(float(lam))
+    rest = 2 - lam
+    up = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / lam)
+    down = F.when(F.abs(rest) < 1e-12, F.log1p(-x)).otherwise((F.pow(1 - x, rest) - 1) / rest)
+    return F.when(x >= 0, up).otherwise(-down)
 
 
 def yeo_johnson_inverse(z: Column, lam: float) -> Column:
@@ -146,18 +145,21 @@ def yeo_johnson_inverse(z: Column, lam: float) -> Column:
     return F.when(z >= 0, up).otherwise(down)
 
 
-def log_likelihoods(df: DataFrame, column: str, lambdas: Sequence[float]) -> list[float | None]:
-    """Log-likelihood of every candidate, all from one aggregate."""
-    x = F.col(column)
-    signed = F.signum(x) * F.log1p(F.abs(x))
-    sums = [F.count(x).alias("n"), F.sum(signed).alias("s")]
-    sums += [F.var_pop(yeo_johnson(x, lam)).alias(f"v{i}") for i, lam in enumerate(lambdas)]
-    row = df.agg(*sums).first()
-    out = []
-    for i, lam in enumerate(lambdas):
-        v = row[f"v{i}"]
-        out.append(-row.n / 2 * float(np.log(v)) + (lam - 1) * row.s if v else None)
-    return out
+def log_likelihoods(df: DataFrame, column: str, lambdas: Sequence[float]) -> DataFrame:
+    """(lambda, log_likelihood) of every candidate, all from one pass. Every row meets every
+    candidate inside its task; only one partial sum per candidate leaves it."""
+    x, lam = F.col("x"), F.col("lambda")
+    pairs = df.where(F.col(column).isNotNull()).select(
+        F.col(column).cast("double").alias("x"),
+        F.explode(F.lit(np.array(lambdas, dtype=float))).alias("lambda"),
+    )
+    sums = pairs.groupBy("lambda").agg(
+        F.count("*").alias("n"),
+        F.var_pop(yeo_johnson(x, lam)).alias("v"),
+        F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"),
+    )
+    value = -F.col("n") / 2 * F.log("v") + (lam - 1) * F.col("s")
+    return sums.select("lambda", F.when(F.col("v") > 0, value).alias("log_likelihood"))
 
 
 @dataclass(frozen=True)
@@ -179,12 +181,12 @@ def fit_power_transform(
     """Best lambda by a grid that is refined around its best point, one aggregate a round."""
     best = 1.0
     for _ in range(rounds):
-        grid = np.linspace(low, high, 21).tolist()
-        scored = [(s, lam) for s, lam in zip(log_likelihoods(df, column, grid), grid) if s is not None]
-        if not scored:
+        grid = np.linspace(low, high, 21)
+        scored = log_likelihoods(df, column, grid).where(F.col("log_likelihood").isNotNull())
+        top = scored.agg(F.max_by("lambda", "log_likelihood")).first()[0]
+        if top is None:
             break
-        best = max(scored)[1]
-        step = (high - low) / 20
+        best, step = float(top), (high - low) / 20
         low, high = best - step, best + step
     z = yeo_johnson(F.col(column), best)
     row = df.agg(F.avg(z).alias("m"), F.stddev_pop(z).alias("s")).first()

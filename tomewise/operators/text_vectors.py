@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel, NGram, StopWordsRemover
+from pyspark.ml.feature import (
+    CountVectorizerModel,
+    ElementwiseProduct,
+    NGram,
+    Normalizer,
+    StopWordsRemover,
+)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
@@ -31,23 +38,34 @@ def terms(df: DataFrame, source: Column, stop_words: Sequence[str]) -> DataFrame
 
 
 def term_statistics(
-    df: DataFrame, source: Column, stop_words: Sequence[str], min_df: int
+    df: DataFrame, sources: Mapping[str, Column], stop_words: Sequence[str], min_df: int
 ) -> DataFrame:
-    """Per term: total count and number of rows with it. Each row emits its terms once for
-    the count and its distinct terms once for the rows, so a single shuffle on the term,
-    with partial sums before it, gives both."""
-    counted = F.transform(
-        "terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))
-    )
-    present = F.transform(
-        F.array_distinct("terms"),
-        lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-    )
-    marks = terms(df, source, stop_words).select(F.inline(F.concat(counted, present)))
-    totals = marks.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    """Per source and term: total count and number of rows with it.
+
+    Each row emits its terms once for the count and its distinct terms once for the rows, so
+    one pass and one shuffle on the term, with partial sums before it, give everything.
+    """
+    tagged = df.select(*[c.alias(f"src_{name}") for name, c in sources.items()])
+    marks = []
+    for name in sources:
+        tagged = terms(tagged, F.col(f"src_{name}"), stop_words)
+        tagged = tagged.withColumnRenamed("terms", f"terms_{name}")
+        for column, tf, n in (
+            (F.col(f"terms_{name}"), 1, 0),
+            (F.array_distinct(f"terms_{name}"), 0, 1),
+        ):
+            marks.append(F.transform(column, _mark(name, tf, n)))
+    seen = tagged.select(F.inline(F.concat(*marks)))
+    totals = seen.groupBy("source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     return totals.where(F.col("df") >= min_df)
 
 
+def _mark(name: str, tf: int, n: int):
+    return lambda t: F.struct(
+        F.lit(name).alias("source"), t.alias("term"), F.lit(tf).alias("tf"), F.lit(n).alias("df")
+    )
+
+
 @dataclass(frozen=True)
 class TfIdf:
     """Vocabulary in alphabetical order, with its smoothed inverse document frequencies."""
@@ -63,25 +81,20 @@ class TfIdf:
 
     def transform(self, df: DataFrame, source: Column, output: str = "tfidf") -> DataFrame:
         """Adds the weights as array<double> with Euclidean length 1 (or all 0)."""
-        counter = CountVectorizerModel.from_vocabulary(
-            self.vocabulary, inputCol="terms", outputCol="counts"
-        )
-        counted = counter.transform(terms(df, source, self.stop_words))
-        weights = F.zip_with(
-            vector_to_array("counts"), F.lit(np.array(self.idf)), lambda n, w: n * w
-        )
-        norm = F.sqrt(F.aggregate("weights", F.lit(0.0), lambda s, w: s + w * w))
-        return (
-            counted.withColumn("weights", weights)
-            .withColumn("norm", norm)
-            .withColumn(
-                output,
-                F.transform(
-                    "weights",
-                    lambda w: F.when(F.col("norm") > 0, w / F.col("norm")).otherwise(0.0),
-                ),
-            )
-            .drop("terms", "counts", "weights", "norm")
+        steps = [
+            CountVectorizerModel.from_vocabulary(
+                self.vocabulary, inputCol="terms", outputCol="counts"
+            ),
+            ElementwiseProduct(
+                inputCol="counts", outputCol="weights", scalingVec=Vectors.dense(self.idf)
+            ),
+            Normalizer(inputCol="weights", outputCol="unit", p=2.0),
+        ]
+        out = terms(df, source, self.stop_words)
+        for step in steps:
+            out = step.transform(out)
+        return out.withColumn(output, vector_to_array("unit")).drop(
+            "terms", "counts", "weights", "unit"
         )
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
@@ -98,22 +111,23 @@ class TfIdf:
 
 def fit_tfidf(
     df: DataFrame,
-    source: Column,
-    size: int,
+    sources: Mapping[str, tuple[Column, int]],
     min_df: int = lx.MIN_DOC_FREQ,
     stop_words: Sequence[str] = lx.ENGLISH_STOP_WORDS,
-) -> TfIdf:
-    """The ``size`` most frequent terms that at least ``min_df`` rows have."""
-    top = (
-        term_statistics(df, source, stop_words, min_df)
-        .orderBy(F.desc("tf"), "term")
-        .limit(size)
-        .collect()
-    )
-    if not top:
-        raise ValueError("no term occurs in enough rows")
-    top.sort(key=lambda r: r.term)
-    return TfIdf([r.term for r in top], [r.df for r in top], df.count(), tuple(stop_words))
+) -> dict[str, TfIdf]:
+    """Per source (text, size) the ``size`` most frequent terms that ``min_df`` rows have."""
+    stats = term_statistics(df, {n: c for n, (c, _) in sources.items()}, stop_words, min_df)
+    rank = Window.partitionBy("source").orderBy(F.desc("tf"), "term")
+    largest = max(size for _, size in sources.values())
+    # the rank limit is applied before the shuffle; what is collected is a vocabulary
+    top = stats.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= largest).collect()
+    n_rows, out = df.count(), {}
+    for name, (_, size) in sources.items():
+        rows = sorted((r.term, r.df) for r in top if r.source == name and r.rn <= size)
+        if not rows:
+            raise ValueError(f"no term of {name} occurs in {min_df} rows")
+        out[name] = TfIdf([t for t, _ in rows], [d for _, d in rows], n_rows, tuple(stop_words))
+    return out
 
 
 # -------------------------------------------------------------------- factorising
@@ -155,32 +169,47 @@ class TruncatedSvd:
         return cls([list(r.loading) for r in rows], [r.s for r in rows])
 
 
-def fit_svd(df: DataFrame, column: str, k: int) -> TruncatedSvd:
-    """Each task sums its rows into one Gram matrix (columns x columns, so as small as the
-    vocabulary squared); the sums of those are decomposed."""
+def fit_svd(df: DataFrame, columns: Mapping[str, int]) -> dict[str, TruncatedSvd]:
+    """Per vector column its k leading components, all from one pass.
+
+    Each task sums its rows into one Gram matrix per column (columns x columns, so as small
+    as the vocabulary squared); the sums of those are decomposed.
+    """
+    names = list(columns)
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total = [0.0] * len(names)
         for batch in batches:
             if batch.num_rows:
-                x = matrix_of(batch, column)
-                total = x.T @ x if total is None else total + x.T @ x
-        if total is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(total)), pa.int32()), pa.array(total.tolist())],
-                names=["i", "row"],
-            )
-
-    parts = df.select(column).mapInArrow(gram, "i int, row array<double>")
-    cells = parts.select("i", F.posexplode("row").alias("j", "v"))
-    sums = cells.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
-    size = 1 + max((r.i for r in sums), default=-1)
-    if size < 1 or k > size:
-        raise ValueError(f"cannot take {k} components out of {max(size, 0)} columns")
-    total = np.zeros((size, size))
-    for r in sums:
-        total[r.i, r.j] = r.v
-    values, vectors = np.linalg.eigh(total)
+                for c, name in enumerate(names):
+                    x = matrix_of(batch, name)
+                    total[c] = total[c] + x.T @ x
+        for c, g in enumerate(total):
+            if np.ndim(g):
+                n = len(g)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(g.tolist())],
+                    names=["c", "i", "row"],
+                )
+
+    parts = df.select(*names).mapInArrow(gram, "c int, i int, row array<double>")
+    cells = parts.select("c", "i", F.posexplode("row").alias("j", "v"))
+    sums = cells.groupBy("c", "i", "j").agg(F.sum("v").alias("v")).collect()
+    out = {}
+    for c, name in enumerate(names):
+        mine = [r for r in sums if r.c == c]
+        size = 1 + max((r.i for r in mine), default=-1)
+        if size < 1 or columns[name] > size:
+            raise ValueError(f"cannot take {columns[name]} components out of {size} columns")
+        total = np.zeros((size, size))
+        for r in mine:
+            total[r.i, r.j] = r.v
+        out[name] = _leading(total, columns[name])
+    return out
+
+
+def _leading(gram: np.ndarray, k: int) -> TruncatedSvd:
+    values, vectors = np.linalg.eigh(gram)
     leading = np.argsort(values)[::-1][:k]
     components = vectors[:, leading].T
     # a component's sign is free: make its largest loading positive
@@ -215,12 +244,19 @@ class TextEmbedder:
         )
 
 
-def fit_text_embedder(
-    df: DataFrame, source: Column, vocabulary: int, width: int
-) -> TextEmbedder:
-    tfidf = fit_tfidf(df, source, vocabulary)
-    weighted = tfidf.transform(df.select(source.alias("src")), F.col("src"), "weighted")
-    return TextEmbedder(tfidf, fit_svd(weighted, "weighted", min(width, len(tfidf.vocabulary))))
+def fit_text_embedders(
+    df: DataFrame, sources: Mapping[str, tuple[Column, int, int]]
+) -> dict[str, TextEmbedder]:
+    """Per source (text, vocabulary size, width) an embedder; two passes for all of them."""
+    tfidf = fit_tfidf(df, {n: (c, size) for n, (c, size, _) in sources.items()})
+    weighted = df.select(*[c.alias(f"src_{n}") for n, (c, _, _) in sources.items()])
+    for n in sources:
+        weighted = tfidf[n].transform(weighted, F.col(f"src_{n}"), f"weighted_{n}")
+    widths = {
+        f"weighted_{n}": min(k, len(tfidf[n].vocabulary)) for n, (_, _, k) in sources.items()
+    }
+    svd = fit_svd(weighted, widths)
+    return {n: TextEmbedder(tfidf[n], svd[f"weighted_{n}"]) for n in sources}
 
 
 def title_source() -> Column:

@@ -12,7 +12,7 @@ from ..functions import lexicons as lx
 from ..functions import numeric, text
 from ..operators import similarity
 from ..operators.encoding import fit_label_codes, label_encode
-from ..operators.matrix import combine, sanitize, select_by_name
+from ..operators.matrix import combine, finite_or_zero, select_by_name
 from ..operators.scaling import (
     ColumnScaler,
     VectorScaler,
@@ -20,7 +20,12 @@ from ..operators.scaling import (
     fit_vector_scaler,
     poly_interactions,
 )
-from ..operators.text_vectors import TextEmbedder, description_source, fit_text_embedder, title_source
+from ..operators.text_vectors import (
+    TextEmbedder,
+    description_source,
+    fit_text_embedders,
+    title_source,
+)
 from ..sources.sinks import load_bank, save_bank
 
 KEY, LABEL = "book_id", "average_rating"
@@ -64,12 +69,14 @@ class TraditionalBlock:
         if missing:
             raise ValueError(f"columns missing: {sorted(missing)}")
         self.scaler = fit_column_scaler(traditional_features(clean), lx.NUMERIC_FEATURES)
-        self.title = fit_text_embedder(
-            clean, title_source(), self.title_vocabulary, self.title_components
-        )
-        self.description = fit_text_embedder(
-            clean, description_source(), self.desc_vocabulary, self.desc_components
+        texts = fit_text_embedders(
+            clean,
+            {
+                "title": (title_source(), self.title_vocabulary, self.title_components),
+                "description": (description_source(), self.desc_vocabulary, self.desc_components),
+            },
         )
+        self.title, self.description = texts["title"], texts["description"]
         if "language_code" in clean.columns:
             self.languages = fit_label_codes(clean, "language_code")
         return self
@@ -93,11 +100,15 @@ class TraditionalBlock:
                 df = df.withColumn("language_code", F.lit(None).cast("string"))
             df = label_encode(df, self.languages, "language_code")
         df = self.scaler.transform(traditional_features(df)).withColumns(poly_interactions())
+        parts = {}
         for name, embedder in (("title_svd", self.title), ("desc_svd", self.description)):
-            n = len(embedder.svd.components)
-            df = df.withColumns({f"{name}_{i}": F.col(name)[i] for i in range(n)})
-        names = self.features()
-        return sanitize(df.select(KEY, *keep, *[F.col(f"`{c}`") for c in names]), names)
+            parts.update({f"{name}_{i}": F.col(name)[i] for i in range(len(embedder.svd.components))})
+        # language codes are whole and never null, everything else may be neither
+        columns = [
+            F.col(c) if c == "language_code_encoded" else finite_or_zero(parts.get(c, F.col(f"`{c}`"))).alias(c)
+            for c in self.features()
+        ]
+        return df.select(KEY, *keep, *columns)
 
     def _require_fit(self) -> None:
         if self.scaler is None:

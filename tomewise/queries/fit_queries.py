@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
@@ -53,9 +54,8 @@ _IDF = f"(ln((1 + {_N}) / CAST(1 + df AS DOUBLE)) + 1)"
 )
 def tfidf_terms(spark, sf):
     books = tables.books(spark, sf)
-    fitted = text_vectors.fit_tfidf(
-        books, text_vectors.description_source(), lx.DESC_VOCABULARY
-    )
+    wanted = {"description": (text_vectors.description_source(), lx.DESC_VOCABULARY)}
+    fitted = text_vectors.fit_tfidf(books, wanted)["description"]
     rows = list(zip(fitted.vocabulary, fitted.doc_freq, fitted.idf))
     frame = spark.createDataFrame(rows, "term string, df long, idf double")
     return frame.withColumn("idf", r6("idf"))
@@ -75,21 +75,23 @@ def tfidf_terms(spark, sf):
 )
 def tfidf_weights(spark, sf):
     books, source = tables.books(spark, sf), text_vectors.title_source()
-    fitted = text_vectors.fit_tfidf(books, source, lx.TITLE_VOCABULARY)
-    weights = fitted.transform(books, source).select(KEY, F.posexplode("tfidf").alias("i", "w"))
-    terms = F.element_at(F.array(*[F.lit(t) for t in fitted.vocabulary]), F.col("i") + 1)
-    return weights.where(F.col("w") > 0).select(KEY, terms.alias("term"), r6("w").alias("weight"))
+    fitted = text_vectors.fit_tfidf(books, {"title": (source, lx.TITLE_VOCABULARY)})["title"]
+    weights = fitted.transform(books.select(KEY, "title"), source)
+    long = weights.select(KEY, F.posexplode("tfidf").alias("i", "w")).where(F.col("w") > 0)
+    terms = F.element_at(F.lit(np.array(fitted.vocabulary)), F.col("i") + 1)
+    return long.select(KEY, terms.alias("term"), r6("w").alias("weight"))
 
 
 @query("text_svd")
 def text_svd(spark, sf):
     books = tables.books(spark, sf)
+    sources = {
+        "title_svd": (text_vectors.title_source(), lx.TITLE_VOCABULARY, lx.TITLE_COMPONENTS),
+        "desc_svd": (text_vectors.description_source(), lx.DESC_VOCABULARY, lx.DESC_COMPONENTS),
+    }
     out = books
-    for name, source, size, k in (
-        ("title_svd", text_vectors.title_source(), lx.TITLE_VOCABULARY, lx.TITLE_COMPONENTS),
-        ("desc_svd", text_vectors.description_source(), lx.DESC_VOCABULARY, lx.DESC_COMPONENTS),
-    ):
-        out = text_vectors.fit_text_embedder(books, source, size, k).transform(out, source, name)
+    for name, embedder in text_vectors.fit_text_embedders(books, sources).items():
+        out = embedder.transform(out, sources[name][0], name)
     return out.select(
         KEY,
         *[F.round(F.col("title_svd")[i], 6).alias(f"title_svd_{i}") for i in range(10)],
@@ -101,7 +103,7 @@ def text_svd(spark, sf):
 def text_embed(spark, sf):
     """64-wide vectors from the words of title and description."""
     books, source = tables.books(spark, sf), text_vectors.book_source()
-    embedder = text_vectors.fit_text_embedder(books, source, vocabulary=256, width=64)
+    embedder = text_vectors.fit_text_embedders(books, {"book": (source, 256, 64)})["book"]
     embedded = embedder.transform(books, source)
     return embedded.select(KEY, F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
 
@@ -317,9 +319,8 @@ def _yj(x: str, lam: float) -> str:
     ),
 )
 def yeo_johnson_loglik(spark, sf):
-    values = distribution.log_likelihoods(tables.books(spark, sf), "average_rating", LAMBDAS)
-    frame = spark.createDataFrame(list(zip(LAMBDAS, values)), "lambda double, log_likelihood double")
-    return frame.withColumn("log_likelihood", r6("log_likelihood", 4))
+    found = distribution.log_likelihoods(tables.books(spark, sf), "average_rating", LAMBDAS)
+    return found.withColumn("log_likelihood", r6("log_likelihood", 4))
 
 
 @query(

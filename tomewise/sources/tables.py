@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .workspace import spread
+
 BOOKS_SQL = """
 SELECT doc_id AS book_id,
   concat(substring(text, 1, 40), CASE doc_id % 6 WHEN 0 THEN ' #3' WHEN 1 THEN ': Book 2'
@@ -72,7 +74,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_over(BOOKS_SQL, "documents"), documents=table(spark, sf_dir, "documents"))
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    return spark.sql(_over(BOOKS_SQL, "documents"), documents=documents)
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

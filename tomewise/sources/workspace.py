@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
+SPLIT_BYTES = 128 * 1024 * 1024  # a full-size file split
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,3 +35,14 @@ def cut(df, name: str):
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df, key: str):
+    """Rows hashed out over all cores where the input is too small to be split that far.
+
+    A table in a few small files would otherwise be worked on by a few tasks. Tables of at
+    least one full-size split per core are left as they lie: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, key) if stored < cores * SPLIT_BYTES else df
