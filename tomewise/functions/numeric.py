@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,6 +107,11 @@ def interactions(
     }
 
 
+def number_array(values: Iterable[float]) -> Column:
+    """A constant array of doubles; folded into one literal however long it is."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
 def inverse_normal(p: Column) -> Column:
     """Standard normal quantile by Wichura's rational approximations (AS 241)."""
 

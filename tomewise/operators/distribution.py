@@ -10,7 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import inverse_normal
+from ..functions.numeric import inverse_normal, number_array
 from ..functions.text import flag
 from .quantiles import exact_quantiles
 
@@ -67,7 +67,7 @@ class QuantileTransform:
             out = Bucketizer(
                 inputCol=f"{c}__x", outputCol=place, splits=[-INF, *values, INF]
             ).transform(out.withColumn(f"{c}__x", F.col(c).cast("double")))
-            v, lo, hi = (F.lit(np.array(a)) for a in (values, first, last))
+            v, lo, hi = (number_array(a) for a in (values, first, last))
             x, left = F.col(f"{c}__x"), F.element_at(v, at)
             step = (x - left) / (F.element_at(v, at + 1) - left)
             rising = F.element_at(hi, at) + step * (F.element_at(lo, at + 1) - F.element_at(hi, at))
@@ -151,7 +151,7 @@ def log_likelihoods(df: DataFrame, column: str, lambdas: Sequence[float]) -> Dat
     x, lam = F.col("x"), F.col("lambda")
     pairs = df.where(F.col(column).isNotNull()).select(
         F.col(column).cast("double").alias("x"),
-        F.explode(F.lit(np.array(lambdas, dtype=float))).alias("lambda"),
+        F.explode(number_array(lambdas)).alias("lambda"),
     )
     sums = pairs.groupBy("lambda").agg(
         F.count("*").alias("n"),

@@ -11,11 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping, Sequence
 
-import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import number_array
 from ..sources.workspace import cut
 
 MAX_DISTINCT = 200_000
@@ -40,7 +40,7 @@ def exact_quantiles(
     few = [c for i, c in enumerate(names) if c not in out and sizes[f"d{i}"] <= max_distinct]
     if few:
         row = clean.agg(
-            *[F.percentile(c, F.lit(np.array(wanted[c], dtype=float))).alias(c) for c in few]
+            *[F.percentile(c, number_array(wanted[c])).alias(c) for c in few]
         ).first()
         out.update({c: list(row[c]) for c in few})
     for i, c in enumerate(names):

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_K = 50
 
 
+def _correlation(x: Column, y: Column) -> Column:
+    """Null for constant columns, where ``corr`` itself fails under ANSI rules."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def f_scores(df: DataFrame, features: Sequence[str], target: str = "average_rating") -> DataFrame:
     """(position, feature, r, f_score) per feature, from one aggregate. Constant features
     have no correlation and no score."""
     rated = df.where(F.col(target).isNotNull())
     sums = [F.count("*").alias("n")]
-    sums += [F.corr(F.col(c).cast("double"), target).alias(f"r{i}") for i, c in enumerate(features)]
+    sums += [_correlation(F.col(c).cast("double"), F.col(target)).alias(f"r{i}") for i, c in enumerate(features)]
     parts = ", ".join(f"{i}, '{c}', r{i}" for i, c in enumerate(features))
     long = rated.agg(*sums).selectExpr(
         "n", f"stack({len(features)}, {parts}) AS (position, feature, r)"

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import number_array
 from ..sources.workspace import cut
 from .text_vectors import matrix_of
 
@@ -167,7 +168,7 @@ def _block_top(
     blocks = [max(-(-bank_sizes.get(c, 0) // block_rows), 1) for c in range(n_cells)]
     chunks = [max(-(-query_sizes.get(c, 0) // block_rows), share) for c in range(n_cells)]
     n_blocks, n_chunks = (
-        F.element_at(F.lit(np.array(sizes, dtype=np.int64)), F.col("cell") + 1)
+        F.element_at(number_array(sizes), F.col("cell") + 1).cast("long")
         for sizes in (blocks, chunks)
     )
 

@@ -34,9 +34,25 @@ PRESETS: dict[str, tuple[str, dict]] = {
 }
 
 
-def regressor(kind: str, n_rows: int = 1, label: str = LABEL, seed: int = 42, **p) -> Estimator:
-    """A Spark ML regressor for a model name. ``n_rows`` turns a ridge penalty on the sum of
-    squares into Spark's penalty on their mean."""
+def label_scale(train: DataFrame, label: str = LABEL) -> tuple[int, float]:
+    """Rows and population deviation of the label, which penalties depend on."""
+    row = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
+    return row.n, row.s or 1.0
+
+
+def regressor(
+    kind: str,
+    scale: tuple[int, float] = (1, 1.0),
+    label: str = LABEL,
+    seed: int = 42,
+    **p,
+) -> Estimator:
+    """A Spark ML regressor for a model name.
+
+    Penalties are stated as usual for least squares: ridge on the sum of squared errors,
+    elastic net on half their mean. Spark works on the label divided by its deviation, which
+    scales the squared part of the penalty only; ``scale`` from ``label_scale`` undoes that.
+    """
     common = {"featuresCol": "features", "labelCol": label}
     if kind in ("gradient_boosting", "xgboost"):
         return GBTRegressor(
@@ -58,23 +74,23 @@ def regressor(kind: str, n_rows: int = 1, label: str = LABEL, seed: int = 42, **
             featureSubsetStrategy=p.get("max_features", "all"),
             bootstrap=kind == "random_forest",
         )
-    if kind == "ridge":
-        return LinearRegression(
-            **common,
-            elasticNetParam=0.0,
-            regParam=p.get("alpha", 1.0) / max(n_rows, 1),
-            standardization=False,
-        )
+    n_rows, deviation = scale
     if kind == "linear":
         return LinearRegression(**common)
-    if kind == "elastic_net":
-        return LinearRegression(
-            **common,
-            regParam=p.get("alpha", 0.1),
-            elasticNetParam=p.get("l1_ratio", 0.5),
-            standardization=False,
-        )
-    raise ValueError(f"Unknown model type: {kind}")
+    if kind == "ridge":
+        absolute, squared = 0.0, p.get("alpha", 1.0) / max(n_rows, 1)
+    elif kind == "elastic_net":
+        alpha, share = p.get("alpha", 0.1), p.get("l1_ratio", 0.5)
+        absolute, squared = alpha * share, alpha * (1 - share)
+    else:
+        raise ValueError(f"Unknown model type: {kind}")
+    total = absolute + squared * deviation
+    return LinearRegression(
+        **common,
+        regParam=total,
+        elasticNetParam=absolute / total if total else 0.0,
+        standardization=False,
+    )
 
 
 def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -163,7 +179,8 @@ def evaluate_on_transformed_target(
     is fitted on the training rows only."""
     power = fit_power_transform(train, LABEL)
     shaped = train.withColumn("target", power.forward(F.col(LABEL)))
-    model = regressor(kind, label="target", **params).fit(shaped)
+    scale = label_scale(shaped, "target")
+    model = regressor(kind, scale, label="target", **params).fit(shaped)
     back = model.transform(test).withColumn("prediction", power.inverse(F.col("prediction")))
     metrics = regression_metrics(back, LABEL).first().asDict()
     return Trained(name, model, back, metrics), power

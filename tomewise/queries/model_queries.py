@@ -138,14 +138,20 @@ def trained(spark, sf, models) -> DataFrame:
 @query("train_ridge")
 def train_ridge(spark, sf):
     return trained(
-        spark, sf, lambda rows: {"ridge": training.regressor("ridge", rows.count(), alpha=1.0)}
+        spark,
+        sf,
+        lambda rows: {"ridge": training.regressor("ridge", training.label_scale(rows), alpha=1.0)},
     )
 
 
 @query("train_elastic_net")
 def train_elastic_net(spark, sf):
     kind, params = training.PRESETS["elastic_net"]
-    return trained(spark, sf, lambda rows: {"elastic_net": training.regressor(kind, **params)})
+    return trained(
+        spark,
+        sf,
+        lambda rows: {"elastic_net": training.regressor(kind, training.label_scale(rows), **params)},
+    )
 
 
 @query("train_random_forest")

@@ -47,26 +47,20 @@ def scan_json(
     schema: T.StructType = BOOK_SCHEMA,
     sample_size: int | None = None,
 ) -> DataFrame:
-    """Read JSON lines and skip malformed ones. ``sample_size`` is a budget of lines
-    in file order which malformed lines use up too; None or 0 reads everything."""
+    """Read JSON lines and skip malformed ones. ``sample_size`` is a budget of lines in file
+    order which malformed lines use up too; None or 0 reads everything.
+
+    Lines are parsed by an expression, so that any set of columns can be asked for, even
+    none, which the file reader refuses next to a record of malformed input.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    if not sample_size:
-        raw = (
-            spark.read.schema(wide)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .json(path)
-        )
-        return raw.where(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
-    lines = spark.read.text(path).limit(sample_size)
-    parsed = lines.select(
-        F.from_json(
-            "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        ).alias("r")
-    )
-    return parsed.where(F.col(f"r.{CORRUPT}").isNull() & F.col("r").isNotNull()).select("r.*").drop(
-        CORRUPT
-    )
+    lines = spark.read.text(path)
+    if sample_size:
+        lines = lines.limit(sample_size)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.select(F.from_json("value", wide, options).alias("r"))
+    sound = F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()
+    return parsed.where(sound).select(*[F.col("r")[f].alias(f) for f in schema.fieldNames()])
 
 
 def first_rows(df: DataFrame, n: int | None, key: str) -> DataFrame:
