@@ -209,8 +209,11 @@ def quality_lexicon_scores(lowered: Column) -> dict[str, Column]:
     }
 
 
-def weighted_quality(lowered: Column) -> dict[str, Column]:
-    scores = quality_lexicon_scores(lowered)
+def weighted_quality(
+    lowered: Column, scores: dict[str, Column] | None = None
+) -> dict[str, Column]:
+    """Weighted sum of the category scores, which a frame may already carry as columns."""
+    scores = scores or quality_lexicon_scores(lowered)
     total = reduce(
         lambda a, b: a + b, [scores[f"{n}_score"] * w for n, w in lx.QUALITY_WEIGHTS.items()]
     )

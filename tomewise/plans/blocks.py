@@ -135,14 +135,16 @@ class TraditionalBlock:
 def add_lexicon_features(clean: DataFrame) -> DataFrame:
     """Lexicon scores and flags as further columns; expressions only."""
     low = F.col("full_text")
+    scores = text.quality_lexicon_scores(low)
     features = {
-        **text.quality_lexicon_scores(low),
-        **text.weighted_quality(low),
+        **scores,
         **text.narrative_scores(low),
         "is_part_of_series": text.series_flag(),
         **text.format_flags(low),
     }
-    return clean.withColumn("full_text", text.full_text()).withColumns(features).drop("full_text")
+    scored = clean.withColumn("full_text", text.full_text()).withColumns(features)
+    totals = text.weighted_quality(low, {name: F.col(name) for name in scores})
+    return scored.withColumns(totals).drop("full_text")
 
 
 def lexicon_block(clean: DataFrame) -> DataFrame:
