@@ -12,6 +12,9 @@ The join never forms a cross join and never sends pairs through a shuffle:
    each (cell, block, query chunk) task is one matrix product that emits only its local
    top-k. A window with a rank limit merges these.
 
+A bank that fits in one block (its distinct vectors are counted first) is broadcast instead,
+and the queries stay where they are.
+
 For unit vectors, cosine = 1 - distance^2 / 2, which carries the bounds over. Two extra
 coordinates keep zero vectors at cosine 0 with everything.
 """
@@ -23,14 +26,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import number_array
-from ..sources.workspace import cut
+from ..sources.workspace import cut, spread
 from .text_vectors import matrix_of
 
 BLOCK_ROWS = 16_384
+CHUNK_ROWS = 1024
 MAX_PIVOTS = 512
 DIGITS = 9  # similarities are compared after rounding, so that ties break by id
 STEP = 10**DIGITS
@@ -61,7 +66,7 @@ def knn(
     if not n_bank or not sizes.vectors:
         return _empty(queries)
 
-    local = _block_top(asked, banked, n_bank, sizes.vectors, m, block_rows)
+    local = _block_top(asked, banked, n_bank, m, block_rows)
     flat = local.select("rep", "r", F.inline("members"))
     copies = sizes.vectors < sizes.rows
     if not keep_self and not copies:
@@ -144,29 +149,31 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _block_top(
-    asked: DataFrame, banked: DataFrame, n_bank: int, n_asked: int, m: int, block_rows: int
+    asked: DataFrame, banked: DataFrame, n_bank: int, m: int, block_rows: int
 ) -> DataFrame:
     """(rep, low_id, r, members) per block: the local top m of every query that visits it."""
-    n_cells = min(MAX_PIVOTS, -(-n_bank // block_rows))
     spark = asked.sparkSession
-    if n_cells == 1:
-        cells = banked.withColumn("cell", F.lit(0))
-        visits = asked.select("rep", "embedding", F.lit(0).alias("cell"))
-        bank_sizes, query_sizes = {0: n_bank}, {0: n_asked}
-    else:
-        chosen = banked.orderBy(F.xxhash64("low_id"), "low_id").limit(n_cells).collect()
-        pivots = _unit(np.array([r.embedding for r in chosen], dtype=float), is_query=False)
-        cells = cut(banked.mapInArrow(_assign(pivots), _CELL_SCHEMA), "cells")
-        reach, near, bank_sizes = _cell_bounds(cells, n_cells, m)
-        visits = cut(
-            asked.mapInArrow(_visit(pivots, reach, near, m), _VISIT_SCHEMA), "visits"
-        )
-        query_sizes = dict(visits.groupBy("cell").count().collect())
-
-    # per cell, a bounded number of rows on either side of a task; at least one task a core
-    share = max(1, -(-spark.sparkContext.defaultParallelism // n_cells))
+    if n_bank <= block_rows:
+        # one block holds the whole bank: send it to the queries
+        bank = spark.sparkContext.broadcast(banked.toArrow())
+        asking = spread(asked.select("rep", "embedding"), "rep")
+        return asking.mapInArrow(_against(bank, m), _TOP_SCHEMA)
+
+    n_cells = min(MAX_PIVOTS, -(-n_bank // block_rows))
+    chosen = banked.orderBy(F.xxhash64("low_id"), "low_id").limit(n_cells).collect()
+    pivots = _unit(np.array([r.embedding for r in chosen], dtype=float), is_query=False)
+    cells = cut(banked.mapInArrow(_assign(pivots), _CELL_SCHEMA), "cells")
+    reach, near, bank_sizes = _cell_bounds(cells, n_cells, m)
+    visits = cut(asked.mapInArrow(_visit(pivots, reach, near, m), _VISIT_SCHEMA), "visits")
+    query_sizes = dict(visits.groupBy("cell").count().collect())
+
+    # per cell, a bounded number of rows on either side of a task; at least one task a core,
+    # unless that would copy bank blocks for a handful of queries
+    share = -(-spark.sparkContext.defaultParallelism // n_cells)
     blocks = [max(-(-bank_sizes.get(c, 0) // block_rows), 1) for c in range(n_cells)]
-    chunks = [max(-(-query_sizes.get(c, 0) // block_rows), share) for c in range(n_cells)]
+    chunks = []
+    for asking in (query_sizes.get(c, 0) for c in range(n_cells)):
+        chunks.append(max(-(-asking // block_rows), min(share, -(-asking // CHUNK_ROWS)), 1))
     n_blocks, n_chunks = (
         F.element_at(number_array(sizes), F.col("cell") + 1).cast("long")
         for sizes in (blocks, chunks)
@@ -265,40 +272,65 @@ def _visit(pivots: np.ndarray, reach: np.ndarray, near: np.ndarray, m: int):
     return visit
 
 
+_TOP_ARROW = pa.schema(
+    [
+        ("rep", pa.int64()),
+        ("r", pa.int64()),
+        (
+            "members",
+            pa.list_(pa.struct([("neighbour_id", pa.int64()), ("rating", pa.float64())])),
+        ),
+    ]
+)
+
+
+def _prepared(bank: pa.Table) -> tuple[np.ndarray, pa.Array]:
+    """Unit vectors and members of a block, lowest id first."""
+    bank = bank.sort_by("low_id").combine_chunks()
+    members = bank.column("members").combine_chunks()
+    return _unit(_table_matrix(bank), is_query=False), members
+
+
+def _best(query: pa.Table, block: tuple[np.ndarray, pa.Array], m: int) -> pa.Table:
+    """The m nearest rows of the block for every query row."""
+    b, members = block
+    q = _unit(_table_matrix(query), is_query=True)
+    n, top = len(b), min(m, len(b))
+    lower_id_first = np.arange(n - 1, -1, -1, dtype=np.int64)
+    rows, places, values = [], [], []
+    for start in range(0, len(q), 512):
+        r = np.rint(q[start : start + 512] @ b.T * STEP).astype(np.int64)
+        # similarity, then lower id, in one integer: the selection is exact on ties
+        best = np.argpartition(-(r * n + lower_id_first), top - 1, axis=1)[:, :top]
+        rows.append(np.repeat(np.arange(start, start + len(r)), top))
+        places.append(best.ravel())
+        values.append(np.take_along_axis(r, best, axis=1).ravel())
+    rep = query.column("rep").combine_chunks().take(pa.array(np.concatenate(rows)))
+    found = members.take(pa.array(np.concatenate(places)))
+    columns = [rep, pa.array(np.concatenate(values)), found.cast(_TOP_ARROW.field("members").type)]
+    return pa.table(columns, schema=_TOP_ARROW)
+
+
 def _product(m: int):
     def product(query: pa.Table, bank: pa.Table) -> pa.Table:
-        schema = pa.schema(
-            [
-                ("rep", pa.int64()),
-                ("r", pa.int64()),
-                ("members", pa.list_(pa.struct([("neighbour_id", pa.int64()), ("rating", pa.float64())]))),
-            ]
-        )
         if not query.num_rows or not bank.num_rows:
-            return schema.empty_table()
-        bank = bank.sort_by("low_id").combine_chunks()
-        b = _unit(_table_matrix(bank), is_query=False)
-        q = _unit(_table_matrix(query), is_query=True)
-        n, top = len(b), min(m, len(b))
-        lower_id_first = np.arange(n - 1, -1, -1, dtype=np.int64)
-        rows, places, values = [], [], []
-        for start in range(0, len(q), 512):
-            r = np.rint(q[start : start + 512] @ b.T * STEP).astype(np.int64)
-            # similarity, then lower id, in one integer: the selection is exact on ties
-            best = np.argpartition(-(r * n + lower_id_first), top - 1, axis=1)[:, :top]
-            rows.append(np.repeat(np.arange(start, start + len(r)), top))
-            places.append(best.ravel())
-            values.append(np.take_along_axis(r, best, axis=1).ravel())
-        rep = query.column("rep").combine_chunks().take(pa.array(np.concatenate(rows)))
-        found = bank.column("members").combine_chunks().take(pa.array(np.concatenate(places)))
-        return pa.table(
-            [rep, pa.array(np.concatenate(values)), found.cast(schema.field("members").type)],
-            schema=schema,
-        )
+            return _TOP_ARROW.empty_table()
+        return _best(query, _prepared(bank), m)
 
     return product
 
 
+def _against(bank: Broadcast, m: int):
+    def against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
+        for batch in batches:
+            if batch.num_rows:
+                block = block or _prepared(bank.value)
+                yield from _best(pa.Table.from_batches([batch]), block, m).to_batches()
+
+    return against
+
+
 def _table_matrix(table: pa.Table) -> np.ndarray:
     return matrix_of(table.select(["embedding"]).combine_chunks().to_batches()[0], "embedding")
 

@@ -112,6 +112,30 @@ def train_linear(spark, sf):
     return frame.select(r6("slope").alias("slope"), r6("intercept").alias("intercept"))
 
 
+_X = "ln(1 + ratings_count)"
+_RIDGE = f"regr_sxy(average_rating, {_X}) / (regr_sxx(average_rating, {_X}) + 50)"
+
+
+@query(
+    "train_ridge_slope",
+    q.over_clean(
+        "SELECT "
+        + q.named({"slope": _RIDGE, "intercept": f"avg(average_rating) - {_RIDGE} * avg({_X})"}, "double")
+        + " FROM clean WHERE average_rating IS NOT NULL"
+    ),
+)
+def train_ridge_slope(spark, sf):
+    """Ridge on one feature, which has a closed form."""
+    rated = clean_books(spark, sf).where(F.col(LABEL).isNotNull())
+    rows = training.assemble(
+        rated.select(LABEL, F.log1p("ratings_count").alias("x")), ["x"], [LABEL]
+    )
+    model = training.regressor("ridge", training.label_scale(rows), alpha=50.0).fit(rows)
+    fitted = [(float(model.coefficients[0]), float(model.intercept))]
+    frame = spark.createDataFrame(fitted, "slope double, intercept double")
+    return frame.select(r6("slope").alias("slope"), r6("intercept").alias("intercept"))
+
+
 # ------------------------------------------------------------------ fitted models
 def plain_matrix(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Training and test rows of the scale-free numeric features of all rated books."""
