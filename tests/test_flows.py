@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tomewise.operators import evaluation, runs, scoring, training
 from tomewise.plans import flow
+from tomewise.plans.blocks import LEXICON_FEATURES, lexicon_block
 from tomewise.queries import QUERIES
 from tomewise.sources import tables
 
@@ -119,6 +120,8 @@ def test_flow_trains_registers_and_scores(spark, sf):
     assert check.n_rows == books.count() and check.all_inside
     width = 64
     manifest = scorer.features.manifest(width)
+    lexicon = lexicon_block(books).columns[1:]
+    assert set(lexicon) == set(scorer.features.sets["lexicon"]) == set(LEXICON_FEATURES)
     model_width = len(scorer.model.featureImportances.toArray())
     assert len(manifest) == model_width == len(set(manifest))
 

@@ -92,6 +92,11 @@ class TraditionalBlock:
 
     def transform(self, clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """(book_id, keep..., features...); no shuffle."""
+        return self.finish(self.add_text_vectors(clean), keep)
+
+    def add_text_vectors(self, clean: DataFrame) -> DataFrame:
+        """Text components and language codes. These take many small plan steps, so they
+        come before the wide projections, which every later step would carry along."""
         self._require_fit()
         df = self.title.transform(clean, title_source(), "title_svd")
         df = self.description.transform(df, description_source(), "desc_svd")
@@ -99,6 +104,9 @@ class TraditionalBlock:
             if "language_code" not in df.columns:
                 df = df.withColumn("language_code", F.lit(None).cast("string"))
             df = label_encode(df, self.languages, "language_code")
+        return df
+
+    def finish(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         df = self.scaler.transform(traditional_features(df)).withColumns(poly_interactions())
         parts = {}
         for name, embedder in (("title_svd", self.title), ("desc_svd", self.description)):
@@ -132,6 +140,16 @@ class TraditionalBlock:
         )
 
 
+LEXICON_FEATURES = (
+    *[f"{name}_score" for name in (*lx.QUALITY_LEXICON, *lx.NARRATIVE_LEXICON)],
+    "narrative_complexity",
+    "is_part_of_series",
+    *[f"fmt_is_{name}" for name in lx.FORMAT_KEYWORDS],
+    "llm_quality_score",
+    "normalized_quality_score",
+)
+
+
 def add_lexicon_features(clean: DataFrame) -> DataFrame:
     """Lexicon scores and flags as further columns; expressions only."""
     low = F.col("full_text")
@@ -172,16 +190,18 @@ class SemanticBlock:
         self.mean_rating = rated.agg(F.avg(LABEL)).first()[0]
         return self
 
-    def add_own_features(self, clean: DataFrame) -> DataFrame:
-        """The scaled vector and the text quality of each row; expressions only."""
+    def scaled(self, clean: DataFrame) -> DataFrame:
         if self.bank is None:
             raise ValueError("the block must be fitted before it transforms new rows")
+        return clean.withColumn("embedding", self.scaler.scaled().cast("array<float>"))
+
+    def add_own_features(self, clean: DataFrame) -> DataFrame:
+        """The scaled vector and the text quality of each row; expressions only."""
         quality = {
             **text.text_quality(F.col("book_text")),
             "estimated_age_level": text.estimated_age_text(F.col("book_text")),
         }
-        scaled = self.scaler.scaled().cast("array<float>")
-        with_text = clean.withColumns({"embedding": scaled, "book_text": text.book_text()})
+        with_text = self.scaled(clean).withColumn("book_text", text.book_text())
         return with_text.withColumns(quality).drop("book_text")
 
     def neighbours(self, scaled: DataFrame) -> DataFrame:
