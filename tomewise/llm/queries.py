@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_runs, quality_rules
+from . import exact_dedup, language_id, line_runs, packing, quality_rules
 from .common import documents, labels, fold
 
 
@@ -21,11 +22,21 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf), labels(spark, sf))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(documents(spark, sf).select("doc_id", "text"), path)
+
+
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(spark, sf)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op3_quality_rules, op10_language_id)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op2_line_dedup, op3_quality_rules, op4_best_fit_packing, op10_language_id,
+    )
+}
 
 BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ORACLES = {
