@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_runs, packing, quality_rules
+from ..sources.workspace import new_path
+from . import byte_bpe, exact_dedup, grammar_store, language_id, line_runs, packing, quality_rules
 from .common import documents, labels, fold
 
 
@@ -27,6 +28,17 @@ def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf).select("doc_id", "text"), path)
 
 
+def op6_token_store(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "token-store")
+    grammar_store.write(documents(spark, sf), path, public_tokenizers.path("word_bpe_49k.json"))
+    return grammar_store.read(spark, path)
+
+
+def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode_and_decode(documents(spark, sf), path, public_tokenizers.PATTERN)
+
+
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(spark, sf)
 
@@ -34,7 +46,8 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op2_line_dedup, op3_quality_rules, op4_best_fit_packing, op10_language_id,
+        op1_exact_dedup, op2_line_dedup, op3_quality_rules, op4_best_fit_packing,
+        op6_token_store, op7_byte_bpe, op10_language_id,
     )
 }
 

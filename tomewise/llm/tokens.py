@@ -12,8 +12,11 @@ import re
 from collections.abc import Callable
 
 import numpy as np
+import regex
 
-LIMIT = 400_000  # pieces remembered by a worker
+from .common import lower_words
+
+LIMIT = 500_000  # pieces remembered by a worker
 LONGEST = 64  # code points of a piece that is worth remembering
 
 
@@ -21,20 +24,25 @@ class Remembered:
     """Bytes (ids, little-endian unsigned 32-bit) of pieces."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = LIMIT):
-        self.encode, self.limit, self.known = encode, limit, {}
+        self.encode, self.limit, self.known, self.passing = encode, limit, {}, []
 
     def join(self, docs: list[list[str]]) -> list[bytes]:
-        known = self.known
-        fresh = list({p for d in docs for p in d if p not in known})
-        if len(known) + len(fresh) > self.limit:
-            known = self.known = {}
-            fresh = list({p for d in docs for p in d})
-        known.update(zip(fresh, self.encode(fresh), strict=True))
-        out = [b"".join(map(known.__getitem__, d)) for d in docs]
-        for p in fresh:
-            if len(p) > LONGEST:
-                del known[p]
-        return out
+        self._learn(docs)
+        return [b"".join(map(self.known.__getitem__, d)) for d in docs]
+
+    def lists(self, docs: list[list[str]]) -> list[list[bytes]]:
+        self._learn(docs)
+        return [[self.known[p] for p in d] for d in docs]
+
+    def _learn(self, docs: list[list[str]]) -> None:
+        for p in self.passing:
+            self.known.pop(p, None)
+        every = set().union(*docs)
+        fresh = list(every.difference(self.known))
+        if len(self.known) + len(fresh) > self.limit:
+            self.known, fresh = {}, list(every)
+        self.known.update(zip(fresh, self.encode(fresh), strict=True))
+        self.passing = [p for p in fresh if len(p) > LONGEST]
 
 
 def load(path: str):
@@ -46,9 +54,53 @@ def load(path: str):
     return tokenizer
 
 
-def ids_of(tokenizer, pieces: list[str]) -> list[bytes]:
-    encodings = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in encodings]
+#: Code points below need no normalisation beyond lower-casing, and libraries agree on their classes.
+PLAIN = "\u0250"
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
+class Pieces:
+    """Ids of pieces: matches of the tokenizer's pattern go to its merge model one by one, once each.
+
+    Pieces with characters from PLAIN on go through the whole tokenizer instead.
+    """
+
+    def __init__(self, tokenizer, pattern: str, lower: bool, limit: int = 300_000):
+        self.tokenizer, self.model, self.lower = tokenizer, tokenizer.model, lower
+        self.pattern, self.letters, self.limit = regex.compile(pattern), byte_letters(), limit
+        self.known: dict[str, bytes] = {}
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+
+    def match(self, text: str) -> bytes:
+        ids = self.known.get(text)
+        if ids is None:
+            shown = text.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(shown)])
+            if len(self.known) >= self.limit:
+                self.known = {}
+            if len(text) <= LONGEST:
+                self.known[text] = ids
+        return ids
+
+    def __call__(self, pieces: list[str]) -> list[bytes]:
+        plain = [not p or max(p) < PLAIN for p in pieces]
+        rest = [p for p, ok in zip(pieces, plain, strict=True) if not ok]
+        whole = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        out = []
+        for p, ok in zip(pieces, plain, strict=True):
+            if ok:
+                p = p.lower() if self.lower else p
+                one = p[1:].isalpha() and (p[0] == " " or p[0].isalpha())
+                out.append(self.match(p) if one else b"".join(map(self.match, self.pattern.findall(p))))
+            else:
+                out.append(np.array(next(whole).ids, "<u4").tobytes())
+        return out
 
 
 #: White space beside blank and newline, which has rules of its own in byte-level patterns.
@@ -62,13 +114,6 @@ def blank_pieces(text: str) -> list[str] | None:
     return text.split(" ")
 
 
-def white_pieces(text: str) -> list[str]:
-    """Pieces between white space; U+001C to U+001F, which str.split() counts in, are not."""
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [w for w in re.split("[ \t-\r]+", text) if w]
-    return text.split()
-
-
 class ByteLevel:
     """Ids of a byte-level BPE whose pattern joins one blank to what follows it."""
 
@@ -84,22 +129,25 @@ class ByteLevel:
 
 
 class Words:
-    """Ids of a tokenizer that drops white space and never joins across it."""
+    """Ids of a lower-casing tokenizer that drops white space and never joins across it."""
 
-    def __init__(self, tokenizer, limit: int = LIMIT):
-        self.words = Remembered(lambda ps: ids_of(tokenizer, ps), limit)
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = LIMIT):
+        self.words = Remembered(lambda ps: encode([p.decode() for p in ps]), limit)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.words.join([white_pieces(t) for t in texts])
+        return self.words.join([lower_words(t) for t in texts])
 
 
+#: What the two files split texts by.
+BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 _BY_PATH: dict[tuple[str, str], object] = {}
 
 
 def encoder(path: str, kind: str):
     """The worker's encoder of a file, loaded once: kind ``bytes`` or ``words``."""
     if (path, kind) not in _BY_PATH:
-        tokenizer = load(path)
-        made = Words(tokenizer) if kind == "words" else ByteLevel(lambda ps: ids_of(tokenizer, ps))
-        _BY_PATH[path, kind] = made
+        tokenizer, words = load(path), kind == "words"
+        pieces = Pieces(tokenizer, WORD_PATTERN if words else BYTE_PATTERN, words)
+        _BY_PATH[path, kind] = Words(pieces) if words else ByteLevel(pieces)
     return _BY_PATH[path, kind]
