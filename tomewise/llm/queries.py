@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import new_path
-from . import byte_bpe, exact_dedup, grammar_store, language_id, line_runs, packing, quality_rules
+from . import byte_bpe, exact_dedup, grammar_store, language_id, line_runs, packing, ppm, quality_rules
 from .common import documents, labels, fold
 
 
@@ -28,6 +28,12 @@ def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf).select("doc_id", "text"), path)
 
 
+def op5_ppm_score(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text", (fold() == 1).alias("held_out"))
+    model, words = ppm.train(docs.where("NOT held_out"))
+    return ppm.score(docs, model, words)
+
+
 def op6_token_store(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "token-store")
     grammar_store.write(documents(spark, sf), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -47,7 +53,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_line_dedup, op3_quality_rules, op4_best_fit_packing,
-        op6_token_store, op7_byte_bpe, op10_language_id,
+        op5_ppm_score, op6_token_store, op7_byte_bpe, op10_language_id,
     )
 }
 
