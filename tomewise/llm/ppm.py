@@ -1,10 +1,10 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes.
 
-A text counts as its words (A-Z lower-cased), each followed by a blank, and an end. A trie holds,
-for contexts of up to ORDER bytes, how often each byte followed; contexts do not reach back over
-the start of a word, so a word's code length is the same everywhere and is computed once. A byte
-that a context has not seen escapes to the next shorter one (method C: escapes weigh as many as the
-context has kinds), and bytes that the longer context knows are excluded there.
+A text counts as its words (A-Z lower-cased) joined by blanks, and an end. A trie holds, for
+contexts of up to ORDER bytes, how often each byte followed. A byte that a context has not seen
+escapes to the next shorter one (method D: the first sighting of a kind counts half for escapes),
+and bytes that the longer context knows are excluded there; the last resort is an even share among
+bytes that no context knows. ``score`` is the log10 probability of all bytes and the end.
 
 Word counts and trie counts come from all training texts: summed in each task, then by Spark. Words
 common enough for a bounded table are looked up in memory, all others by a shuffle join. The trie is
@@ -12,8 +12,8 @@ shipped to executors; where it has more than ``max_grams`` grams, the rarest cla
 cut from it (their bytes then escape), so that its size is bounded at any scale.
 
 Null and empty texts are the end alone. Rows without an id are trained on and scored. Without
-training rows, words cost as unseen ones. An empty table gives an empty result; repeated rows count
-each time; other columns are ignored.
+training rows, every byte is an even share. An empty table gives an empty result; repeated rows
+count each time; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ from .common import chunks, indexed, lower_words, sums_by_document, texts
 
 ORDER = 5
 SYMBOLS = 256
-BLANK, STOP = 0x20, 0x0A  # after a word; the end of a text
+STOP = b"\n"  # the end of a text, and what stands before its start
+BLOCK = 1 << 20  # bytes worked on at a time
 HEAD_WORDS = 250_000
 MAX_GRAMS = 3_000_000
 ROWS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<binary>"
@@ -60,39 +61,48 @@ def _counts(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
 
 
-def positions(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context (ORDER bytes as a number) and next byte at every place of the words, and their ends.
+def coded(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all documents, each after ORDER bytes of padding, and where documents end."""
+    rows = [STOP * ORDER + b" ".join([*words, STOP]) for words in docs]
+    return np.frombuffer(b"".join(rows), np.uint8), np.cumsum([len(r) for r in rows], dtype=np.int64)
 
-    A word is followed by a blank; the empty word is the end of a text.
-    """
-    pad = bytes([BLANK]) * ORDER
-    coded = [pad + w + bytes([BLANK]) if w else pad + bytes([STOP]) for w in words]
-    flat = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64)
-    sizes = np.array([len(c) for c in coded], np.int64)
-    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    context = np.zeros(len(flat), np.uint64)
-    for back in range(ORDER, 0, -1):
-        context = context << np.uint64(8)
-        context[back:] |= flat[: len(flat) - back]
-    real = np.arange(len(flat)) - first >= ORDER
-    return context[real], flat[real], np.cumsum(sizes - ORDER)
-
-
-def gram_counts(words: DataFrame) -> DataFrame:
-    """gram (context and next byte), n."""
+
+def grams(flat: np.ndarray, ends: np.ndarray):
+    """(place, gram) in blocks, where a gram is a byte (lowest) after the ORDER bytes before it."""
+    real = np.ones(len(flat), bool)
+    for k in range(ORDER):
+        real[np.concatenate([[0], ends[:-1]]) + k] = False
+    for start in range(0, len(flat), BLOCK):
+        stop = min(start + BLOCK, len(flat))
+        place = np.arange(start, stop)[real[start:stop]]
+        wide = np.concatenate([np.zeros(max(0, ORDER - start), np.uint8), flat[max(0, start - ORDER) : stop]])
+        gram = np.zeros(stop - start, np.uint64)
+        for k in range(ORDER + 1):
+            gram = gram << np.uint64(8) | wide[k : k + stop - start]
+        yield place, gram[real[start:stop]]
+
+
+def gram_counts(training: DataFrame) -> DataFrame:
+    """gram, n over all rows of ``text``."""
 
     def run(batches):
-        for batch in batches:
-            found, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
-            if found:
-                context, byte, ends = positions(found)
-                grams = (context << np.uint64(8) | byte).astype(np.int64)
-                weight = np.repeat(n, np.diff(ends, prepend=0))
-                kinds, at = np.unique(grams, return_inverse=True)
-                total = np.bincount(at, weight.astype(np.float64)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(total)], ["gram", "n"])
+        kinds, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in chunks(batches):
+            parts = [np.unique(g, return_counts=True) for _, g in grams(*coded([lower_words(t) for t in texts(batch)]))]
+            kinds, at = np.unique(np.concatenate([kinds, *(k for k, _ in parts)]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([n, *(c for _, c in parts)]), minlength=len(kinds)).astype(np.int64)
+            if len(kinds) > 2_000_000:
+                yield from _gram_batches(kinds, n)
+                kinds, n = kinds[:0], n[:0]
+        yield from _gram_batches(kinds, n)
+
+    return training.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
 
-    return words.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def _gram_batches(kinds: np.ndarray, n: np.ndarray):
+    for i in range(0, len(kinds), 100_000):
+        arrays = [pa.array(kinds[i : i + 100_000].astype(np.int64)), pa.array(n[i : i + 100_000])]
+        yield pa.RecordBatch.from_arrays(arrays, ["gram", "n"])
 
 
 def _at(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,8 +157,9 @@ class Trie:
             g, found = _at(level.grams, here << np.uint64(8) | byte[left])
             total = np.where(seen, level.total[i] - hidden[left] if len(level.total) else 0.0, 0.0)
             kinds = np.where(seen, level.kinds[i] - known[left] if len(level.kinds) else 0.0, 0.0)
-            both = np.maximum(total + kinds, 1.0)
-            share = np.where(found, level.counts[g] if len(level.counts) else 0.0, np.where(kinds > 0, kinds, both)) / both
+            both = np.maximum(2 * total, 1.0)
+            mine = 2 * level.counts[g] - 1 if len(level.counts) else 0.0
+            share = np.where(found, mine, np.where(kinds > 0, kinds, both)) / both
             out[left] += np.log10(share)
             hidden[left] = np.where(seen, level.shadow[i] if len(level.shadow) else 0.0, 0.0)
             known[left] = np.where(seen, level.kinds[i] if len(level.kinds) else 0.0, 0.0)
@@ -156,12 +167,43 @@ class Trie:
         out[left] -= np.log10(np.maximum(SYMBOLS - known[left], 1.0))
         return out
 
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of each word with what ends it."""
-        if not words:
-            return np.zeros(0)
-        context, byte, ends = positions(words)
-        return sums_by_document(self.code(context, byte), ends)
+
+class Codes:
+    """log10 probabilities of grams: those of the trie by a hash table, others through the trie.
+
+    Two grams that meet in a slot leave it to the more frequent one.
+    """
+
+    def __init__(self, trie: Trie):
+        self.trie, top = trie, trie.levels[ORDER]
+        self.shift = np.uint64(64 - max(10, int(2 * len(top.grams) + 1).bit_length()))
+        order = np.argsort(top.counts, kind="stable")
+        kinds = top.grams[order]
+        self.keys = np.full(1 << (64 - int(self.shift)), np.iinfo(np.uint64).max, np.uint64)
+        self.values = np.zeros(len(self.keys), np.float32)
+        slot = self._slot(kinds)
+        self.keys[slot] = kinds
+        won = self.keys[slot] == kinds
+        self.values[slot[won]] = trie.code(kinds[won] >> np.uint64(8), kinds[won] & np.uint64(255))
+
+    def _slot(self, kinds: np.ndarray) -> np.ndarray:
+        return ((kinds * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, kinds: np.ndarray) -> np.ndarray:
+        slot = self._slot(kinds)
+        out = self.values[slot].astype(float)
+        other = np.flatnonzero(self.keys[slot] != kinds)
+        if len(other):
+            rest, at = np.unique(kinds[other], return_inverse=True)
+            out[other] = self.trie.code(rest >> np.uint64(8), rest & np.uint64(255))[at]
+        return out
+
+    def documents(self, docs: list[list[bytes]]) -> np.ndarray:
+        flat, ends = coded(docs)
+        code = np.zeros(len(flat))
+        for place, gram in grams(flat, ends):
+            code[place] = self(gram)
+        return sums_by_document(code, ends)
 
 
 @dataclass
@@ -191,8 +233,8 @@ def train(training: DataFrame, head_words: int = HEAD_WORDS, max_grams: int = MA
     """The model, and the table of all word counts."""
     words = cut(word_counts(training), "ppm-words")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds")).first()
-    grams = cut(gram_counts(words), "ppm-grams")
-    kept = grams.where(F.col("n") >= _least(grams, max_grams)).toArrow()
+    counted = cut(gram_counts(training), "ppm-grams")
+    kept = counted.where(F.col("n") >= _least(counted, max_grams)).toArrow()
     order = np.argsort(kept["gram"].to_numpy())
     trie = Trie.build(kept["gram"].to_numpy()[order].astype(np.uint64), kept["n"].to_numpy()[order].astype(float))
     common = words.where(F.col("n") >= _least(words, head_words)).toArrow()
@@ -206,14 +248,11 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
 
     def run(batches):
         m, part, row = shipped.value, TaskContext.get().partitionId() << 40, 0
-        memo: dict[bytes, float] = {}
+        codes = Codes(m.trie)
         for batch in chunks(batches):
-            kinds, flat, ends = indexed([[*lower_words(t), b""] for t in texts(batch)])
-            fresh = [w for w in kinds if w not in memo]
-            if len(memo) + len(fresh) > 400_000:
-                memo, fresh = {}, kinds
-            memo.update(zip(fresh, m.trie.words(fresh).tolist(), strict=True))
-            coded = np.fromiter(map(memo.__getitem__, kinds), float, len(kinds))
+            docs = [lower_words(t) for t in texts(batch)]
+            total = codes.documents(docs)
+            kinds, flat, ends = indexed([[*words, b""] for words in docs])
             counts = np.array([m.head.get(w, -1) for w in kinds])
             common = counts >= 0
             base = np.where(common, m.base(np.maximum(counts, 0)), 0.0)
@@ -222,7 +261,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
             rare = [[kinds[j] for j in flat[a:b][~common[flat[a:b]]]] for a, b in zip(starts, ends, strict=True)]
             columns = [pa.array(part + row + np.arange(n)), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"),
                        pa.array(np.diff(ends, prepend=0)), pa.array(sums_by_document(common[flat].astype(np.int64), ends)),
-                       pa.array(sums_by_document(base[flat], ends)), pa.array(sums_by_document(coded[flat], ends)),
+                       pa.array(sums_by_document(base[flat], ends)), pa.array(total),
                        pa.array(rare, pa.list_(pa.binary()))]
             row += n
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in ROWS.split(", ")])
