@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import new_path
-from . import byte_bpe, exact_dedup, grammar_store, language_id, line_runs, packing, ppm, quality_rules
+from . import byte_bpe, exact_dedup, grammar_store, jaccard_join, language_id, line_runs, packing, ppm, quality_rules
 from .common import documents, labels, fold
 
 
@@ -45,6 +45,10 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.encode_and_decode(documents(spark, sf), path, public_tokenizers.PATTERN)
 
 
+def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf))
+
+
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(spark, sf)
 
@@ -53,7 +57,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_line_dedup, op3_quality_rules, op4_best_fit_packing,
-        op5_ppm_score, op6_token_store, op7_byte_bpe, op10_language_id,
+        op5_ppm_score, op6_token_store, op7_byte_bpe, op8_jaccard_join, op10_language_id,
     )
 }
 
