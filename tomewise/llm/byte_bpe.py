@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import chunks, texts
+from .common import chunks, texts, worker_state
 from .tokens import Remembered, blank_pieces
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -82,7 +82,7 @@ FROM tokens t JOIN vocabulary v USING (id) GROUP BY word ORDER BY word
 class DuckBpe:
     """The vocabulary of a rank file as DuckDB tables, and what words have become."""
 
-    def __init__(self, path: str, pattern: str, memory: str = "300MB", limit: int = 250_000):
+    def __init__(self, path: str, pattern: str, memory: str = "300MB", limit: int = 400_000):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
@@ -172,17 +172,16 @@ class DuckBpe:
         return out
 
 
-_LOADED: dict[str, DuckBpe] = {}
-
-
 def encode_and_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """RESULT for every row of doc_id, text."""
 
     def run(batches):
-        if path not in _LOADED:
-            _LOADED[path] = DuckBpe(path, pattern)
+        loaded = worker_state()
+        if ("duck", path, pattern) not in loaded:
+            loaded["duck", path, pattern] = DuckBpe(path, pattern)
+        coder = loaded["duck", path, pattern]
         for batch in chunks(batches):
-            made = _LOADED[path].encode(texts(batch))
+            made = coder.encode(texts(batch))
             arrays = [batch.column("doc_id").cast(pa.int64()), pa.array([len(i) // 4 for i, _ in made]),
                       pa.array([hashlib.sha256(i).hexdigest() for i, _ in made]),
                       pa.array([hashlib.sha256(b).hexdigest() for _, b in made])]

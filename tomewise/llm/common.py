@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,6 +31,12 @@ def fold(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % folds
 
 
+def worker_state() -> dict:
+    """What a Python worker keeps between its tasks (functions travel with the job, so their
+    modules' own variables start anew in each task)."""
+    return vars(sys.modules.setdefault("training_data_worker_state", types.ModuleType("training_data_worker_state")))
+
+
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut into slices of at most ``limit`` bytes of text (one row at least)."""
     for batch in batches:

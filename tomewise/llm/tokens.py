@@ -2,7 +2,8 @@
 
 Natural text repeats its words, so each distinct piece is encoded once and remembered. A piece ends
 where every match of the tokenizer's own pattern must end, so ids equal those of the whole text.
-What is remembered is bounded; when it is full it starts over with the pieces at hand.
+What is remembered is bounded: when it is full, it becomes the old generation, from which
+pieces are taken over when they are met again, and the generation before goes.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
-from .common import lower_words
+from .common import lower_words, worker_state
 
-LIMIT = 500_000  # pieces remembered by a worker
+LIMIT = 500_000  # pieces remembered by a worker in each of two generations
 LONGEST = 64  # code points of a piece that is worth remembering
 
 
@@ -24,7 +25,7 @@ class Remembered:
     """Bytes (ids, little-endian unsigned 32-bit) of pieces."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = LIMIT):
-        self.encode, self.limit, self.known, self.passing = encode, limit, {}, []
+        self.encode, self.limit, self.known, self.old, self.passing = encode, limit, {}, {}, []
 
     def join(self, docs: list[list[str]]) -> list[bytes]:
         self._learn(docs)
@@ -37,10 +38,13 @@ class Remembered:
     def _learn(self, docs: list[list[str]]) -> None:
         for p in self.passing:
             self.known.pop(p, None)
-        every = set().union(*docs)
-        fresh = list(every.difference(self.known))
+        fresh = list(set().union(*docs).difference(self.known))
         if len(self.known) + len(fresh) > self.limit:
-            self.known, fresh = {}, list(every)
+            self.old, self.known = self.known, {}
+            fresh = list(set().union(*docs))
+        if self.old:
+            self.known.update((p, self.old[p]) for p in fresh if p in self.old)
+            fresh = [p for p in fresh if p not in self.known]
         self.known.update(zip(fresh, self.encode(fresh), strict=True))
         self.passing = [p for p in fresh if len(p) > LONGEST]
 
@@ -141,13 +145,13 @@ class Words:
 #: What the two files split texts by.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
-_BY_PATH: dict[tuple[str, str], object] = {}
 
 
 def encoder(path: str, kind: str):
     """The worker's encoder of a file, loaded once: kind ``bytes`` or ``words``."""
-    if (path, kind) not in _BY_PATH:
+    loaded = worker_state()
+    if (kind, path) not in loaded:
         tokenizer, words = load(path), kind == "words"
         pieces = Pieces(tokenizer, WORD_PATTERN if words else BYTE_PATTERN, words)
-        _BY_PATH[path, kind] = Words(pieces) if words else ByteLevel(pieces)
-    return _BY_PATH[path, kind]
+        loaded[kind, path] = Words(pieces) if words else ByteLevel(pieces)
+    return loaded[kind, path]
