@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import new_path
-from . import byte_bpe, exact_dedup, grammar_store, jaccard_join, language_id, line_runs, packing, ppm, quality_rules
+from . import byte_bpe, exact_dedup, grammar_store, jaccard_join, language_id, line_runs, packing, ppm, quality_rules, toxicity
 from .common import documents, labels, fold
 
 
@@ -49,6 +49,12 @@ def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf))
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.score(documents(spark, sf), toxicity.learned(spark, sf))
+    held_out, predicted = (fold() == 0).alias("held_out"), (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out, "score", predicted)
+
+
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(spark, sf)
 
@@ -57,7 +63,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_line_dedup, op3_quality_rules, op4_best_fit_packing,
-        op5_ppm_score, op6_token_store, op7_byte_bpe, op8_jaccard_join, op10_language_id,
+        op5_ppm_score, op6_token_store, op7_byte_bpe, op8_jaccard_join, op9_toxicity, op10_language_id,
     )
 }
 
