@@ -32,7 +32,7 @@ from ..sources.workspace import cut
 from .common import chunks, indexed, lower_words, texts
 from .graph import components
 
-SLACK = 2  # slabs beyond the differences: up to so many may be empty
+LIGHT = 2  # a slab with fewer shingles says little, as a common one may be alone in it
 TILE = 8 << 20  # bytes of shingle hashes in a tile
 LEAF = 16  # points of a leaf, and leaves of a box
 FACTS = "doc_id long, n long, node long, keys array<long>"
@@ -82,8 +82,9 @@ def differences(percent: int, size: int) -> int:
 def slab_keys(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
     """Keys of each set such that linked, unequal sets have one in common.
 
-    Linked sets agree on 1 + SLACK slabs at least. Empty slabs are left out by a set that has at
-    most SLACK of them, as then one of the agreeing slabs is not empty.
+    There are 1 + s more slabs than differences, so linked sets agree on 1 + s slabs at least. Light
+    slabs are left out by a set that has at most s of them, as then some agreeing slab is not light
+    in either set (both hold the same in it). Sets with more light slabs give the keys of all.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     if not sizes.sum():
@@ -98,7 +99,8 @@ def slab_keys(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
         group = band - down
         tops = edges[np.minimum(np.maximum(group, 0) + 1, len(edges) - 1)] - 1
         most = np.array([differences(percent, int(t)) for t in tops])
-        slabs = np.where((group >= 0) & (most > 0) & (sizes > 0), most + 1 + SLACK, 0)
+        slack = 2 + (most * 15 + 99) // 100
+        slabs = np.where((group >= 0) & (most > 0) & (sizes > 0), most + 1 + slack, 0)
         first = np.cumsum(slabs) - slabs
         use = slabs[owner] > 0
         wide = np.maximum(slabs[owner], 1).astype(np.uint64)
@@ -110,8 +112,8 @@ def slab_keys(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
         place = (np.arange(total) - first[whose]).astype(np.uint64)
         tag = mixed(group[whose].astype(np.uint64) << np.uint64(32) | place)
         keys = mixed(mixed(sums[0] + tag) + sums[1] * M1)
-        empty = np.bincount(whose[held == 0], minlength=len(sets))
-        kept = (held > 0) | (empty[whose] > SLACK)
+        light = np.bincount(whose[held < LIGHT], minlength=len(sets))
+        kept = (held >= LIGHT) | (light > slack)[whose]
         for i, some in enumerate(np.split(keys[kept], np.cumsum(np.bincount(whose[kept], minlength=len(sets)))[:-1])):
             found[i].append(some)
     return [np.concatenate(k) for k in found]
