@@ -1,6 +1,6 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes.
 
-A text counts as its words (A-Z lower-cased) joined by blanks, and an end. A trie holds, for
+A text counts as its words (A-Z lower-cased), each followed by a blank, and an end. A trie holds, for
 contexts of up to ORDER bytes, how often each byte followed. A byte that a context has not seen
 escapes to the next shorter one (method D: the first sighting of a kind counts half for escapes),
 and bytes that the longer context knows are excluded there; the last resort is an even share among
@@ -33,8 +33,8 @@ from .common import chunks, indexed, lower_words, sums_by_document, texts
 ORDER = 5
 SYMBOLS = 256
 STOP = b"\n"  # the end of a text, and what stands before its start
-BLOCK = 1 << 20  # bytes worked on at a time
-HEAD_WORDS = 250_000
+BLOCK = 1 << 18  # bytes worked on at a time
+HEAD_WORDS = 150_000
 MAX_GRAMS = 3_000_000
 ROWS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<binary>"
 
@@ -249,7 +249,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     def run(batches):
         m, part, row = shipped.value, TaskContext.get().partitionId() << 40, 0
         codes = Codes(m.trie)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=1 << 20):
             docs = [lower_words(t) for t in texts(batch)]
             total = codes.documents(docs)
             kinds, flat, ends = indexed([[*words, b""] for words in docs])
