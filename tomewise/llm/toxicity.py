@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.workspace import cut
 from .common import chunks, documents, fold, indexed, labels, lower_words, texts
 
 SAMPLE = 12_000  # labelled rows that are learned from at most
 BEGINNINGS = (4, 5, 6)  # bytes of a word that make a feature of their own
-LEAST = 4  # toxic rows that a lexicon entry occurs in
+LEAST = 4  # toxic rows that a feature occurs in
 PRECISION = 0.6  # share of toxic rows among those with a lexicon entry
 VOTERS, FEATURES = 500, 800  # at most
 MARKS = b".,;:!?\"'()[]{}|#$%&*<>~_-"
@@ -115,52 +116,78 @@ def _linear(x: np.ndarray, target: np.ndarray, rounds: int = 10, penalty: float
     return w[:-1], float(w[-1])
 
 
-def train(rows: list[tuple[list[bytes], int]]) -> Classifier:
-    """From the distinct features and the label of each row."""
-    toxic = np.array([y for _, y in rows], float)
-    if not len(rows) or toxic.min() == toxic.max():
-        share = float(np.clip(toxic.mean() if len(rows) else 0.0, 1e-6, 1 - 1e-6))
-        return Classifier({}, float(np.log(share / (1 - share))))
-    with_it, with_toxic = Counter(), Counter()
-    for features, y in rows:
-        if y:
-            with_toxic.update(features)
-    wanted = {f for f, n in with_toxic.items() if n >= LEAST or f[:1] == b"\x00"}
-    for features, _ in rows:
-        with_it.update(f for f in features if f in wanted)
-    lift = sorted(wanted, key=lambda f: (-with_toxic[f] / (with_it[f] + 2), f))
-    lexicon = [f for f in lift if with_toxic[f] / with_it[f] >= PRECISION][:VOTERS]
-    patterns = list(PATTERNS)
-    used = lexicon + [f for f in lift if f not in set(lexicon)][: FEATURES - len(lexicon)]
-    used = sorted(set(used) | {p for p in patterns if p in wanted})
-    place = {f: i for i, f in enumerate(used)}
-    x = np.zeros((len(rows), len(used)), np.float32)
-    for i, (features, _) in enumerate(rows):
-        x[i, [place[f] for f in features if f in place]] = 1
-    voters = [place[f] for f in [*lexicon, *(p for p in patterns if p in place and p not in lexicon)]]
+def constant(share: float) -> Classifier:
+    share = float(np.clip(share, 1e-6, 1 - 1e-6))
+    return Classifier({}, float(np.log(share / (1 - share))))
+
+
+def train(x: np.ndarray, toxic: np.ndarray, features: list[bytes], voters: np.ndarray) -> Classifier:
+    """From the 0/1 features and the labels of each row, and which features vote."""
     votes = x[:, voters].astype(float)
     silent = 1 - votes.any(axis=1, keepdims=True)
     posterior = label_model(np.hstack([votes, toxic[:, None], silent]))
     w, b = _linear(x, posterior)
-    return Classifier(dict(zip(used, w.tolist(), strict=True)), b)
+    return Classifier(dict(zip(features, w.tolist(), strict=True)), b)
+
+
+def text_features(text: str) -> set[bytes]:
+    found = {f for w in set(lower_words(text)) for f in word_features(w)}
+    return found.union(pattern_features(text))
+
+
+def _feature_counts(batches):
+    """f, toxic, n: in how many toxic rows and in how many rows each feature occurs."""
+    toxic, every = Counter(), Counter()
+
+    def counted():
+        pairs = (pa.array(toxic[f] for f in every), pa.array(every.values()))
+        return pa.RecordBatch.from_arrays([pa.array(every, pa.binary()), *(p.cast(pa.int64()) for p in pairs)], ["f", "toxic", "n"])
+
+    for batch in chunks(batches, limit=1 << 20):
+        for text, y in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
+            found = text_features(text)
+            every.update(found)
+            if y:
+                toxic.update(found)
+        if len(every) > 300_000:
+            yield counted()
+            toxic, every = Counter(), Counter()
+    if every:
+        yield counted()
 
 
 def fit(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Trains on at most ``sample`` rows of doc_id, text joined with doc_id, toxic."""
+    """Trains on at most ``sample`` rows of doc_id, text joined with doc_id, toxic.
+
+    Features are counted by Spark; the driver gets the FEATURES with the highest share of toxic rows
+    and, for each row, which of them it has.
+    """
     marked = marked.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic")
     taken = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("text", "toxic")
+    chosen = cut(docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("text", "toxic"), "toxicity-sample")
+    rows, toxic = chosen.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not rows or toxic in (0, rows):
+        return constant(toxic / rows if rows else 0.0)
+    counts = chosen.mapInArrow(_feature_counts, "f binary, toxic long, n long").groupBy("f")
+    counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).where(F.col("toxic") >= LEAST)
+    lift = (F.col("toxic") / (F.col("n") + 2)).desc()
+    best = counts.orderBy(lift, "f").limit(FEATURES).collect()
+    features = [bytes(r.f) for r in best]
+    votes = np.array([r.toxic / r.n >= PRECISION or bytes(r.f) in PATTERNS for r in best], bool)
+    if not votes.any():
+        return constant(toxic / rows)
+    place = {f: i for i, f in enumerate(features)}
 
     def run(batches):
         for batch in chunks(batches):
-            out = []
-            for text in texts(batch):
-                found = {f for w in set(lower_words(text)) for f in word_features(w)}
-                out.append(b"\x01".join(sorted(found) + pattern_features(text)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column("toxic").cast(pa.int32())], ["f", "y"])
-
-    rows = chosen.mapInArrow(run, "f binary, y int").collect()
-    return train(sorted((r.f.split(b"\x01"), r.y) for r in rows))
+            have = [sorted(place[f] for f in text_features(t) if f in place) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(have, pa.list_(pa.int32())), batch.column("toxic").cast(pa.int32())], ["f", "y"])
+
+    held = sorted((r.f, r.y) for r in chosen.mapInArrow(run, "f array<int>, y int").collect())
+    x = np.zeros((len(held), len(features)), np.float32)
+    for i, (have, _) in enumerate(held):
+        x[i, have] = 1
+    return train(x, np.array([y for _, y in held], float), features, np.flatnonzero(votes)[:VOTERS])
 
 
 def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
