@@ -21,6 +21,7 @@ import hashlib
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -28,30 +29,30 @@ from .common import chunks, texts, worker_state
 from .tokens import Remembered, blank_pieces
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-LONG_WORD = 96  # bytes
+LONG_WORD = 96  # bytes; a place in a shorter word fits seven bits
 
-#: One contraction in each word and step.
+#: One contraction in each word and step. A position is one number: word * 128 + place in the word.
 LEFTMOST = """
-WITH RECURSIVE step(word, pos, id, turn) AS (
-  SELECT word, pos, id, 0 FROM start
+WITH RECURSIVE step(k, id, turn) AS (
+  SELECT word << 7 | place, id, 0 FROM start
   UNION ALL
-  SELECT s.word, (s.pos - (s.pos > spot)::INT)::INT, CASE WHEN s.pos = spot THEN made ELSE s.id END, s.turn + 1
+  SELECT s.k - (s.k > spot)::BIGINT, CASE WHEN s.k = spot THEN made ELSE s.id END, s.turn + 1
   FROM step s JOIN (
-    SELECT word, ((best >> 32) & 32767)::INT AS spot, (best & 4294967295)::INT AS made FROM (
-      SELECT a.word, min((m.rank << 47) | (a.pos::BIGINT << 32) | m.rank) AS best
-      FROM step a JOIN step b ON b.word = a.word AND b.pos = a.pos + 1 JOIN merges m ON m.a = a.id AND m.b = b.id
-      GROUP BY a.word
+    SELECT word, (word << 7) | (best & 127) AS spot, (best >> 7)::INT AS made FROM (
+      SELECT a.k >> 7 AS word, min((m.rank << 7) | (a.k & 127)) AS best
+      FROM step a JOIN step b ON b.k = a.k + 1 JOIN merges m ON m.pair = ((a.id::BIGINT << 16) | b.id)
+      GROUP BY a.k >> 7
     )
-  ) USING (word)
-  WHERE s.pos <> spot + 1
+  ) ON word = s.k >> 7
+  WHERE s.k <> spot + 1
 )
-SELECT word, pos, id FROM step QUALIFY turn = max(turn) OVER (PARTITION BY word)
+SELECT k >> 7 AS word, k, id, turn FROM step
 """
 
 #: All places of the lowest pair at once if its token is safe, else the leftmost one.
 ALL_PLACES = """
 WITH RECURSIVE step(word, pos, id, turn) AS (
-  SELECT word, pos, id, 0 FROM start
+  SELECT word, place::INT, id, 0 FROM start
   UNION ALL
   SELECT word, row_number() OVER (PARTITION BY word ORDER BY pos)::INT, CASE WHEN pick THEN best ELSE id END::INT, turn
   FROM (
@@ -63,19 +64,21 @@ WITH RECURSIVE step(word, pos, id, turn) AS (
           SELECT *, coalesce(rank = best, FALSE) AS hit FROM (
             SELECT s.word, s.pos, s.id, s.turn + 1 AS turn, m.rank, m.safe, min(m.rank) OVER (PARTITION BY s.word) AS best
             FROM (SELECT *, lead(id) OVER (PARTITION BY word ORDER BY pos) AS following FROM step) s
-            LEFT JOIN merges m ON m.a = s.id AND m.b = s.following
+            LEFT JOIN merges m ON m.pair = ((s.id::BIGINT << 16) | s.following)
           ) WHERE best IS NOT NULL
         )
       )
     )
   ) WHERE NOT swallowed
 )
-SELECT word, pos, id FROM step QUALIFY turn = max(turn) OVER (PARTITION BY word)
+SELECT word, (word << 32) | pos AS k, id, turn FROM step
 """
 
+#: The last turn of each word holds its tokens.
 AGGREGATE = """
-SELECT word, unhex(string_agg(v.id_hex, '' ORDER BY t.pos)), unhex(string_agg(v.token_hex, '' ORDER BY t.pos))
-FROM tokens t JOIN vocabulary v USING (id) GROUP BY word ORDER BY word
+WITH ends AS (SELECT word, max(turn) AS turn FROM tokens GROUP BY word)
+SELECT word, list(t.id ORDER BY t.k) AS ids, list(v.token ORDER BY t.k) AS decoded
+FROM tokens t JOIN ends USING (word, turn) JOIN vocabulary v USING (id) GROUP BY word ORDER BY word
 """
 
 
@@ -102,17 +105,13 @@ class DuckBpe:
                 if a is not None and b is not None:
                     merges.append((a, b, rank))
                     below.update(x for x in (a, b) if x > rank)  # a merge with x ranks lower than x
-        a, b, rank = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True))
+        a, b, rank = (np.array(x, np.int64) for x in zip(*merges, strict=True))
         safe = pa.array([m[2] not in below for m in merges])
-        pairs = pa.table({"a": a, "b": b, "rank": rank.cast(pa.int64()), "safe": safe})  # noqa: F841
-        ids = list(self.ranks.values())
-        vocabulary = pa.table({  # noqa: F841
-            "id": pa.array(ids, pa.int32()),
-            "id_hex": [i.to_bytes(4, "little").hex() for i in ids],
-            "token_hex": [t.hex() for t in self.ranks],
-        })
+        pairs = pa.table({"pair": a << 16 | b, "rank": rank, "safe": safe})  # noqa: F841
+        ids = pa.array(list(self.ranks.values()), pa.int32())
+        entries = pa.table({"id": ids, "token": pa.array(list(self.ranks), pa.binary())})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM pairs")
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
+        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM entries")
 
     def words(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
         """Ids and decoded bytes of each word."""
@@ -133,14 +132,23 @@ class DuckBpe:
         sizes = np.array([len(w) for w in words])
         ends = np.cumsum(sizes)
         start = pa.table({
-            "word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
-            "pos": (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + 1).astype(np.int32),
+            "word": np.repeat(np.arange(len(words), dtype=np.int64), sizes),
+            "place": np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + 1,
             "id": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)],
         })
         self.db.register("start", start)
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE tokens AS {ALL_PLACES if long else LEFTMOST}")
         self.db.unregister("start")
-        return [(bytes(ids), bytes(back)) for _, ids, back in self.db.execute(AGGREGATE).fetchall()]
+        made = self.db.sql(AGGREGATE).to_arrow_table().combine_chunks()
+        ids, decoded = made["ids"].chunk(0), made["decoded"].chunk(0)
+        flat = ids.flatten().to_numpy().astype("<u4").tobytes()
+        cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())]).tolist()
+        sizes = pc.binary_length(decoded.flatten()).to_numpy()
+        back, ends = b"".join(decoded.flatten().to_pylist()), np.concatenate([[0], np.cumsum(sizes)])[cuts].tolist()
+        return [
+            (flat[4 * a : 4 * b], back[c:d])
+            for a, b, c, d in zip(cuts, cuts[1:], ends, ends[1:], strict=False)
+        ]
 
     def _pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids and decoded bytes of pieces that end where a match of the pattern ends."""
