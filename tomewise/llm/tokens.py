@@ -9,7 +9,6 @@ pieces are taken over when they are met again, and the generation before goes.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable
 
 import numpy as np
@@ -17,7 +16,7 @@ import regex
 
 from .common import lower_words, worker_state
 
-LIMIT = 500_000  # pieces remembered by a worker in each of two generations
+LIMIT = 600_000  # pieces remembered by a worker in each of two generations
 LONGEST = 64  # code points of a piece that is worth remembering
 
 
@@ -84,7 +83,10 @@ class Pieces:
     def match(self, text: str) -> bytes:
         ids = self.known.get(text)
         if ids is None:
-            shown = text.encode().decode("latin-1").translate(self.letters)
+            if text.isascii() and text.isprintable():
+                shown = text.replace(" ", self.letters[32])  # other printable bytes stand for themselves
+            else:
+                shown = text.encode().decode("latin-1").translate(self.letters)
             ids = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(shown)])
             if len(self.known) >= self.limit:
                 self.known = {}
@@ -108,12 +110,12 @@ class Pieces:
 
 
 #: White space beside blank and newline, which has rules of its own in byte-level patterns.
-OTHER_SPACE = re.compile(r"[^\S \n]")
+OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 
 
 def blank_pieces(text: str) -> list[str] | None:
     """Pieces of a text that begin with each blank, or None where blanks do not stand alone."""
-    if "  " in text or " \n" in text or "\n " in text or OTHER_SPACE.search(text):
+    if "  " in text or " \n" in text or "\n " in text or any(c in text for c in OTHER_SPACE):
         return None
     return text.split(" ")
 
