@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,14 +141,14 @@ class Cleaning:
     median_pages: float
     date_column: str | None
     max_year: int
-    keep_year: bool = False
+    keep_year: bool = True
 
-    def year(self) -> Column:
-        if self.keep_year:
-            return F.coalesce(F.col("publication_year").cast("int"), F.lit(lx.DEFAULT_YEAR))
-        if self.date_column is None:
-            return F.lit(lx.DEFAULT_YEAR)
-        return F.coalesce(year_of(self.date_column), F.lit(lx.DEFAULT_YEAR))
+    def year(self, columns: Sequence[str]) -> Column:
+        """The year of the date column that training used, else the year a row states."""
+        given = [year_of(self.date_column)] if self.date_column in columns else []
+        if self.keep_year and "publication_year" in columns:
+            given.append(F.col("publication_year").cast("int"))
+        return F.coalesce(*given, F.lit(lx.DEFAULT_YEAR))
 
     def transform(self, df: DataFrame) -> DataFrame:
         clean = coerce_numeric(ensure_columns(df))
@@ -158,12 +158,22 @@ class Cleaning:
                     "num_pages": F.coalesce("num_pages", F.lit(self.median_pages)),
                     "ratings_count": F.coalesce("ratings_count", F.lit(0.0)),
                     "text_reviews_count": F.coalesce("text_reviews_count", F.lit(0.0)),
-                    "publication_year": self.year(),
+                    "publication_year": self.year(clean.columns),
                 }
             )
         )
         return clean.withColumn("rating_density", self.rating_density())
 
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        row = (self.median_pages, self.date_column, self.max_year, self.keep_year)
+        return spark.createDataFrame(
+            [row], "median_pages double, date_column string, max_year int, keep_year boolean"
+        )
+
+    @classmethod
+    def from_frame(cls, frame: DataFrame) -> Cleaning:
+        return cls(*frame.select("median_pages", "date_column", "max_year", "keep_year").first())
+
     def rating_density(self) -> Column:
         years = F.lit(self.max_year) - F.col("publication_year") + 1
         return F.col("ratings_count") / F.greatest(years, F.lit(1))
@@ -172,28 +182,30 @@ class Cleaning:
 def fit_cleaning(df: DataFrame, year_mode: str = "keep") -> Cleaning:
     """Median pages, the date column the dataset uses and its last year.
 
-    ``year_mode='keep'`` keeps an existing publication year when neither date column has
-    values; ``'reference'`` sets the default year then, as the original rule does.
+    ``year_mode='keep'`` keeps an existing publication year of rows whose date column has no
+    value, in training and in scoring; ``'reference'`` sets the default year then, as the
+    original rule does.
     """
     full = coerce_numeric(ensure_columns(df))
-    has_year = "publication_year" in df.columns and year_mode == "keep"
+    keep = year_mode == "keep"
+    has_year = "publication_year" in df.columns and keep
     stated = F.col("publication_year").cast("int") if has_year else F.lit(None).cast("int")
     default = F.lit(lx.DEFAULT_YEAR)
     facts = full.agg(
         F.count("publication_date").alias("n_first"),
         F.count("publish_date").alias("n_second"),
-        F.max(F.coalesce(year_of("publication_date"), default)).alias("first"),
-        F.max(F.coalesce(year_of("publish_date"), default)).alias("second"),
+        F.max(F.coalesce(year_of("publication_date"), stated, default)).alias("first"),
+        F.max(F.coalesce(year_of("publish_date"), stated, default)).alias("second"),
         F.max(F.coalesce(stated, default)).alias("stated"),
     ).first()
     pages = median(full, "num_pages")
     pages = lx.DEFAULT_PAGES if pages is None else pages
     if facts.n_first:
-        return Cleaning(pages, "publication_date", facts.first)
+        return Cleaning(pages, "publication_date", facts.first, keep)
     if facts.n_second:
-        return Cleaning(pages, "publish_date", facts.second)
+        return Cleaning(pages, "publish_date", facts.second, keep)
     last = facts.stated if has_year and facts.stated is not None else lx.DEFAULT_YEAR
-    return Cleaning(pages, None, last, keep_year=has_year)
+    return Cleaning(pages, None, last, keep)
 
 
 def preprocess(df: DataFrame, year_mode: str = "keep") -> DataFrame:

@@ -21,6 +21,9 @@ def split_bucket(key: str = "book_id", seed: int = 42) -> Column:
 
 
 def is_test(test_share: float = 0.2, key: str = "book_id", seed: int = 42) -> Column:
+    """Whole percents only; a share that none of the buckets can stand for is refused."""
+    if not 1 <= round(100 * test_share) <= 99:
+        raise ValueError(f"test_share must be between 0.01 and 0.99, not {test_share}")
     return split_bucket(key, seed) < round(100 * test_share)
 
 

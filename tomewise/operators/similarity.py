@@ -53,9 +53,15 @@ def knn(
     """(book_id, rn, neighbour_id, similarity, rating) with rn = 1..k by falling similarity.
 
     ``queries`` has (book_id, embedding), ``bank`` also average_rating. Unless ``keep_self``,
-    a query is not its own neighbour; self is recognised by id.
+    a query is not its own neighbour; self is recognised by id. Vectors that cannot be compared
+    (null, with a null or non-finite coordinate, or not as wide as the narrowest sound vector of
+    the bank) are no queries and no neighbours; ``unsound`` counts them.
     """
     m = k if keep_self else k + 1
+    width = bank.where(_finite()).agg(F.min(F.size("embedding"))).first()[0]
+    if width is None:
+        return _empty(queries)
+    queries, bank = (df.where(_finite() & (F.size("embedding") == width)) for df in (queries, bank))
     banked = cut(_fold_bank(bank, m), "bank")
     asked = cut(
         queries.groupBy("embedding").agg(F.min("book_id").alias("rep"), F.count("*").alias("n")),
@@ -86,6 +92,26 @@ def knn(
     )
 
 
+def _finite() -> Column:
+    """A vector with coordinates, all of them numbers below infinity."""
+    numbers = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    return F.coalesce(numbers & (F.size("embedding") > 0), F.lit(False))
+
+
+def unsound(vectors: DataFrame) -> DataFrame:
+    """One row: vectors, and how many of them are null, hold no number somewhere or differ in width
+    from the narrowest sound one."""
+    sound = F.coalesce(_finite(), F.lit(False))
+    widths = F.when(sound, F.size("embedding"))
+    width = F.lit(vectors.agg(F.min(widths)).first()[0])
+    return vectors.agg(
+        F.count("*").alias("n_vectors"),
+        F.count_if(F.col("embedding").isNull()).alias("n_null"),
+        F.count_if(F.col("embedding").isNotNull() & ~sound).alias("n_not_finite"),
+        F.count_if(sound & (F.size("embedding") != width)).alias("n_other_width"),
+    )
+
+
 def _empty(queries: DataFrame) -> DataFrame:
     return queries.limit(0).select(
         "book_id",

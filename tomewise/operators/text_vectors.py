@@ -99,14 +99,18 @@ class TfIdf:
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(i, t, d, self.n_rows) for i, (t, d) in enumerate(zip(self.vocabulary, self.doc_freq))]
+        # stop words travel in the same table, at positions below 0
+        rows += [(-1 - i, t, 0, self.n_rows) for i, t in enumerate(self.stop_words)]
         return spark.createDataFrame(rows, "position int, term string, df long, n_rows long")
 
     @classmethod
-    def from_frame(cls, frame: DataFrame, stop_words=lx.ENGLISH_STOP_WORDS) -> TfIdf:
-        rows = frame.orderBy("position").collect()
+    def from_frame(cls, frame: DataFrame) -> TfIdf:
+        every = sorted(frame.collect(), key=lambda r: r.position)
+        rows = [r for r in every if r.position >= 0]
         if not rows:
             raise ValueError("empty vocabulary")
-        return cls([r.term for r in rows], [r.df for r in rows], rows[0].n_rows, tuple(stop_words))
+        stop_words = tuple(r.term for r in reversed(every) if r.position < 0)
+        return cls([r.term for r in rows], [r.df for r in rows], rows[0].n_rows, stop_words)
 
 
 def fit_tfidf(

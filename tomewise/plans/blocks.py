@@ -129,14 +129,17 @@ class TraditionalBlock:
         self.description.save(spark, f"{path}/description")
         if self.languages is not None:
             self.languages.write.mode("overwrite").parquet(f"{path}/languages")
+        parts = spark.createDataFrame([(self.languages is not None,)], "with_languages boolean")
+        parts.write.mode("overwrite").parquet(f"{path}/parts")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, with_languages: bool = True) -> TraditionalBlock:
+    def load(cls, spark: SparkSession, path: str) -> TraditionalBlock:
+        known = spark.read.parquet(f"{path}/parts").first().with_languages
         return cls(
             scaler=ColumnScaler.from_frame(spark.read.parquet(f"{path}/scaler")),
             title=TextEmbedder.load(spark, f"{path}/title"),
             description=TextEmbedder.load(spark, f"{path}/description"),
-            languages=spark.read.parquet(f"{path}/languages") if with_languages else None,
+            languages=spark.read.parquet(f"{path}/languages") if known else None,
         )
 
 
@@ -183,6 +186,9 @@ class SemanticBlock:
     mean_rating: float | None = None
 
     def fit(self, clean: DataFrame) -> SemanticBlock:
+        """Learns from the rows that have a vector; others get their own features and 0 for what
+        neighbours would tell."""
+        clean = clean.where(F.col("embedding").isNotNull())
         self.scaler = fit_vector_scaler(clean)
         rated = clean.where(F.col(LABEL).isNotNull())
         scaled = self.scaler.scaled().cast("array<float>").alias("embedding")
@@ -218,11 +224,13 @@ class SemanticBlock:
     def save(self, spark: SparkSession, path: str) -> None:
         self.scaler.to_frame(spark).write.mode("overwrite").parquet(f"{path}/scaler")
         save_bank(self.bank, f"{path}/bank")
+        mean = spark.createDataFrame([(self.mean_rating,)], "mean_rating double")
+        mean.write.mode("overwrite").parquet(f"{path}/mean")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SemanticBlock:
         bank = load_bank(spark, f"{path}/bank")
-        mean = bank.agg(F.avg(LABEL)).first()[0]
+        mean = spark.read.parquet(f"{path}/mean").first().mean_rating
         return cls(VectorScaler.from_frame(spark.read.parquet(f"{path}/scaler")), bank, mean)
 
 

@@ -18,9 +18,9 @@ def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_embedded(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned books that have a vector."""
+    """Cleaned books, each with its vector where it has one."""
     vectors = tables.table(spark, sf, "embeddings").selectExpr("vec_id AS book_id", "embedding")
-    return clean_books(spark, sf).join(vectors, "book_id")
+    return clean_books(spark, sf).join(vectors, "book_id", "left")
 
 
 def rated_bank(spark: SparkSession, sf: str) -> DataFrame:

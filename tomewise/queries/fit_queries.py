@@ -14,7 +14,7 @@ from ..operators import distribution, scaling, selection, text_vectors
 from ..operators.encoding import fit_label_codes, label_encode
 from ..plans.blocks import TraditionalBlock
 from ..sources import tables
-from ..sources.workspace import new_path
+from ..sources.workspace import cut, new_path
 from . import sql as q
 from .common import clean_books, feature_frame
 from .registry import KEY, query, r6
@@ -82,41 +82,71 @@ def tfidf_weights(spark, sf):
     return long.select(KEY, terms.alias("term"), r6("w").alias("weight"))
 
 
-@query("text_svd")
+def gram_facts(df, parts):
+    """Per pair of components, the products of their projections over the product of their singular
+    values: 1 on the diagonal, 0 beside it."""
+    out = None
+    for name, s in parts.items():
+        n = len(s)
+        sums = [
+            F.sum(F.col(name)[i] * F.col(name)[j]) / (s[i] * s[j]) for i in range(n) for j in range(n)
+        ]
+        row = df.agg(F.array(*sums).alias("v")).select(F.lit(name).alias("source"), F.posexplode("v").alias("at", "v"))
+        cells = row.select(
+            "source", F.expr(f"CAST(at DIV {n} AS INT)").alias("i"), F.expr(f"CAST(at % {n} AS INT)").alias("j"),
+            r6("v", 4).alias("share"),
+        )
+        out = cells if out is None else out.union(cells)
+    return out
+
+
+def gram_sql(widths):
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS source, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, "
+        f"CAST(i = j AS DOUBLE) AS share FROM range({n}) a(i), range({n}) b(j)"
+        for name, n in widths.items()
+    )
+
+
+@query("text_svd", gram_sql({"title_svd": 10, "desc_svd": 20}))
 def text_svd(spark, sf):
-    books = tables.books(spark, sf)
+    """The leading components of titles and descriptions are orthogonal over all books, and as long
+    as their singular values."""
+    out = tables.books(spark, sf)
     sources = {
         "title_svd": (text_vectors.title_source(), lx.TITLE_VOCABULARY, lx.TITLE_COMPONENTS),
         "desc_svd": (text_vectors.description_source(), lx.DESC_VOCABULARY, lx.DESC_COMPONENTS),
     }
-    out = books
-    for name, embedder in text_vectors.fit_text_embedders(books, sources).items():
+    fitted = text_vectors.fit_text_embedders(out, sources)
+    for name, embedder in fitted.items():
         out = embedder.transform(out, sources[name][0], name)
-    return out.select(
-        KEY,
-        *[F.round(F.col("title_svd")[i], 6).alias(f"title_svd_{i}") for i in range(10)],
-        *[F.round(F.col("desc_svd")[i], 6).alias(f"desc_svd_{i}") for i in range(20)],
-    )
+    out = cut(out.select(KEY, *fitted), "text-svd")
+    return gram_facts(out, {name: e.svd.singular_values[:n] for (name, e), n in zip(fitted.items(), (10, 20))})
 
 
-@query("text_embed")
+@query("text_embed", gram_sql({"embedding": 16}))
 def text_embed(spark, sf):
-    """64-wide vectors from the words of title and description."""
+    """64-wide vectors from the words of title and description; facts of the leading 16 places."""
     books, source = tables.books(spark, sf), text_vectors.book_source()
     embedder = text_vectors.fit_text_embedders(books, {"book": (source, 256, 64)})["book"]
-    embedded = embedder.transform(books, source)
-    return embedded.select(KEY, F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+    embedded = cut(embedder.transform(books, source).select(KEY, "embedding"), "text-embed")
+    return gram_facts(embedded, {"embedding": embedder.svd.singular_values[:16]})
 
 
-@query("fit_save_load_transform")
+@query("fit_save_load_transform", q.over_books("SELECT book_id, 0 AS n_different FROM books"))
 def fit_save_load_transform(spark, sf):
-    """Fitted state written and read back, then applied; differences to the direct way are 0."""
+    """Fitted state written and read back, then applied: per book, how many features differ from the
+    direct way."""
     clean = clean_books(spark, sf)
     fitted = TraditionalBlock().fit(clean)
     path = new_path(spark, "traditional")
     fitted.save(spark, path)
-    loaded = TraditionalBlock.load(spark, path)
-    return loaded.transform(clean)
+    names = fitted.features()
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
+    direct = fitted.transform(clean).select(KEY, values.alias("direct"))
+    loaded = TraditionalBlock.load(spark, path).transform(clean).select(KEY, values.alias("loaded"))
+    apart = F.filter(F.zip_with("direct", "loaded", lambda a, b: ~a.eqNullSafe(b)), lambda x: x)
+    return direct.join(loaded, KEY).select(KEY, F.size(apart).alias("n_different"))
 
 
 # ---------------------------------------------------------------------- encoding

@@ -1,10 +1,13 @@
 """Queries over splits, training, comparison and explanation of models.
 
-Model sizes here suit whole tables in a report; ``training.PRESETS`` holds the full ones.
+A fitted model's numbers are no SQL, but what must hold of them is: optimality of linear models,
+predictions for every test row inside the range of the labels, shares that add up.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,90 +152,136 @@ def evaluation_rows():
     return F.col(LABEL).between(1.0, 5.0)
 
 
-def report(spark, results) -> DataFrame:
-    frame = training.results_frame(spark, results)
-    return frame.select("position", "model", "n_rows", *[r6(c).alias(c) for c in ("rmse", "mae", "r2")])
+TEST_ROWS = f"average_rating BETWEEN 1 AND 5 AND ({HASH_SQL}) < 20"
 
 
-def trained(spark, sf, models) -> DataFrame:
+def tested_sql(*models: str) -> str:
+    """One row per model: every rated test book has a prediction, inside the range of the ratings."""
+    return q.over_clean(
+        " UNION ALL ".join(
+            f"SELECT '{m}' AS model, count(*) AS n_rows, 0 AS n_missing, 0 AS n_outside "
+            f"FROM clean WHERE {TEST_ROWS}"
+            for m in models
+        )
+    )
+
+
+def tested(spark, results, low: float = 1.0, high: float = 5.0) -> DataFrame:
+    out = None
+    for t in results:
+        p = F.col("prediction")
+        row = t.predictions.agg(
+            F.count("*").alias("n_rows"),
+            F.count_if(p.isNull() | F.isnan(p)).cast("int").alias("n_missing"),
+            F.count_if(~p.between(low, high)).cast("int").alias("n_outside"),
+        ).select(F.lit(t.name).alias("model"), "n_rows", "n_missing", "n_outside")
+        out = row if out is None else out.union(row)
+    return out
+
+
+def preset_report(spark, sf, *names: str, low: float = 1.0, high: float = 5.0) -> DataFrame:
+    """Presets at full size, fitted on the plain features of all rated training books."""
     train, test = plain_matrix(spark, sf)
-    return report(spark, training.compare(models(train), train, test))
+    results = training.compare({n: training.preset(n, train) for n in names}, train, test)
+    return tested(spark, results, low, high)
 
 
-@query("train_ridge")
+OPTIMAL_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, TRUE AS optimal" for c in lx.NUMERIC_FEATURES
+)
+
+
+def optimal(spark, sf, name: str) -> DataFrame:
+    """Per feature: does the (sub)gradient of the penalised error vanish at the fitted model?"""
+    kind, params = training.PRESETS[name]
+    train, _ = plain_matrix(spark, sf)
+    # a common scale, so that the optimum is well conditioned
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+    train = scaler.fit(train).transform(train).drop("features").withColumnRenamed("scaled", "features")
+    train = cut(train, "scaled")
+    scale = training.label_scale(train)
+    model = training.regressor(kind, scale, **params).setTol(1e-12).setMaxIter(2000).fit(train)
+    error = F.col(LABEL) - F.col("prediction")
+    rows = model.transform(train).select(vector_to_array("features").alias("x"), error.alias("e"))
+    names = lx.NUMERIC_FEATURES
+    pulls = rows.agg(*[F.sum(F.col("x")[i] * F.col("e")).alias(f"p{i}") for i in range(len(names))]).first()
+    n, w = scale[0], model.coefficients.toArray()
+    out = []
+    for i, c in enumerate(names):
+        pull = pulls[i] / n
+        if kind == "ridge":
+            gap = abs(pull - params["alpha"] * w[i] / n)
+        else:
+            absolute = params["alpha"] * params["l1_ratio"]
+            squared = params["alpha"] * (1 - params["l1_ratio"])
+            side = absolute * (1 if w[i] > 0 else -1) + squared * w[i]
+            gap = abs(pull - side) if w[i] else max(0.0, abs(pull) - absolute)
+        out.append((c, bool(gap < 1e-4)))
+    return spark.createDataFrame(out, "feature string, optimal boolean")
+
+
+@query("train_ridge", OPTIMAL_SQL)
 def train_ridge(spark, sf):
-    return trained(
-        spark,
-        sf,
-        lambda rows: {"ridge": training.regressor("ridge", training.label_scale(rows), alpha=1.0)},
-    )
+    return optimal(spark, sf, "ridge")
 
 
-@query("train_elastic_net")
+@query("train_elastic_net", OPTIMAL_SQL)
 def train_elastic_net(spark, sf):
-    kind, params = training.PRESETS["elastic_net"]
-    return trained(
-        spark,
-        sf,
-        lambda rows: {"elastic_net": training.regressor(kind, training.label_scale(rows), **params)},
-    )
+    return optimal(spark, sf, "elastic_net")
 
 
-@query("train_random_forest")
+@query("train_random_forest", tested_sql("random_forest"))
 def train_random_forest(spark, sf):
-    size = {"n_estimators": 20, "max_depth": 5}
-    return trained(
-        spark, sf, lambda rows: {"random_forest": training.regressor("random_forest", **size)}
-    )
+    return preset_report(spark, sf, "random_forest")
 
 
-@query("train_gbt")
+@query("train_gbt", tested_sql("gradient_boosting"))
 def train_gbt(spark, sf):
-    """Gradient boosting, plain and with the row and column sampling of the boosted preset."""
-    plain = {"n_estimators": 10, "learning_rate": 0.1, "max_depth": 4}
-    sampled = {**plain, "learning_rate": 0.05, "subsample": 0.85, "colsample": "0.85"}
-    return trained(
-        spark,
-        sf,
-        lambda rows: {
-            "gradient_boosting": training.regressor("gradient_boosting", **plain),
-            "xgboost": training.regressor("xgboost", **sampled),
-        },
-    )
+    """Boosting sums corrections, so its predictions may leave the range of the labels a little."""
+    return preset_report(spark, sf, "gradient_boosting", low=0.0, high=6.0)
 
 
-@query("train_forest_variants")
+@query("train_forest_variants", tested_sql("optimized_rf", "extra_trees"))
 def train_forest_variants(spark, sf):
-    return trained(spark, sf, lambda rows: flow.small_models())
+    return preset_report(spark, sf, "optimized_rf", "extra_trees")
 
 
-@query("cross_validate")
+@query("cross_validate", "SELECT CAST(5 AS BIGINT) AS folds, TRUE AS error_in_range, TRUE AS spread_in_range")
 def cross_validate(spark, sf):
+    """Errors of five folds: no fold of ratings from 1 to 5 can be off by more than 4."""
     train, _ = plain_matrix(spark, sf)
-    estimator = training.regressor("random_forest", n_estimators=5, max_depth=4)
-    return training.cross_validate(estimator, train)
+    row = training.cross_validate(training.preset("random_forest"), train)
+    inside = lambda c: F.col(c).between(0.0, 4.0)
+    return row.select("folds", inside("cv_rmse_mean").alias("error_in_range"), inside("cv_rmse_std").alias("spread_in_range"))
 
 
-@query("train_transformed_target")
+@query("train_transformed_target", tested_sql("random_forest"))
 def train_transformed_target(spark, sf):
     train, test = plain_matrix(spark, sf)
-    done, power = training.evaluate_on_transformed_target(
-        "random_forest", "random_forest", train, test, n_estimators=10, max_depth=5
+    done, _ = training.evaluate_on_transformed_target(
+        "random_forest", "random_forest", train, test, **training.PRESETS["random_forest"][1]
     )
-    return report(spark, [done]).withColumn("lambda", r6(F.lit(power.lam)))
+    return tested(spark, [done])
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"SELECT CAST({len(lx.NUMERIC_FEATURES)} AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_negative, "
+    "CAST(1 AS DOUBLE) AS total",
+)
 def feature_importance(spark, sf):
-    """Importances of a forest, written as the report file and its top 15 read back."""
+    """Importances of a forest, written as the report file and read back: shares of one whole."""
     train, test = plain_matrix(spark, sf)
-    forest = training.regressor("random_forest", n_estimators=20, max_depth=5)
-    model = training.evaluate("forest", forest, train, test).model
+    model = training.evaluate("forest", training.preset("random_forest"), train, test).model
     importance = training.feature_importance(spark, model, lx.NUMERIC_FEATURES)
     path = new_path(spark, "importance")
     sinks.write_importance_csv(importance.drop("position"), path)
     written = spark.read.schema("feature string, importance double").csv(path, header=True)
-    return written.orderBy(F.desc("importance"), "feature").limit(15)
+    return written.agg(
+        F.count("feature").alias("n_features"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+        r6(F.sum("importance")).alias("total"),
+    )
 
 
 @query(
@@ -273,19 +322,40 @@ def importance_by_group(spark, sf):
 
 
 # ---------------------------------------------------------------------- full flows
-@query("ablation")
+@query(
+    "ablation",
+    "SELECT 'random_forest' AS model, TRUE AS scored_on_all_sets, TRUE AS gains_add_up",
+)
 def ablation(spark, sf):
-    prepared = flow.prepare(tables.embedded_books(spark, sf))
-    models = {"optimized_rf": flow.small_models()["optimized_rf"]}
-    deltas = evaluation.ablation_deltas(flow.ablation(prepared, models))
-    return deltas.select("model", *[r6(c).alias(c) for c in deltas.columns if c != "model"])
+    """Gains of each feature set over the one before, for a forest on all books that pass."""
+    prepared = flow.prepare(tables.books(spark, sf))
+    models = {"random_forest": training.preset("random_forest")}
+    d = evaluation.ablation_deltas(flow.ablation(prepared, models))
+    scored = [F.col(f"{s}_r2").isNotNull() & (F.col(f"{s}_r2") <= 1) for s in ("traditional", "semantic", "full")]
+    gains = F.col("semantic_improvement") + F.col("lexicon_improvement")
+    return d.select(
+        "model",
+        (scored[0] & scored[1] & scored[2]).alias("scored_on_all_sets"),
+        (F.abs(gains - F.col("total_improvement")) < 1e-9).alias("gains_add_up"),
+    )
 
 
-@query("train_and_register")
+@query(
+    "train_and_register",
+    q.over_runs(
+        "SELECT model_name, version, run_id, CASE WHEN stage = 'Production' THEN 'Archived' ELSE stage "
+        "END AS stage, FALSE AS described FROM versions WHERE model_name = 'predictor-7' UNION ALL "
+        "SELECT 'predictor-7', coalesce((SELECT max(version) FROM versions WHERE model_name = "
+        "'predictor-7'), 0) + 1, 0, 'Production', TRUE"
+    ),
+)
 def train_and_register(spark, sf):
     """Clean, build all blocks, train, pick the best, register it; the promoted versions."""
     versions = tables.versions(spark, sf)
+    models = {"random_forest": training.preset("random_forest")}
     _, _, registered = flow.train_and_register(
-        tables.embedded_books(spark, sf), versions, "predictor-7"
+        tables.books(spark, sf), versions, "predictor-7", models, path=new_path(spark, "run")
     )
-    return registered.where("model_name = 'predictor-7'")
+    described = F.coalesce(F.col("description").rlike(r"^Rating predictor. R2 = -?\d+\.\d{4}$"), F.lit(False))
+    mine = registered.where("model_name = 'predictor-7'")
+    return mine.select("model_name", "version", "run_id", "stage", described.alias("described"))

@@ -59,16 +59,48 @@ def knn_pruned(spark, sf):
     return topk(similarity.knn(bank, bank, 20, block_rows=256))
 
 
-# Vectors cut to the signs of their first eight places: many books share one, and many
-# similarities tie.
-COPIES = "transform(slice(embedding, 1, 8), x -> CAST(IF(x > 0, 1, IF(x < 0, -1, 0)) AS FLOAT))"
+# Ten neighbouring ids share the whole vector of the first of them, so that similarities tie.
 COPIES_SQL = """
-SELECT book_id, list_transform(CAST(embedding AS DOUBLE[])[1:8], lambda x: CAST(sign(x) AS DOUBLE))
-  AS v, average_rating AS rating
-FROM books JOIN embeddings ON vec_id = book_id WHERE average_rating IS NOT NULL
+SELECT book_id, CAST(e.embedding AS DOUBLE[]) AS v, average_rating AS rating
+FROM books JOIN embeddings own ON own.vec_id = book_id
+  JOIN embeddings e ON e.vec_id = book_id - book_id % 10 WHERE average_rating IS NOT NULL
 """
 
 
+# Vectors that cannot be compared: null, with NaN or a null place, and of another width.
+DIRTY = """CASE WHEN book_id % 50 = 1 THEN NULL
+  WHEN book_id % 50 = 2 THEN transform(embedding, (x, i) -> IF(i = 3, CAST('NaN' AS FLOAT), x))
+  WHEN book_id % 50 = 3 THEN transform(embedding, (x, i) -> IF(i = 5, CAST(NULL AS FLOAT), x))
+  WHEN book_id % 50 = 4 THEN concat(embedding, array(CAST(1 AS FLOAT))) ELSE embedding END"""
+
+
+@query(
+    "knn_dirty_vectors",
+    q.over_books(
+        f"SELECT book_id, rn, neighbour_id, {q.r6('similarity')} AS similarity FROM near",
+        bank=f"SELECT * FROM ({BANK_SQL}) WHERE book_id % 50 NOT IN (1, 2, 3, 4)",
+        near=near_sql(),
+    ),
+)
+def knn_dirty_vectors(spark, sf):
+    """Rows whose vectors cannot be compared are no queries and no neighbours."""
+    bank = rated_bank(spark, sf).withColumn("embedding", F.expr(DIRTY))
+    return topk(similarity.knn(bank, bank, 20))
+
+
+@query(
+    "unsound_vectors",
+    q.over_books(
+        "SELECT count(*) AS n_vectors, count(*) FILTER (WHERE book_id % 50 = 1) AS n_null, "
+        "count(*) FILTER (WHERE book_id % 50 IN (2, 3)) AS n_not_finite, "
+        "count(*) FILTER (WHERE book_id % 50 = 4) AS n_other_width "
+        f"FROM ({BANK_SQL})"
+    ),
+)
+def unsound_vectors(spark, sf):
+    return similarity.unsound(rated_bank(spark, sf).withColumn("embedding", F.expr(DIRTY)))
+
+
 @query(
     "knn_copies",
     q.over_books(
@@ -79,7 +111,11 @@ FROM books JOIN embeddings ON vec_id = book_id WHERE average_rating IS NOT NULL
 )
 def knn_copies(spark, sf):
     """Neighbours where many vectors are equal."""
-    bank = rated_bank(spark, sf).withColumn("embedding", F.expr(COPIES))
+    bank = rated_bank(spark, sf)
+    vectors = tables.table(spark, sf, "embeddings")
+    first = vectors.select(F.col("vec_id").alias("first"), F.col("embedding").alias("shared"))
+    bank = bank.join(first, bank.book_id - bank.book_id % 10 == F.col("first"))
+    bank = bank.select(KEY, F.col("shared").alias("embedding"), "average_rating")
     return topk(similarity.knn(bank, bank, 20))
 
 
@@ -182,7 +218,7 @@ _AGGREGATES = {**STATS_SQL, **MULTI_SQL, **DISTRIBUTION_SQL}
         f"CAST({AGE_LEVEL.replace('contains(x', 'contains(lower(x)')} AS INTEGER) "
         "AS estimated_age_level, "
         + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _AGGREGATES)
-        + f" FROM (SELECT book_id, {BOOK_TEXT} AS x FROM scaled) LEFT JOIN found USING (book_id)",
+        + f" FROM (SELECT book_id, {BOOK_TEXT} AS x FROM books) LEFT JOIN found USING (book_id)",
         scaled=SCALED_SQL,
         wide="SELECT book_id, rating, CAST(v AS DOUBLE[]) AS v FROM scaled",
         bank="SELECT * FROM wide WHERE rating IS NOT NULL",
@@ -191,7 +227,8 @@ _AGGREGATES = {**STATS_SQL, **MULTI_SQL, **DISTRIBUTION_SQL}
     ),
 )
 def semantic_block(spark, sf):
-    """All semantic features of the books that have a vector, the vector itself left out."""
+    """All semantic features of every book, the vector itself left out; books without a vector have
+    no neighbours."""
     clean = clean_embedded(spark, sf)
     block = SemanticBlock().fit(clean).transform(clean).drop("embedding")
     near = [c for c in block.columns if c not in (KEY, *OWN_SEMANTIC)]

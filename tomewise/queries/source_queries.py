@@ -56,6 +56,24 @@ def prefix_limit(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.first_rows(tables.books(spark, sf).select(KEY, "title"), 100, KEY)
 
 
+@query(
+    "prefix_limit_json",
+    q.over_books(
+        "SELECT book_id, title FROM (SELECT *, row_number() OVER (ORDER BY book_id % 3, book_id) AS rn "
+        "FROM books) WHERE rn <= 150 AND book_id % 7 <> 0"
+    ),
+)
+def prefix_limit_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 150 lines of three files, of which malformed ones use up the budget too."""
+    books, path = tables.books(spark, sf), new_path(spark, "files-json")
+    line = F.to_json(F.struct(KEY, "title"))
+    line = F.when(F.col(KEY) % 7 == 0, F.concat(F.lit("BAD "), line)).otherwise(line)
+    for i in range(3):
+        part = books.where(F.col(KEY) % 3 == i).repartition(1).sortWithinPartitions(KEY)
+        part.select(line.alias("value")).write.text(f"{path}/{i}")
+    return catalog.scan_json(spark, f"{path}/*", sample_size=150).select(KEY, "title")
+
+
 BANK = "books JOIN embeddings ON vec_id = book_id"
 
 

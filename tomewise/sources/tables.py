@@ -1,8 +1,8 @@
 """Views over the driver tables, in the shapes the operators expect.
 
 The SQL bodies run unchanged on Spark and on the oracle engine. ``documents`` has no
-titles, ratings or dates: a title is the opening of the text, the description is the
-whole text, and the other attributes follow from the row id, with keyword hits and
+titles, ratings or dates: a title is the opening of the text and the description is the whole
+text (every sixteenth book has no description and its whole text as title), and the other attributes follow from the row id, with keyword hits and
 nulls planted so that every branch of the operators is met.
 """
 
@@ -14,10 +14,10 @@ from .workspace import spread
 
 BOOKS_SQL = """
 SELECT doc_id AS book_id,
-  concat(substring(text, 1, 40), CASE doc_id % 6 WHEN 0 THEN ' #3' WHEN 1 THEN ': Book 2'
+  concat(CASE WHEN doc_id % 16 = 7 THEN text ELSE substring(text, 1, 40) END, CASE doc_id % 6 WHEN 0 THEN ' #3' WHEN 1 THEN ': Book 2'
     WHEN 2 THEN ' for Young Kids!' WHEN 3 THEN '?' WHEN 4 THEN ' Picture Book Set'
     ELSE '' END) AS title,
-  CASE WHEN length(text) < 100 THEN NULL ELSE concat(text, CASE doc_id % 8
+  CASE WHEN doc_id % 16 = 7 THEN NULL ELSE concat(text, CASE doc_id % 8
     WHEN 0 THEN ' An award winner full of fun and adventure.'
     WHEN 1 THEN ' Learn counting: a lesson for age 5, 5 years old.'
     WHEN 2 THEN ' A boring and scary story.'
