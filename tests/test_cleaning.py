@@ -144,3 +144,21 @@ def test_filters_reach_the_scan(spark, sf):
     )
     schema = plan[plan.index("ReadSchema") :].splitlines()[0]
     assert "doc_id" in schema and "text" not in schema
+
+
+def test_a_stated_year_survives_dated_training(spark):
+    dated = spark.createDataFrame([("t", "2001-05-06")], "title string, publication_date string")
+    fitted = cleaning.fit_cleaning(dated)
+    asked = spark.createDataFrame([("t", 1942), ("t", None)], "title string, publication_year int")
+    assert [r.publication_year for r in fitted.transform(asked).collect()] == [1942, 2020]
+    strict = cleaning.fit_cleaning(dated, year_mode="reference")
+    assert [r.publication_year for r in strict.transform(asked).collect()] == [2020, 2020]
+
+
+def test_line_budget_goes_by_file_and_place(spark, tmp_path):
+    for name, lines in (("b", 50), ("a", 3), ("c", 9)):
+        text = "".join(f'{{"book_id": {i}, "title": "{name}"}}\n' for i in range(lines))
+        (tmp_path / f"{name}.json").write_text(text.replace('{"book_id": 1,', "BAD", 1))
+    got = [(r.title, r.book_id) for r in catalog.scan_json(spark, str(tmp_path), sample_size=7).collect()]
+    assert sorted(got) == [("a", 0), ("a", 2), ("b", 0), ("b", 2), ("b", 3)]
+    assert catalog.scan_json(spark, str(tmp_path)).count() == 59

@@ -169,3 +169,11 @@ def test_saved_block_transforms_alike(spark, sf):
     a = fitted.transform(clean).orderBy("book_id").toPandas()
     b = loaded.transform(clean).orderBy("book_id").toPandas()
     assert np.allclose(a[names], b[names], atol=1e-9)
+
+
+def test_saved_stop_words_and_absent_languages_come_back(spark, tmp_path):
+    rows = [("alpha beta gamma", "delta alpha"), ("beta beta alpha", "delta beta"), ("gamma delta", "alpha")] * 4
+    df = spark.createDataFrame(rows, "title string, description string")
+    own = text_vectors.fit_tfidf(df, {"t": (text_vectors.title_source(), 5)}, 1, ("beta",))["t"]
+    again = text_vectors.TfIdf.from_frame(own.to_frame(spark))
+    assert again == own and "beta" not in again.vocabulary

@@ -2,13 +2,14 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tomewise.operators import evaluation, runs, scoring, training
+from tomewise.operators import evaluation, runs, scoring, text_vectors, training
 from tomewise.plans import flow
 from tomewise.plans.blocks import LEXICON_FEATURES, lexicon_block
-from tomewise.queries import QUERIES
-from tomewise.sources import tables
+from tomewise.sources import sinks, tables
+from tomewise.streaming.scoring import score_arriving
 
 
 def test_unknown_model():
@@ -102,15 +103,17 @@ def test_request_defaults(spark):
     assert len(vector) == 103 and vector[:5] == [0.0, 1999.0, 1.0, 1.0, 1.0]
 
 
-def test_flow_trains_registers_and_scores(spark, sf):
-    books = tables.embedded_books(spark, sf)
+def test_flow_trains_registers_and_scores(spark, sf, tmp_path):
+    books = tables.books(spark, sf)
     versions = tables.versions(spark, sf)
     models = {
         "broken": training.regressor("random_forest", n_estimators=2, max_depth=-1 + 2),
         "forest": training.regressor("random_forest", n_estimators=5, max_depth=4),
     }
     models["broken"].setFeaturesCol("no_such_column")
-    scorer, metrics, registered = flow.train_and_register(books, versions, "predictor-3", models)
+    scorer, metrics, registered = flow.train_and_register(
+        books, versions, "predictor-3", models, 7, str(tmp_path)
+    )
     assert [r.model for r in metrics.collect()] == ["forest"]
     production = registered.where("model_name = 'predictor-3' AND stage = 'Production'").collect()
     assert len(production) == 1 and production[0].description.startswith("Rating predictor")
@@ -125,25 +128,85 @@ def test_flow_trains_registers_and_scores(spark, sf):
     model_width = len(scorer.model.featureImportances.toArray())
     assert len(manifest) == model_width == len(set(manifest))
 
+    # the run left all that another session needs
+    assert sinks.load_manifest(spark, f"{tmp_path}/feature_manifest") == manifest
+    logged = {r.key: r.run_id for r in spark.read.parquet(f"{tmp_path}/metrics").collect()}
+    assert logged == {"forest_r2": "7", "forest_rmse": "7", "forest_mae": "7"}
+    assert spark.read.csv(f"{tmp_path}/importance", header=True).count() == model_width
+    loaded = flow.Scorer.load(spark, f"{tmp_path}/scorer")
+    assert loaded.columns == scorer.columns and loaded.features.sets == scorer.features.sets
+    again = {r.book_id: r.prediction for r in loaded.score(books).collect()}
+    assert again == pytest.approx({r.book_id: r.prediction for r in scored.collect()})
+
+
+def test_fitting_ignores_test_rows(spark, sf):
+    """Medians and the last year are those of training rows of the category."""
+    books = tables.books(spark, sf)
+    wild = evaluation.is_test()
+    odd = books.withColumns({
+        "num_pages": F.when(wild, 90_000.0).otherwise(F.col("num_pages")),
+        "publication_date": F.when(wild, "2222-01-01").otherwise(F.col("publication_date")),
+    })
+    fitted = [flow.prepare(b, with_semantic=False, with_lexicon=False).features.cleaning for b in (books, odd)]
+    assert fitted[0] == fitted[1] and fitted[0].max_year < 2100
+
+
+def test_trees_of_extra_trees_differ(spark):
+    rng = np.random.default_rng(5)
+    rows = [(Vectors.dense(x), float(x[0] + x[1] ** 2)) for x in rng.normal(size=(200, 6))]
+    data = spark.createDataFrame(rows, ["features", training.LABEL])
+    forest = training.regressor("extra_trees", n_estimators=5, max_depth=6).fit(data)
+    assert len({t.toDebugString.split("\n", 1)[1] for t in forest.trees}) == 5
+
+
+@pytest.mark.parametrize("name", sorted(training.PRESETS))
+def test_every_preset_fits(spark, name):
+    rng = np.random.default_rng(6)
+    rows = [(Vectors.dense(x), float(x[0] > 0) + 2.0) for x in rng.normal(size=(60, 3))]
+    data = spark.createDataFrame(rows, ["features", training.LABEL]).coalesce(1).cache()
+    model = training.preset(name, data).fit(data)
+    row = model.transform(data).agg(F.count("prediction"), F.avg("prediction")).first()
+    assert row[0] == 60 and 2.0 <= row[1] <= 3.0
+
+
+def test_no_label_without_a_prediction(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (4.2,)], "prediction double")
+    labels = [r.confidence for r in df.select(scoring.confidence_labels()["confidence"].alias("confidence")).collect()]
+    assert labels == [None, None, "High-rated book predicted"]
+
+
+def test_a_share_without_buckets_is_refused():
+    with pytest.raises(ValueError):
+        evaluation.is_test(0.004)
+
 
 def test_no_row_meets_its_own_rating(spark, sf):
     """Test rows are absent from the bank that neighbours are taken from."""
-    prepared = flow.prepare(tables.embedded_books(spark, sf), with_lexicon=False)
+    prepared = flow.prepare(tables.books(spark, sf), with_lexicon=False)
     bank = prepared.features.semantic.bank.select("book_id")
     assert bank.join(prepared.test, "book_id", "left_semi").count() == 0
     assert bank.count() > 0
 
 
-def test_stream_scores_every_request(spark, sf):
-    answers = QUERIES["score_stream"](spark, sf).collect()
-    assert len(answers) == len({r.book_id for r in answers}) == tables.books(spark, sf).count()
+def test_stream_answers_every_request_once(spark, sf, tmp_path):
+    """All blocks are scored, and a batch that is repeated overwrites its own answers."""
+    books = tables.books(spark, sf)
+    models = {"forest": training.regressor("random_forest", n_estimators=3, max_depth=3)}
+    scorer, _, _ = flow.train_and_register(books, tables.versions(spark, sf), "predictor-3", models)
+    asked = books.select("book_id", "title", "description", F.lit(1990).alias("publication_year"))
+    asked.repartition(2).write.parquet(f"{tmp_path}/in")
+    for checkpoint in ("a", "b"):  # the second query starts over with batch 0
+        stream = spark.readStream.schema(asked.schema).parquet(f"{tmp_path}/in")
+        score_arriving(stream, scorer, f"{tmp_path}/out", f"{tmp_path}/{checkpoint}").awaitTermination()
+    answers = spark.read.parquet(f"{tmp_path}/out/batch=*").collect()
+    assert len(answers) == len({r.book_id for r in answers}) == books.count()
     assert all(r.confidence and r.explanation.endswith("stars") for r in answers)
 
 
 def test_text_vectors_have_their_width(spark, sf):
-    row = QUERIES["text_embed"](spark, sf).first()
-    assert len(row.embedding) == 64
-    assert len(QUERIES["text_svd"](spark, sf).columns) == 31
+    books, source = tables.books(spark, sf), text_vectors.book_source()
+    embedder = text_vectors.fit_text_embedders(books, {"book": (source, 256, 64)})["book"]
+    assert len(embedder.transform(books, source).first().embedding) == 64
 
 
 def test_entry(spark):
