@@ -3,7 +3,8 @@
 A document is its set of distinct word shingles. Equal sets are one node. Two sets of Jaccard
 similarity ``percent`` or more differ in few shingles, so of more hash slabs than that, some hold
 the very same shingles in both: slabs deal documents out to Spark partitions without losing a pair
-(sizes are banded, since similar sets are of similar size). Documents that share a slab form
+(sizes are banded, since similar sets are of similar size; shingles that are common in a sample are
+left out where enough others remain, which loses no pair either). Documents that share a slab form
 clusters, and every link lies within one.
 
 A task joins the documents of a cluster by an R-tree: shingles are hashed into groups, the counts
@@ -32,7 +33,8 @@ from ..sources.workspace import cut
 from .common import chunks, indexed, lower_words, texts
 from .graph import components
 
-LIGHT = 2  # a slab with fewer shingles says little, as a common one may be alone in it
+SLOTS, SLOT_SHIFT = 1 << 24, np.uint64(40)  # of shingle hashes, by their first 24 bits
+SAMPLE, SHARED = 8_000, 3  # documents looked at for common shingles, and how many share one
 TILE = 8 << 20  # bytes of shingle hashes in a tile
 LEAF = 16  # points of a leaf, and leaves of a box
 FACTS = "doc_id long, n long, node long, keys array<long>"
@@ -79,12 +81,15 @@ def differences(percent: int, size: int) -> int:
     return (size + 100 * size // percent) * (100 - percent) // (100 + percent)
 
 
-def slab_keys(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
+def slab_keys(sets: list[np.ndarray], percent: int, common: np.ndarray | None = None) -> list[np.ndarray]:
     """Keys of each set such that linked, unequal sets have one in common.
 
-    There are 1 + s more slabs than differences, so linked sets agree on 1 + s slabs at least. Light
-    slabs are left out by a set that has at most s of them, as then some agreeing slab is not light
-    in either set (both hold the same in it). Sets with more light slabs give the keys of all.
+    There are 1 + s more slabs than differences, so linked sets agree on 1 + s slabs at least, and
+    also if only some of all shingles are looked at. First, slabs hold the shingles that are not
+    ``common``; every set gives the keys of those that are not empty. If one of two linked sets has
+    at most s empty ones, some slab they agree on is not empty. Sets with more of them give keys of
+    slabs of all their shingles as well, where the same holds; with more than s empty ones there,
+    also those of empty slabs.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     if not sizes.sum():
@@ -92,6 +97,7 @@ def slab_keys(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
     edges = np.array(bands(percent, int(sizes.max())))
     band = np.searchsorted(edges, sizes, side="right") - 1
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    rare = np.ones(len(flat), bool) if common is None else ~common[(flat >> SLOT_SHIFT).astype(np.int64)]
     spread, value = mixed(flat + M1), mixed(flat + M2)
     low, high = (value & np.uint64(0xFFFFFFFF)).astype(float), (value >> np.uint64(32)).astype(float)
     found: list[list[np.ndarray]] = [[] for _ in sets]
@@ -99,28 +105,57 @@ def slab_keys(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
         group = band - down
         tops = edges[np.minimum(np.maximum(group, 0) + 1, len(edges) - 1)] - 1
         most = np.array([differences(percent, int(t)) for t in tops])
-        slack = 2 + (most * 15 + 99) // 100
+        slack = 2 + most // 8
         slabs = np.where((group >= 0) & (most > 0) & (sizes > 0), most + 1 + slack, 0)
-        first = np.cumsum(slabs) - slabs
+        first, total = np.cumsum(slabs) - slabs, int(slabs.sum())
         use = slabs[owner] > 0
         wide = np.maximum(slabs[owner], 1).astype(np.uint64)
-        at = (first[owner] + ((spread >> np.uint64(20)) % wide).astype(np.int64))[use]
-        total = int(slabs.sum())
-        sums = [np.bincount(at, w[use], minlength=total).astype(np.uint64) for w in (low, high)]
-        held = np.bincount(at, minlength=total)
+        at = first[owner] + ((spread >> np.uint64(20)) % wide).astype(np.int64)
         whose = np.repeat(np.arange(len(sets)), slabs)
         place = (np.arange(total) - first[whose]).astype(np.uint64)
-        tag = mixed(group[whose].astype(np.uint64) << np.uint64(32) | place)
-        keys = mixed(mixed(sums[0] + tag) + sums[1] * M1)
-        light = np.bincount(whose[held < LIGHT], minlength=len(sets))
-        kept = (held >= LIGHT) | (light > slack)[whose]
-        for i, some in enumerate(np.split(keys[kept], np.cumsum(np.bincount(whose[kept], minlength=len(sets)))[:-1])):
-            found[i].append(some)
+        again = np.ones(len(sets), bool)
+        for layer, chosen in enumerate((use & rare, use)):
+            sums = [np.bincount(at[chosen], w[chosen], minlength=total).astype(np.uint64) for w in (low, high)]
+            held = np.bincount(at[chosen], minlength=total)
+            tag = mixed((group[whose].astype(np.uint64) * np.uint64(2) + np.uint64(layer)) << np.uint64(32) | place)
+            keys = mixed(mixed(sums[0] + tag) + sums[1] * M1)
+            few = np.bincount(whose[held == 0], minlength=len(sets)) > slack
+            kept = (held > 0) & again[whose]
+            if layer:
+                kept |= (few & again)[whose]
+            ends = np.cumsum(np.bincount(whose[kept], minlength=len(sets)))[:-1]
+            for i, some in enumerate(np.split(keys[kept], ends)):
+                found[i].append(some)
+            again = few
+            if common is None and not layer:
+                again = few & (slabs > 0)
     return [np.concatenate(k) for k in found]
 
 
+def common_shingles(docs: DataFrame, words: int, sample: int = SAMPLE) -> np.ndarray:
+    """Which slots of shingle hashes several documents of a sample share (SLOTS booleans).
+
+    The sample (``sample`` rows, by order of an id hash) only makes keys more selective: no choice of
+    common shingles can lose a link.
+    """
+    taken = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.join(F.broadcast(taken.distinct()), "doc_id", "left_semi").select("text")
+
+    def run(batches):
+        for batch in chunks(batches):
+            slots = [np.unique((s >> SLOT_SHIFT).astype(np.int64)) for s in shingle_sets([lower_words(t) for t in texts(batch)], words)]
+            kinds, n = np.unique(np.concatenate(slots), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n.astype(np.int64))], ["slot", "n"])
+
+    counts = rows.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    out = np.zeros(SLOTS, bool)
+    out[counts.where(F.col("n") >= SHARED).select("slot").toArrow()["slot"].to_numpy()] = True
+    return out
+
+
 def _facts(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """FACTS of every row; the keys of a set are given once in a task."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
 
     def run(batches):
         seen: set[int] = set()
@@ -134,7 +169,7 @@ def _facts(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     seen.add(node)
                     fresh.append(i)
             keys: list = [None] * len(sets)
-            for i, k in zip(fresh, slab_keys([sets[i] for i in fresh], percent), strict=True):
+            for i, k in zip(fresh, slab_keys([sets[i] for i in fresh], percent, common.value), strict=True):
                 keys[i] = k.astype(np.int64)
             columns = [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                        pa.array(nodes, mask=np.array([not len(s) for s in sets])), pa.array(keys, pa.list_(pa.int64()))]
