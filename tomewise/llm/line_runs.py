@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import new_path
-from .common import LOWER, SPACE, UPPER
+from .common import LOWER, SPACE, UPPER, chunks
 
 RUN_SCHEMA = "line binary, n_docs long, last_doc long"
 RESULT = "doc_id long, n_lines long, n_dropped long, kept_text string, kept_sha256 string"
@@ -126,7 +126,7 @@ def dedup_lines(docs: DataFrame, batches: int = 4, min_chars: int = 20, min_docs
 
 
 def _without(batches):
-    for batch in batches:
+    for batch in chunks(batches, limit=1 << 20):
         out = []
         for doc_id, text, drops in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             lines, gone = text.split("\n"), set(drops or ())
