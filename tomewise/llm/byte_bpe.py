@@ -74,11 +74,13 @@ WITH RECURSIVE step(word, pos, id, turn) AS (
 SELECT word, (word << 32) | pos AS k, id, turn FROM step
 """
 
-#: The last turn of each word holds its tokens.
+#: The last turn of each word holds its tokens. One thread aggregates rows in the order of the sort,
+#: which is cheaper than a sort in each group; what is decoded is compared with the word.
 AGGREGATE = """
 WITH ends AS (SELECT word, max(turn) AS turn FROM tokens GROUP BY word)
-SELECT word, list(t.id ORDER BY t.k) AS ids, list(v.token ORDER BY t.k) AS decoded
-FROM tokens t JOIN ends USING (word, turn) JOIN vocabulary v USING (id) GROUP BY word ORDER BY word
+SELECT word, list(id) AS ids, list(token) AS decoded FROM (
+  SELECT word, t.id, v.token FROM tokens t JOIN ends USING (word, turn) JOIN vocabulary v USING (id) ORDER BY t.k
+) GROUP BY word ORDER BY word
 """
 
 
@@ -91,8 +93,7 @@ class DuckBpe:
         self.pattern = regex.compile(pattern)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.made: dict[bytes, tuple[bytes, bytes]] = {}
-        self.limit = limit
+        self.made = Remembered(self.words, limit)
         self._load()
         self.first = Remembered(lambda ps: self._pieces(ps), limit // 4)
         self.later = Remembered(lambda ps: self._pieces([" " + p for p in ps]), limit)
@@ -145,27 +146,21 @@ class DuckBpe:
         cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())]).tolist()
         sizes = pc.binary_length(decoded.flatten()).to_numpy()
         back, ends = b"".join(decoded.flatten().to_pylist()), np.concatenate([[0], np.cumsum(sizes)])[cuts].tolist()
-        return [
+        out = [
             (flat[4 * a : 4 * b], back[c:d])
             for a, b, c, d in zip(cuts, cuts[1:], ends, ends[1:], strict=False)
         ]
+        if [x for _, x in out] != words:
+            raise AssertionError("the tokens of some word do not decode to it")
+        return out
 
     def _pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids and decoded bytes of pieces that end where a match of the pattern ends."""
         split = [[w.encode("utf-8", "surrogatepass") for w in self.pattern.findall(p)] for p in pieces]
-        fresh = list({w for words in split for w in words if w not in self.made})
-        if len(self.made) + len(fresh) > self.limit:
-            self.made = {}
-            fresh = list({w for words in split for w in words})
-        self.made.update(zip(fresh, self.words(fresh), strict=True))
         out = []
-        for words in split:
-            got = [self.made[w] for w in words]
+        for got in self.made.lists(split):
             ids = b"".join(x[0] for x in got)
             out.append(len(ids).to_bytes(4, "little") + ids + b"".join(x[1] for x in got))
-        for w in fresh:
-            if len(w) > LONG_WORD:
-                del self.made[w]
         return out
 
     def encode(self, docs: list[str]) -> list[tuple[bytes, bytes]]:
