@@ -18,6 +18,7 @@ count each time; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -28,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import cut
-from .common import chunks, indexed, lower_words, sums_by_document, texts
+from .common import chunks, indexed, lower_words, sums_by_document, texts, worker_state
 
 ORDER = 5
 SYMBOLS = 256
 STOP = b"\n"  # the end of a text, and what stands before its start
 BLOCK = 1 << 18  # bytes worked on at a time
-HEAD_WORDS = 150_000
-MAX_GRAMS = 3_000_000
+HEAD_WORDS = 100_000
+MAX_GRAMS = 1_500_000
 ROWS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<binary>"
 
 
@@ -48,7 +49,7 @@ def word_counts(training: DataFrame) -> DataFrame:
             for text in texts(batch):
                 counts.update(lower_words(text))
             counts[b""] += batch.num_rows
-            if len(counts) > 300_000:
+            if len(counts) > 150_000:
                 yield _counts(counts)
                 counts = Counter()
         if counts:
@@ -87,11 +88,11 @@ def gram_counts(training: DataFrame) -> DataFrame:
 
     def run(batches):
         kinds, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=1 << 20):
             parts = [np.unique(g, return_counts=True) for _, g in grams(*coded([lower_words(t) for t in texts(batch)]))]
             kinds, at = np.unique(np.concatenate([kinds, *(k for k, _ in parts)]), return_inverse=True)
             n = np.bincount(at, np.concatenate([n, *(c for _, c in parts)]), minlength=len(kinds)).astype(np.int64)
-            if len(kinds) > 2_000_000:
+            if len(kinds) > 1_000_000:
                 yield from _gram_batches(kinds, n)
                 kinds, n = kinds[:0], n[:0]
         yield from _gram_batches(kinds, n)
@@ -210,6 +211,7 @@ class Codes:
 class Model:
     trie: Trie
     head: dict[bytes, int]  # counts of common words
+    name: str  # that a worker knows it by
     tokens: int  # training tokens
     kinds: int  # distinct training tokens
 
@@ -239,7 +241,7 @@ def train(training: DataFrame, head_words: int = HEAD_WORDS, max_grams: int = MA
     trie = Trie.build(kept["gram"].to_numpy()[order].astype(np.uint64), kept["n"].to_numpy()[order].astype(float))
     common = words.where(F.col("n") >= _least(words, head_words)).toArrow()
     head = dict(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True))
-    return Model(trie, head, size.tokens, size.kinds), words
+    return Model(trie, head, uuid.uuid4().hex, size.tokens, size.kinds), words
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
@@ -248,7 +250,11 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
 
     def run(batches):
         m, part, row = shipped.value, TaskContext.get().partitionId() << 40, 0
-        codes = Codes(m.trie)
+        state = worker_state()  # one table for all tasks of a worker
+        if (state.get("ppm") or ("",))[0] != m.name:
+            state["ppm"] = None
+            state["ppm"] = (m.name, Codes(m.trie))
+        codes = state["ppm"][1]
         for batch in chunks(batches, limit=1 << 20):
             docs = [lower_words(t) for t in texts(batch)]
             total = codes.documents(docs)
