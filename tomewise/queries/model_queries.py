@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as lx
 from ..operators import evaluation, selection, training
 from ..operators.matrix import sanitize
-from ..plans import flow
+from ..plans import advanced, flow
 from ..plans.blocks import LABEL
 from ..sources import sinks, tables
 from ..sources.workspace import cut, new_path
@@ -359,3 +359,53 @@ def train_and_register(spark, sf):
     described = F.coalesce(F.col("description").rlike(r"^Rating predictor. R2 = -?\d+\.\d{4}$"), F.lit(False))
     mine = registered.where("model_name = 'predictor-7'")
     return mine.select("model_name", "version", "run_id", "stage", described.alias("described"))
+
+
+
+
+@query(
+    "advanced_block",
+    q.over_clean(
+        "SELECT book_id, CAST(50 AS INTEGER) AS at_most, TRUE AS finite FROM clean",
+    ),
+)
+def advanced_block(spark, sf):
+    """The block fitted and applied to all books: at most 50 features, all of them finite."""
+    clean = clean_books(spark, sf)
+    block = advanced.AdvancedBlock().fit(clean)
+    values = F.array(*[F.col(c) for c in block.chosen])
+    finite = F.forall(values, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    width = F.when(F.lit(0 < len(block.chosen) <= 50), F.lit(50)).alias("at_most")
+    return block.transform(clean).select(KEY, width, finite.alias("finite"))
+
+
+def _tested_among(model: str, kept: str) -> str:
+    return q.over_books(
+        f"SELECT '{model}' AS model, count(*) AS n_rows, 0 AS n_missing, 0 AS n_outside FROM kept "
+        f"WHERE ({HASH_SQL}) < 20",
+        chosen=f"SELECT * FROM books WHERE regexp_matches(lower(popular_shelves), '{lx.CATEGORY_PATTERN}')",
+        kept=kept,
+    )
+
+
+@query(
+    "train_advanced",
+    _tested_among(
+        "random_forest",
+        "SELECT * FROM (SELECT *, quantile_cont(average_rating, 0.25) OVER () AS q1, "
+        "quantile_cont(average_rating, 0.75) OVER () AS q3 FROM chosen) "
+        "WHERE average_rating BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)",
+    ),
+)
+def train_advanced(spark, sf):
+    return tested(spark, [advanced.train_advanced(tables.books(spark, sf))])
+
+
+@query(
+    "train_config",
+    _tested_among("linear", "SELECT * FROM chosen WHERE average_rating BETWEEN 1 AND 5"),
+)
+def train_config(spark, sf):
+    """A linear model of all traditional features; its predictions are not bounded by the ratings."""
+    done, _, _ = advanced.train_configured(tables.books(spark, sf), "linear")
+    return tested(spark, [done], -1e6, 1e6)
