@@ -215,6 +215,15 @@ class Model:
     tokens: int  # training tokens
     kinds: int  # distinct training tokens
 
+    def parts(self) -> tuple:
+        """Plain values, for a broadcast that needs no class of this package."""
+        levels = [tuple(vars(level).values()) for level in self.trie.levels]
+        return levels, self.head, self.name, self.tokens, self.kinds
+
+    @classmethod
+    def of(cls, levels: list[tuple], *rest) -> Model:
+        return cls(Trie([Level(*level) for level in levels]), *rest)
+
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.kinds + 1)))
 
@@ -246,10 +255,10 @@ def train(training: DataFrame, head_words: int = HEAD_WORDS, max_grams: int = MA
 
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of rows of doc_id, text, held_out."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def run(batches):
-        m, part, row = shipped.value, TaskContext.get().partitionId() << 40, 0
+        m, part, row = Model.of(*shipped.value), TaskContext.get().partitionId() << 40, 0
         state = worker_state()  # one table for all tasks of a worker
         if (state.get("ppm") or ("",))[0] != m.name:
             state["ppm"] = None

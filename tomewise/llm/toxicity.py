@@ -192,11 +192,12 @@ def fit(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> Classifier:
 
 def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """doc_id, score of every row of doc_id, text."""
-    shipped = docs.sparkSession.sparkContext.broadcast(classifier)
+    shipped = docs.sparkSession.sparkContext.broadcast((classifier.weights, classifier.bias))
 
     def run(batches):
+        learned = Classifier(*shipped.value)
         for batch in chunks(batches):
-            arrays = [batch.column("doc_id").cast(pa.int64()), pa.array(shipped.value.scores(texts(batch)))]
+            arrays = [batch.column("doc_id").cast(pa.int64()), pa.array(learned.scores(texts(batch)))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)
@@ -204,11 +205,12 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 def keep_clean(docs: DataFrame, classifier: Classifier, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with all their columns."""
-    shipped = docs.sparkSession.sparkContext.broadcast(classifier)
+    shipped = docs.sparkSession.sparkContext.broadcast((classifier.weights, classifier.bias))
 
     def run(batches):
+        learned = Classifier(*shipped.value)
         for batch in chunks(batches):
-            yield batch.filter(pa.array(np.array(shipped.value.scores(texts(batch))) < threshold))
+            yield batch.filter(pa.array(np.array(learned.scores(texts(batch))) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
 
