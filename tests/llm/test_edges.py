@@ -235,6 +235,14 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_ppm_rare_grams_count_at_every_order(spark):
+    rare = spark.createDataFrame([(i, f"{'common words here ' * 30} жук{chr(0x430 + i)}") for i in range(20)], "doc_id long, text string")
+    docs = rare.withColumn("held_out", F.col("doc_id") == 19)
+    training = docs.where("NOT held_out")
+    whole, small = (by_id(ppm.score(docs, *ppm.train(training, max_grams=n))) for n in (10**6, 10))
+    assert all(small[d].score == pytest.approx(r.score, rel=1e-9) for d, r in whole.items())
+
+
 def test_toxicity(spark, odd, none, no_labels):
     nothing = toxicity.fit(odd, no_labels)
     assert all(r.score < 0.01 for r in toxicity.score(odd, nothing).collect())

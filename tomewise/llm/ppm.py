@@ -6,10 +6,11 @@ escapes to the next shorter one (method D: the first sighting of a kind counts h
 and bytes that the longer context knows are excluded there; the last resort is an even share among
 bytes that no context knows. ``score`` is the log10 probability of all bytes and the end.
 
-Word counts and trie counts come from all training texts: summed in each task, then by Spark. Words
-common enough for a bounded table are looked up in memory, all others by a shuffle join. The trie is
-shipped to executors; where it has more than ``max_grams`` grams, the rarest classes of counts are
-cut from it (their bytes then escape), so that its size is bounded at any scale.
+Word counts and trie counts come from all training texts: summed in each task, then by Spark. The
+trie stays in Spark: its grams are dealt out by the SHARED bytes before the predicted one, so that
+each task holds all there is to know of its longer contexts; shorter ones are shipped to all tasks.
+What is common enough for a bounded table (words; at most ``max_grams`` grams with their scores) is
+looked up in memory, all other words and grams by a shuffle join. These bounds change no result.
 
 Null and empty texts are the end alone. Rows without an id are trained on and scored. Without
 training rows, every byte is an even share. An empty table gives an empty result; repeated rows
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,8 +38,13 @@ SYMBOLS = 256
 STOP = b"\n"  # the end of a text, and what stands before its start
 BLOCK = 1 << 18  # bytes worked on at a time
 HEAD_WORDS = 100_000
-MAX_GRAMS = 1_500_000
-ROWS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<binary>"
+MAX_GRAMS = 1_500_000  # that are looked up in memory
+SHARED = 3  # bytes of context that say which task holds a gram; there are at most 256 ** SHARED shorter grams
+TASK_GRAMS = 400_000  # grams of a task on average
+ROWS = (
+    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
+    "tail array<binary>, far array<long>"
+)
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -131,10 +138,13 @@ class Trie:
     levels: list[Level]
 
     @classmethod
-    def build(cls, grams: np.ndarray, counts: np.ndarray) -> Trie:
-        """From the grams of the longest contexts; shorter contexts are sums over their first bytes."""
-        levels, eight = [], np.uint64(8)
-        for order in range(ORDER + 1):
+    def build(cls, grams: np.ndarray, counts: np.ndarray, top: int = ORDER, below: Sequence[Level] = ()) -> Trie:
+        """From the grams of contexts of ``top`` bytes; shorter contexts are sums over their last bytes.
+
+        The shortest ones may be given in ``below``, where the grams are not all there are.
+        """
+        levels, eight = list(below), np.uint64(8)
+        for order in range(len(levels), top + 1):
             kinds, at = np.unique(grams & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
             n = np.bincount(at, counts, minlength=len(kinds)) if len(kinds) else np.zeros(0)
             contexts, of = np.unique(kinds >> eight, return_inverse=True)
@@ -170,46 +180,50 @@ class Trie:
 
 
 class Codes:
-    """log10 probabilities of grams: those of the trie by a hash table, others through the trie.
+    """log10 probabilities of the grams that are looked up in memory, by a hash table.
 
-    Two grams that meet in a slot leave it to the more frequent one.
+    Two grams that meet in a slot leave it to the later one; the other is found by bisection.
     """
 
-    def __init__(self, trie: Trie):
-        self.trie, top = trie, trie.levels[ORDER]
-        self.shift = np.uint64(64 - max(10, int(2 * len(top.grams) + 1).bit_length()))
-        order = np.argsort(top.counts, kind="stable")
-        kinds = top.grams[order]
+    def __init__(self, kinds: np.ndarray, values: np.ndarray):
+        self.shift = np.uint64(64 - max(10, int(2 * len(kinds) + 1).bit_length()))
         self.keys = np.full(1 << (64 - int(self.shift)), np.iinfo(np.uint64).max, np.uint64)
         self.values = np.zeros(len(self.keys), np.float32)
         slot = self._slot(kinds)
         self.keys[slot] = kinds
         won = self.keys[slot] == kinds
-        self.values[slot[won]] = trie.code(kinds[won] >> np.uint64(8), kinds[won] & np.uint64(255))
+        self.values[slot[won]] = values[won]
+        order = np.argsort(kinds[~won])
+        self.others, self.other_values = kinds[~won][order], values[~won][order]
 
     def _slot(self, kinds: np.ndarray) -> np.ndarray:
         return ((kinds * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
-    def __call__(self, kinds: np.ndarray) -> np.ndarray:
+    def __call__(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of grams (0 where unknown), and which places are unknown."""
         slot = self._slot(kinds)
-        out = self.values[slot].astype(float)
-        other = np.flatnonzero(self.keys[slot] != kinds)
-        if len(other):
-            rest, at = np.unique(kinds[other], return_inverse=True)
-            out[other] = self.trie.code(rest >> np.uint64(8), rest & np.uint64(255))[at]
-        return out
+        out, other = self.values[slot].astype(float), np.flatnonzero(self.keys[slot] != kinds)
+        i, there = _at(self.others, kinds[other])
+        out[other] = np.where(there, self.other_values[i] if len(self.others) else 0.0, 0.0)
+        return out, other[~there]
 
-    def documents(self, docs: list[list[bytes]]) -> np.ndarray:
+    def documents(self, docs: list[list[bytes]]) -> tuple[np.ndarray, pa.ListArray]:
+        """Of each document, the sum of known codes and its grams without one."""
         flat, ends = coded(docs)
-        code = np.zeros(len(flat))
+        code, places, far = np.zeros(len(flat)), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for place, gram in grams(flat, ends):
-            code[place] = self(gram)
-        return sums_by_document(code, ends)
+            code[place], unknown = self(gram)
+            places.append(place[unknown])
+            far.append(gram[unknown])
+        offsets = np.searchsorted(np.concatenate(places), np.concatenate([[0], ends])).astype(np.int32)
+        return sums_by_document(code, ends), pa.ListArray.from_arrays(offsets, np.concatenate(far).astype(np.int64))
 
 
 @dataclass
 class Model:
-    trie: Trie
+    grams: np.ndarray  # common ones, the commonest last
+    codes: np.ndarray  # their log10 probabilities
+    short: list[Level]  # contexts of less than SHARED bytes
     head: dict[bytes, int]  # counts of common words
     name: str  # that a worker knows it by
     tokens: int  # training tokens
@@ -217,12 +231,7 @@ class Model:
 
     def parts(self) -> tuple:
         """Plain values, for a broadcast that needs no class of this package."""
-        levels = [tuple(vars(level).values()) for level in self.trie.levels]
-        return levels, self.head, self.name, self.tokens, self.kinds
-
-    @classmethod
-    def of(cls, levels: list[tuple], *rest) -> Model:
-        return cls(Trie([Level(*level) for level in levels]), *rest)
+        return self.grams, self.codes, [], self.head, self.name, self.tokens, self.kinds
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.kinds + 1)))
@@ -240,33 +249,65 @@ def _least(table: DataFrame, bound: int) -> int:
     return 2**least
 
 
-def train(training: DataFrame, head_words: int = HEAD_WORDS, max_grams: int = MAX_GRAMS) -> tuple[Model, DataFrame]:
-    """The model, and the table of all word counts."""
+def gram_codes(counted: DataFrame, short: list[Level], wanted: DataFrame) -> DataFrame:
+    """gram, code: the log10 probabilities of the distinct grams of ``wanted``, by all that are counted.
+
+    They are rounded to single precision, so that sums of them do not depend on their order.
+    """
+    spark = counted.sparkSession
+    shipped = spark.sparkContext.broadcast([tuple(vars(level).values()) for level in short])
+
+    def run(batches):
+        held = [(b.column("gram").to_numpy(), b.column("n").to_numpy(), b.column("asked").to_numpy(zero_copy_only=False)) for b in batches]
+        if not held:
+            return
+        gram, n, asked = (np.concatenate(x) for x in zip(*held, strict=True))
+        gram, asked = gram.astype(np.uint64), asked.astype(bool)
+        trie = Trie.build(gram[~asked], n[~asked].astype(float), below=[Level(*x) for x in shipped.value])
+        gram = gram[asked]
+        for i in range(0, len(gram), 100_000):
+            part = gram[i : i + 100_000]
+            code = trie.code(part >> np.uint64(8), part & np.uint64(255)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64)), pa.array(code.astype(float))], ["gram", "code"])
+
+    tasks = max(spark.sparkContext.defaultParallelism, (counted.count() + wanted.count()) // TASK_GRAMS + 1)
+    both = counted.select("gram", "n", F.lit(False).alias("asked"))
+    both = both.union(wanted.select("gram", F.lit(0).cast("long"), F.lit(True)))
+    context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * SHARED) - 1))
+    return both.repartition(tasks, context).mapInArrow(run, "gram long, code double")
+
+
+def train(training: DataFrame, head_words: int = HEAD_WORDS, max_grams: int = MAX_GRAMS) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, and the tables of all word counts and of all gram counts."""
     words = cut(word_counts(training), "ppm-words")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds")).first()
     counted = cut(gram_counts(training), "ppm-grams")
-    kept = counted.where(F.col("n") >= _least(counted, max_grams)).toArrow()
-    order = np.argsort(kept["gram"].to_numpy())
-    trie = Trie.build(kept["gram"].to_numpy()[order].astype(np.uint64), kept["n"].to_numpy()[order].astype(float))
+    low = F.col("gram").bitwiseAND(F.lit((1 << 8 * SHARED) - 1))
+    ends = counted.groupBy(low.alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    short = Trie.build(ends["gram"].to_numpy().astype(np.uint64), ends["n"].to_numpy().astype(float), SHARED - 1).levels
+    kept = counted.where(F.col("n") >= _least(counted, max_grams))
+    top = gram_codes(counted, short, kept).join(kept, "gram").toArrow()
+    order = np.lexsort((top["gram"].to_numpy(), top["n"].to_numpy()))
+    kinds, codes = top["gram"].to_numpy()[order].astype(np.uint64), top["code"].to_numpy()[order]
     common = words.where(F.col("n") >= _least(words, head_words)).toArrow()
     head = dict(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True))
-    return Model(trie, head, uuid.uuid4().hex, size.tokens, size.kinds), words
+    return Model(kinds, codes, short, head, uuid.uuid4().hex, size.tokens, size.kinds), words, counted
 
 
-def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
+def score(docs: DataFrame, model: Model, words: DataFrame, counted: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of rows of doc_id, text, held_out."""
     shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def run(batches):
-        m, part, row = Model.of(*shipped.value), TaskContext.get().partitionId() << 40, 0
+        m, part, row = Model(*shipped.value), TaskContext.get().partitionId() << 40, 0
         state = worker_state()  # one table for all tasks of a worker
         if (state.get("ppm") or ("",))[0] != m.name:
             state["ppm"] = None
-            state["ppm"] = (m.name, Codes(m.trie))
+            state["ppm"] = (m.name, Codes(m.grams, m.codes))
         codes = state["ppm"][1]
         for batch in chunks(batches, limit=1 << 20):
             docs = [lower_words(t) for t in texts(batch)]
-            total = codes.documents(docs)
+            total, far = codes.documents(docs)
             kinds, flat, ends = indexed([[*words, b""] for words in docs])
             counts = np.array([m.head.get(w, -1) for w in kinds])
             common = counts >= 0
@@ -277,7 +318,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
             columns = [pa.array(part + row + np.arange(n)), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"),
                        pa.array(np.diff(ends, prepend=0)), pa.array(sums_by_document(common[flat].astype(np.int64), ends)),
                        pa.array(sums_by_document(base[flat], ends)), pa.array(total),
-                       pa.array(rare, pa.list_(pa.binary()))]
+                       pa.array(rare, pa.list_(pa.binary())), far]
             row += n
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in ROWS.split(", ")])
 
@@ -285,12 +326,17 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     rare = rows.select("row", F.explode("tail").alias("word")).join(words, "word", "left")
     unseen = F.lit(model.tokens + 0.5 * (model.kinds + 1))
     cost = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / unseen)
-    rare = rare.groupBy("row").agg(F.sum(cost).alias("more"), F.count("n").alias("known"))
-    both = rows.drop("tail").join(rare, "row", "left")
+    rare = rare.select("row", cost.alias("base"), F.col("n").isNotNull().cast("long").alias("known"), F.lit(0.0).alias("code"))
+    far = rows.select("row", F.explode("far").alias("gram"))
+    codes = gram_codes(counted, model.short, cut(far.select("gram").distinct(), "ppm-far"))
+    far = far.join(codes, "gram").select("row", F.lit(0.0), F.lit(0).cast("long"), "code")
+    more = rare.union(far).groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("base", "known", "code")])
+    both = rows.drop("tail", "far").join(more, "row", "left")
+    with_more = lambda c, to: F.col(c) + F.coalesce(f"more_{to}", F.lit(0))
     return both.select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        with_more("n_known", "known").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        with_more("base", "base").alias("base_score"),
+        with_more("score", "code").alias("score"),
     )

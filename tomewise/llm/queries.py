@@ -30,8 +30,7 @@ def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_ppm_score(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf).select("doc_id", "text", (fold() == 1).alias("held_out"))
-    model, words = ppm.train(docs.where("NOT held_out"))
-    return ppm.score(docs, model, words)
+    return ppm.score(docs, *ppm.train(docs.where("NOT held_out")))
 
 
 def op6_token_store(spark: SparkSession, sf: str) -> DataFrame:
