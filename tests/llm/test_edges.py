@@ -256,6 +256,15 @@ def test_toxicity(spark, odd, none, no_labels):
     assert toxicity.score(none, learned).count() == toxicity.keep_clean(none, learned).count() == 0
 
 
+def test_toxicity_patterns_vote_beside_a_group_of_copies(spark):
+    copies = [(i, " ".join(f"w{j}" for j in range(2000)), 1) for i in range(20)]
+    shouts = [(100 + i, f"you idiot{' !!!' * (i % 2)} number {i}", 1) for i in range(40)]
+    clean = [(200 + i, f"plain text {i}" + " idiot ! ! !" * (i < 4), 0) for i in range(200)]
+    docs = spark.createDataFrame(copies + shouts + clean, "doc_id long, text string, toxic int")
+    learned = toxicity.fit(docs.drop("toxic"), docs.drop("text"))
+    assert {b"\x00shout", b"idiot"} <= set(learned.weights) and b"w7" not in learned.weights
+
+
 def test_language(spark, odd, none):
     assert {r.lang_pred for r in language_id.predict(odd, {}).collect()} == {"und"}
     learned = {"x": b"alpha beta gamma delta " * 40, "y": b"uno dos tres cuatro cinco " * 40}

@@ -32,7 +32,7 @@ SAMPLE = 12_000  # labelled rows that are learned from at most
 BEGINNINGS = (4, 5, 6)  # bytes of a word that make a feature of their own
 LEAST = 4  # toxic rows that a feature occurs in
 PRECISION = 0.6  # share of toxic rows among those with a lexicon entry
-VOTERS, FEATURES = 500, 800  # at most
+FEATURES = 800  # voters, and others of high lift up to this number
 MARKS = b".,;:!?\"'()[]{}|#$%&*<>~_-"
 PATTERNS = {
     b"\x00shout": re.compile(r"!.*!.*!", re.DOTALL),
@@ -159,8 +159,9 @@ def _feature_counts(batches):
 def fit(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Trains on at most ``sample`` rows of doc_id, text joined with doc_id, toxic.
 
-    Features are counted by Spark; the driver gets the FEATURES with the highest share of toxic rows
-    and, for each row, which of them it has.
+    Features are counted by Spark, each distinct text once (as toxic if half its rows are). The driver
+    gets all lexicon entries and patterns, which vote; up to FEATURES in all, others with the highest
+    share of toxic texts; and, for each row, which of them it has.
     """
     marked = marked.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic")
     taken = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
@@ -168,14 +169,17 @@ def fit(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> Classifier:
     rows, toxic = chosen.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not rows or toxic in (0, rows):
         return constant(toxic / rows if rows else 0.0)
-    counts = chosen.mapInArrow(_feature_counts, "f binary, toxic long, n long").groupBy("f")
-    counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).where(F.col("toxic") >= LEAST)
-    lift = (F.col("toxic") / (F.col("n") + 2)).desc()
-    best = counts.orderBy(lift, "f").limit(FEATURES).collect()
-    features = [bytes(r.f) for r in best]
-    votes = np.array([r.toxic / r.n >= PRECISION or bytes(r.f) in PATTERNS for r in best], bool)
-    if not votes.any():
+    distinct = chosen.groupBy("text").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
+    counts = distinct.mapInArrow(_feature_counts, "f binary, toxic long, n long").groupBy("f")
+    pattern, often = F.col("f").isin([F.lit(p) for p in PATTERNS]), F.col("toxic") >= LEAST
+    counts = cut(counts.agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).where(pattern | often), "toxicity-features")
+    votes = pattern | (F.col("toxic") / F.col("n") >= PRECISION)
+    voters = [bytes(r.f) for r in counts.where(votes).orderBy("f").collect()]
+    if not voters:
         return constant(toxic / rows)
+    lift = (F.col("toxic") / (F.col("n") + 2)).desc()
+    others = counts.where(~votes).orderBy(lift, "f").limit(max(0, FEATURES - len(voters))).collect()
+    features = voters + [bytes(r.f) for r in others]
     place = {f: i for i, f in enumerate(features)}
 
     def run(batches):
@@ -187,7 +191,7 @@ def fit(docs: DataFrame, marked: DataFrame, sample: int = SAMPLE) -> Classifier:
     x = np.zeros((len(held), len(features)), np.float32)
     for i, (have, _) in enumerate(held):
         x[i, have] = 1
-    return train(x, np.array([y for _, y in held], float), features, np.flatnonzero(votes)[:VOTERS])
+    return train(x, np.array([y for _, y in held], float), features, np.arange(len(voters)))
 
 
 def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
