@@ -275,3 +275,10 @@ def test_language(spark, odd, none):
     assert [r.lang_pred for r in language_id.predict(pair, learned).orderBy("doc_id").collect()] == ["x", "y"]
     assert language_id.predict(none, learned).count() == 0
     assert language_id.fit(none) == {}
+
+
+def test_language_dictionary_holds_copies_once(spark):
+    texts = ["the same text again"] * 50 + [f"another text {i}" for i in range(9)]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    held = language_id.fit(docs, sample_docs=10)["en"].decode().splitlines()
+    assert sorted(held) == sorted(set(texts))

@@ -30,12 +30,17 @@ RESULT = "doc_id long, lang_pred string, score double, certain boolean"
 
 
 def fit(training: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = DICTIONARY) -> dict[str, bytes]:
-    """Dictionary per language, from a bounded sample of lang, text in order of a text hash."""
-    rows = training.where("lang IS NOT NULL AND text IS NOT NULL")
-    rows = rows.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    ranked = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
+    """Dictionary per language, from a bounded sample of lang, text in order of a text hash.
+
+    Texts that begin alike count once, so that copies do not fill a dictionary.
+    """
+    rows = training.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    ranked = rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    chosen = rows.join(F.broadcast(ranked.where(F.col("k") <= sample_docs)), ["lang", "h"])
+    sample = chosen.groupBy("lang", "k").agg(F.min("text").alias("text")).collect()
     out: dict[str, bytes] = {}
-    for lang, _, text, _ in sorted(ranked.where(F.col("k") <= sample_docs).collect(), key=lambda r: (r.lang, r.k)):
+    for lang, _, text in sorted(sample, key=lambda r: (r.lang, r.k)):
         if len(out.setdefault(lang, b"")) < size:
             out[lang] += text.encode() + b"\n"
     return {k: v[-size:] for k, v in out.items() if len(v) >= 8}
