@@ -64,12 +64,15 @@ def prefix_limit(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def prefix_limit_json(spark: SparkSession, sf: str) -> DataFrame:
-    """The first 150 lines of three files, of which malformed ones use up the budget too."""
+    """The first 150 lines of three folders, of which malformed ones use up the budget too.
+
+    The files of each folder hold ranges of the key, so that their order is that of the lines.
+    """
     books, path = tables.books(spark, sf), new_path(spark, "files-json")
     line = F.to_json(F.struct(KEY, "title"))
     line = F.when(F.col(KEY) % 7 == 0, F.concat(F.lit("BAD "), line)).otherwise(line)
     for i in range(3):
-        part = books.where(F.col(KEY) % 3 == i).repartition(1).sortWithinPartitions(KEY)
+        part = books.where(F.col(KEY) % 3 == i).repartitionByRange(KEY).sortWithinPartitions(KEY)
         part.select(line.alias("value")).write.text(f"{path}/{i}")
     return catalog.scan_json(spark, f"{path}/*", sample_size=150).select(KEY, "title")
 
