@@ -1,24 +1,32 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import base64
+import collections
+import math
+import re
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tomewise.llm import (
     byte_bpe,
     exact_dedup,
+    feast,
     grammar_store,
     jaccard_join,
     language_id,
+    lexical_search,
     line_runs,
     packing,
     ppm,
     quality_rules,
+    token_counts,
     toxicity,
+    whitening,
 )
 from tomewise.llm.graph import components
 
@@ -282,3 +290,190 @@ def test_language_dictionary_holds_copies_once(spark):
     docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
     held = language_id.fit(docs, sample_docs=10)["en"].decode().splitlines()
     assert sorted(held) == sorted(set(texts))
+
+
+def test_token_counts(odd, none):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    got = token_counts.count(odd, path).collect()
+    assert len(got) == len(ROWS)
+    ids = by_id(token_counts.count(odd, path, limit=1))
+    assert (ids[3].n_bytes, ids[3].n_tokens, ids[3].over_limit) == (ids[4].n_bytes, ids[4].n_tokens, ids[4].over_limit) == (0, 0, False)
+    assert ids[7].n_bytes == len(LONG) and ids[7].n_tokens == ids[8].n_tokens and ids[7].over_limit
+    assert {r.n_tokens for r in got if r.doc_id == 6} == {ids[6].n_tokens}
+    assert token_counts.count(none, path).count() == 0
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_long_texts_are_split_where_counts_add_up(file):
+    import sentencepiece
+
+    path = public_tokenizers.path(file)
+    texts = ["a b  c\n d\n\ne <|endoftext|> f<|endoftext|>g <|startoftext|>" * 700, "x" * 40_000, "日本 語 " * 6000, " \n " * 9000,
+             "don't we'll 12 34,5 " * 2000, "a\x1c b\x85 c　 d\ne é " * 3000, "", " ", "short one"]
+    if file.endswith(".model"):
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        want = [len(model.encode(t)) for t in texts]
+    else:
+        want = [len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for t in texts]
+    count, splits = token_counts.counter(path)
+    assert splits == (file == "byte_bpe_50k.json")
+    assert token_counts.lengths(texts, count, splits).tolist() == want
+    assert all("".join(token_counts.units(t)) == t for t in texts)
+    assert max(map(len, token_counts.units(texts[0]))) < token_counts.UNIT + 100
+    calls = list(token_counts.calls(["x" * n for n in (5, 900, 3, 3, 3)], 9))
+    assert [sum(map(len, c)) for c in calls] == [5, 900, 9]
+
+
+def brute_search(docs, items, top):
+    terms = {d: re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").encode().lower()) for d, t in docs}
+    n, total = sum(1 for w in terms.values() if w), sum(map(len, terms.values()))
+    df = collections.Counter(t for w in terms.values() for t in set(w))
+    out = []
+    for item, text in items:
+        scores = []
+        for d, w in terms.items():
+            m, score = 75 + 25 * len(w) * n // max(total, 1), 0
+            for t in re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower()):
+                if tf := w.count(t):
+                    score += math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * tf // (1000 * tf + 12 * m))
+            if score > 0:
+                scores.append((-score, d))
+        out += [(item, i + 1, d, -s) for i, (s, d) in enumerate(sorted(scores)[:top])]
+    return sorted(out, key=str)
+
+
+def found(frame):
+    return sorted(((r.item_id, r["rank"], r.doc_id, r.score) for r in frame.collect()), key=str)
+
+
+def test_search_equals_brute_force(spark, sf, duck):
+    docs = duck.execute("SELECT doc_id, text FROM documents").fetchall()
+    items = [*duck.execute("SELECT item_id, text FROM benchmark").fetchall(), (90, None), (91, ""), (92, "nosuchword"), (93, "THE the of, the")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute_search(docs, items, 5)
+    # small trees and small blocks of items, and one of each
+    assert found(lexical_search.search(*frames, top=5, block_terms=300, tree=16)) == want
+    assert found(lexical_search.search(*frames, top=5)) == want
+
+
+def test_search_edges(spark, odd, none):
+    items = spark.createDataFrame([(1, "One three!"), (1, "One three!"), (2, None), (3, "abc"), (None, "WORD")], "item_id int, text string")
+    items = items.withColumn("score", F.lit("x"))
+    got = lexical_search.search(odd, items)
+    assert got.schema["item_id"].dataType.simpleString() == "int"
+    by_item = collections.defaultdict(list)
+    for r in got.collect():
+        by_item[r.item_id].append((r["rank"], r.doc_id, r.score))
+    assert [x[:2] for x in sorted(by_item[1])] == [(1, 9), (1, 9), (2, 10), (2, 10)]
+    assert [x[:2] for x in sorted(by_item[3])] == [(1, 2), (2, None)]  # equal scores, no id last
+    assert [x[:2] for x in sorted(by_item[None])] == [(1, 7), (2, 8)] and 2 not in by_item
+    assert lexical_search.search(none, items).count() == lexical_search.search(odd, items.limit(0)).count() == 0
+
+
+def test_ball_trees_bound_and_prune():
+    rng = np.random.default_rng(5)
+    width, n = 400, 900
+    sizes = rng.integers(1, 30, n)
+    topic = np.arange(n) % 8 * 50
+    columns = np.concatenate([np.sort(rng.choice(50, s, False)) + t for s, t in zip(sizes, topic, strict=True)])
+    rows = lexical_search.Sparse(columns, rng.integers(1, 10**6, len(columns)), np.cumsum(sizes))
+    dense = np.zeros((n, width), np.int64)
+    dense[np.repeat(np.arange(n), sizes), columns] = rows.values
+    worth = np.where(rng.random((40, width)) < 0.03, rng.integers(1, 9000, (40, width)), 0)
+    for groups in (1, 64, 4096):
+        tree = lexical_search.BallTree(rows, width, 8, groups)
+        assert sorted(tree.order.tolist()) == list(range(n))
+        exact, bounds = dense[tree.order] @ worth.T, tree.bounds(worth.astype(float))
+        for node, (a, b) in enumerate(zip(tree.first, tree.last, strict=True)):
+            if node in tree.children:
+                assert a == b
+            else:
+                assert 0 < b - a <= 8 and (exact[a:b].max(0) <= bounds[:, node]).all()
+                assert (tree.leaf_scores(node, worth[3]) == exact[a:b, 3]).all()
+        for node, children in sorted(tree.children.items(), reverse=True):
+            tree.first[node], tree.last[node] = min(tree.first[c] for c in children), max(tree.last[c] for c in children)
+            assert (exact[tree.first[node] : tree.last[node]].max(0) <= bounds[:, node]).all()
+    tree = lexical_search.BallTree(rows, width, 8)
+    best = [lexical_search.Best(5) for _ in worth]
+    scored = lexical_search.search_tree(tree, worth, best, np.ones(n, bool), tree.order)
+    leaves = len(tree.first) - len(tree.children)
+    assert scored < 0.3 * leaves * len(worth)  # what best-first leaves out, on texts of eight topics
+    for own, scores in zip(best, (dense @ worth.T).T, strict=True):
+        order = np.lexsort((np.arange(n), -scores))
+        order = order[scores[order] > 0][:5]
+        assert own.ids.tolist() == order.tolist() and own.scores.tolist() == scores[order].tolist()
+
+
+def test_search_prunes_most_leaves_of_natural_texts(duck):
+    sf = "/root/testdata/sf0.1"
+    items = duck.execute(f"SELECT text FROM '{sf}/benchmark.parquet'").fetchall()
+    docs = [t for (t,) in duck.execute(f"SELECT text FROM '{sf}/documents.parquet' WHERE doc_id < 4000").fetchall()]
+    counts, terms = [collections.Counter(lexical_search.terms_of(t)) for (t,) in items], {}
+    block = lexical_search.Items([], terms, [{terms.setdefault(t, len(terms)): n for t, n in c.items()} for c in counts])
+    block.ids.extend(range(len(items)))
+    lists = [lexical_search.terms_of(t or "") for t in docs]
+    held = [collections.Counter(i for i in map(terms.get, w) if i is not None) for w in lists]
+    lists, held = zip(*((w, h) for w, h in zip(lists, held, strict=True) if h), strict=True)
+    df = np.bincount([i for h in held for i in h], minlength=len(terms))
+    weights = np.floor(1000 * np.log((2 * len(lists) + 2) / (2 * df + 1))).astype(np.int64)
+    sizes = np.array([len(h) for h in held])
+    values = lexical_search._values(np.array([v for h in held for v in h.values()]), sizes, [len(w) for w in lists], len(lists), sum(map(len, lists)))
+    tree = lexical_search.BallTree(lexical_search.Sparse(np.array([i for h in held for i in h]), values, np.cumsum(sizes)), len(terms))
+    worth, best = block.matrix() * weights, [lexical_search.Best(20) for _ in items]
+    scored = lexical_search.search_tree(tree, worth, best, np.ones(len(sizes), bool), tree.order)
+    assert scored < 0.35 * len(items) * (len(tree.first) - len(tree.children))
+
+
+def test_whitening_edges(spark):
+    rng = np.random.default_rng(6)
+    good = rng.normal(size=(50, 3))
+    rows = [(i, v) for i, v in enumerate(good.tolist())]
+    odd = [(100, None), (101, [1.0, None, 2.0]), (102, [1.0, float("nan"), 2.0]), (103, [1.0, float("inf"), 2.0]), (104, []),
+           (105, [1.0]), (None, good[0].tolist()), (0, good[0].tolist())]
+    frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("n", F.lit("x")).withColumn("i", F.lit(1))
+    got = whitening.whiten(frame, "vec_id", "embedding").collect()
+    assert len(got) == 3 * 52 and {r.n for r in got} == {52} and {r.component for r in got} == {1, 2, 3}
+    assert max(r.identity_error for r in got) < 1e-9
+    first = [r.whitened for r in got if r.vec_id in (0, None) and r.component == 1]
+    assert len(first) == 3 and len(set(first)) == 1  # repeated vectors are whitened alike
+    assert sum(r.explained for r in got if r.vec_id == 1) == pytest.approx(1)
+    for some in (frame.limit(0), frame.where("vec_id >= 100"), spark.createDataFrame([(1, [2.0, 3.0])] * 4, "vec_id long, embedding array<double>")):
+        left = whitening.whiten(some, "vec_id", "embedding")
+        assert left.count() == 0 and left.columns[:2] == ["vec_id", "component"]  # nothing, one vector, equal vectors
+
+
+def test_whitening_sums_are_exact(spark):
+    rng = np.random.default_rng(7)
+    whole = np.concatenate([rng.integers(-(2**40), 2**40, (9, 2)), rng.integers(-5, 5, (9, 2))], 1)
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(whole.astype(float).tolist())], "key long, vector array<double>")
+    n, total = whitening._totals(rows, 4, 1)
+    assert (n, total) == (9, whole.sum(0).tolist())
+    a, shift, rest = whitening._covariance(rows, 4, 1, n, total)
+    ints = [[int(x) * n - t for x, t in zip(row, total, strict=True)] for row in whole]
+    assert a.tolist() == [[sum(r[i] * r[j] for r in ints) / n**3 for j in range(4)] for i in range(4)]
+    learned = whitening.Whitening(n, 1, shift, rest, np.ones(4), np.eye(4), np.ones(4))
+    assert learned.deviations(whole) == [sum(x * x for x in r) for r in ints]
+
+
+def symmetric(values):
+    q = np.linalg.qr(np.random.default_rng(8).standard_normal((len(values), len(values))))[0]
+    return (q * np.array(values)) @ q.T
+
+
+@pytest.mark.parametrize("values", [
+    np.arange(1, 65), [7.0] * 40, np.repeat([5.0, 4, 3, 2, 1], 20), 10.0 ** -np.linspace(0, 9, 80), [3.0], [1e6, 1, 1, 1, 2, 2, 1e-3],
+    [1] * 9 + [0] * 50,
+])
+def test_contour_integration_finds_all_eigenpairs(values):
+    a = symmetric(values)
+    true = np.sort(np.asarray(values, float))[::-1]
+    form = feast.tridiagonal(a)
+    marks = np.unique((true[1:] + true[:-1])[np.diff(true) != 0] / 2)
+    assert feast.above(form, marks).tolist() == [int((true > m).sum()) for m in marks]
+    parts = feast.slices(a, 32)
+    pairs = [feast.solve(a, p, i) for i, p in enumerate(parts)]
+    found, vectors = np.concatenate([v for v, _ in pairs]), np.concatenate([x for _, x in pairs], 1)
+    assert len(found) >= min(32, int((true > 1e-11 * true[0]).sum()))
+    assert np.allclose(found, true[: len(found)], rtol=0, atol=1e-13 * true[0] * len(true))
+    assert np.abs(a @ vectors - vectors * found).max() < 1e-13 * true[0] * len(true)
+    assert np.abs(vectors.T @ vectors - np.eye(len(found))).max() < 1e-9

@@ -201,3 +201,34 @@ def test_language_on_held_out_rows(spark, duck):
     lang = dict(duck.execute(f"SELECT doc_id, lang FROM '{sf}/documents.parquet'").fetchall())
     assert set(got) == set(lang)
     assert np.mean([r.lang_pred == lang[d] for d, r in got.items() if r.held_out]) > 0.93
+
+
+def test_whitening(spark, sf, duck):
+    got = QUERIES["op11_whitening"](spark, sf).collect()
+    vectors = dict(duck.execute("SELECT vec_id, embedding FROM embeddings").fetchall())
+    ids = sorted(vectors)
+    x = np.floor(64 * np.array([vectors[i] for i in ids], float)) + 1_000_000
+    n, total = len(x), x.sum(0)
+    centred = x - total / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1][:32], axes[:, ::-1][:, :32]
+    want = centred @ axes / np.sqrt(values)
+    cells = {(r.vec_id, r.component): r for r in got}
+    assert len(cells) == len(got) == 32 * n
+    mine = np.array([[cells[i, c].whitened for c in range(1, 33)] for i in ids])
+    assert np.abs(np.abs(mine) - np.abs(want)).max() < 1e-9
+    assert np.abs(np.abs((mine * want).sum(0)) - n).max() < 1e-6  # one sign for all rows
+    shares = [cells[ids[0], c].explained for c in range(1, 33)]
+    assert np.allclose(shares, values / np.trace(centred.T @ centred / n), rtol=1e-10)
+    assert {r.n for r in got} == {n} and max(r.identity_error for r in got) < 1e-9
+    exact = [sum((n * int(a) - int(s)) ** 2 for a, s in zip(row, total, strict=True)) for row in x]
+    assert [cells[i, 1].deviation for i in ids] == exact
+
+
+def test_token_counts(spark, sf, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = rows(spark, sf, "op13_token_counts")
+    assert set(got) == set(texts)
+    for d, text in texts.items():
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        assert (got[d].n_bytes, got[d].n_tokens, got[d].over_limit) == (len(text.encode()), n, n > 1024)

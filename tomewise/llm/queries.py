@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import new_path
-from . import byte_bpe, exact_dedup, grammar_store, jaccard_join, language_id, line_runs, packing, ppm, quality_rules, toxicity
+from . import byte_bpe, exact_dedup, grammar_store, jaccard_join, language_id, lexical_search, line_runs, packing, ppm
+from . import quality_rules, token_counts, toxicity, whitening
 from .common import documents, labels, fold
 
 
@@ -58,11 +59,24 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(spark, sf)
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"), "vec_id", "embedding")
+
+
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_line_dedup, op3_quality_rules, op4_best_fit_packing,
         op5_ppm_score, op6_token_store, op7_byte_bpe, op8_jaccard_join, op9_toxicity, op10_language_id,
+        op11_whitening, op12_lexical_search, op13_token_counts,
     )
 }
 
@@ -88,4 +102,20 @@ marked AS (SELECT k.*, s.last_doc IS NOT NULL AND k.doc_id <> s.last_doc AS gone
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_lexical_search": """
+WITH cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+size AS (SELECT count(*) AS n, sum(len(terms))::BIGINT AS total FROM cut WHERE len(terms) > 0),
+counted AS (SELECT doc_id, n_terms, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n_terms, unnest(terms) AS term FROM cut)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (SELECT term, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, size GROUP BY term),
+worth AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n_terms * n) // total))) AS gain
+  FROM counted JOIN weighed USING (term), size),
+scored AS (SELECT item_id, doc_id, sum(times * gain)::BIGINT AS score FROM asked JOIN worth USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20""",
 }
