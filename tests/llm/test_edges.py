@@ -390,9 +390,10 @@ def test_ball_trees_bound_and_prune():
             else:
                 assert 0 < b - a <= 8 and (exact[a:b].max(0) <= bounds[:, node]).all()
                 assert (tree.leaf_scores(node, worth[3]) == exact[a:b, 3]).all()
-        for node, children in sorted(tree.children.items(), reverse=True):
-            tree.first[node], tree.last[node] = min(tree.first[c] for c in children), max(tree.last[c] for c in children)
-            assert (exact[tree.first[node] : tree.last[node]].max(0) <= bounds[:, node]).all()
+        below = {node: [*range(a, b)] for node, (a, b) in enumerate(zip(tree.first, tree.last, strict=True))}
+        for node, (left, right) in sorted(tree.children.items(), reverse=True):
+            below[node] = below[left] + below[right]
+            assert (exact[below[node]].max(0) <= bounds[:, node]).all()
     tree = lexical_search.BallTree(rows, width, 8)
     best = [lexical_search.Best(5) for _ in worth]
     scored = lexical_search.search_tree(tree, worth, best, np.ones(n, bool), tree.order)
