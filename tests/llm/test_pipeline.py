@@ -1,7 +1,10 @@
 """The pipeline, stage by stage, against plain Python over a small table."""
 
+import collections
+
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
@@ -77,3 +80,24 @@ def test_all_tokens_are_packed(spark, sf, steps):
     assert packed == sizes
     again = cp.run(spark, sf).select("doc_id", "piece", "length", "ids_crc32").collect()
     assert sorted(again) == sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in steps[5])
+
+
+def test_odd_rows_pass_through_all_stages(spark, sf, tmp_path):
+    """Repeated ids with other texts, no ids, nulls, clashing columns, and an empty table."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").limit(40).withColumn("key", F.lit(1)).withColumn("kept", F.lit("x"))
+    good = rows.where("length(text) > 400").first().text
+    odd = [(9001, good), (9001, good), (9002, good), (9002, good[:300] + " with an end of its own"), (None, good), (None, None), (900, None), (901, "")]
+    frame = spark.createDataFrame([(d, t, None, None, None, 1, "x") for d, t in odd], rows.schema)
+    for name, docs in (("odd", rows.unionByName(frame)), ("none", rows.limit(0))):
+        for step, (stage, function) in enumerate(cp.STAGES):
+            before = docs
+            path = str(tmp_path / f"{name}-{stage}")
+            function(spark, docs, sf).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if step < 4:
+                assert docs.columns == before.columns and docs.exceptAll(before).count() == 0
+        held = collections.Counter(r.doc_id for r in docs.where("piece = 0").collect())
+        assert docs.count() == 0 if name == "none" else held[9001] <= 2
+        if name == "odd":
+            assert held[9002] == 1  # the text that no other row has, whatever became of its copy of row 1
+            assert held[900] == held[901] == 0  # empty texts are poor

@@ -31,6 +31,18 @@ def fold(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % folds
 
 
+def text_key(text: str = "text") -> Column:
+    """A 64-bit hash of the text, by which rows of one id are told apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but for those whose id and text ``dropped`` (doc_id, key) names."""
+    gone = dropped.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_key() == F.col("_gone_key"))
+    return docs.join(gone, same, "left_anti")
+
+
 def worker_state() -> dict:
     """What a Python worker keeps between its tasks (functions travel with the job, so their
     modules' own variables start anew in each task)."""

@@ -30,14 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import cut
-from .common import chunks, indexed, lower_words, texts
+from .common import chunks, indexed, lower_words, text_key, texts, without
 from .graph import components
 
 SLOTS, SLOT_SHIFT = 1 << 24, np.uint64(40)  # of shingle hashes, by their first 24 bits
 SAMPLE, SHARED = 8_000, 3  # documents looked at for common shingles, and how many share one
 TILE = 8 << 20  # bytes of shingle hashes in a tile
 LEAF = 16  # points of a leaf, and leaves of a box
-FACTS = "doc_id long, n long, node long, keys array<long>"
+FACTS = "doc_id long, key long, n long, node long, slabs array<long>"
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -171,11 +171,11 @@ def _facts(docs: DataFrame, words: int, percent: int) -> DataFrame:
             keys: list = [None] * len(sets)
             for i, k in zip(fresh, slab_keys([sets[i] for i in fresh], percent, common.value), strict=True):
                 keys[i] = k.astype(np.int64)
-            columns = [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()),
                        pa.array(nodes, mask=np.array([not len(s) for s in sets])), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FACTS.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(run, FACTS)
+    return docs.select("doc_id", "text", text_key().alias("key")).mapInArrow(run, FACTS)
 
 
 def _stars(batches):
@@ -339,9 +339,14 @@ def units(members: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
 
 def join(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of doc_id, text."""
+    return classes(docs, words, percent).drop("key")
+
+
+def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, key of the text, n_shingles, component_id of every row of doc_id, text."""
     docs = docs.select("doc_id", "text")
     facts = cut(_facts(docs, words, percent), "join-facts")
-    dealt = facts.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
+    dealt = facts.select(F.explode("slabs").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
     clusters = components(cut(dealt.mapInArrow(_stars, "a long, b long").distinct(), "join-stars"))
     clusters = cut(clusters.withColumnRenamed("root", "cluster"), "join-clusters")
     nodes = facts.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
@@ -355,9 +360,9 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     roots = nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "doc_id")
     roots = cut(roots, "join-roots")
     least = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = roots.join(least, "root").select("node", "component_id")
-    own = facts.select("doc_id", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")
-    return own.select("doc_id", "n_shingles", _class(F.col("component_id")).alias("component_id"))
+    of = roots.join(least, "root").select("node", "component_id")
+    own = facts.select("doc_id", "key", F.col("n").alias("n_shingles"), "node").join(of, "node", "left")
+    return own.select("doc_id", "key", "n_shingles", _class(F.col("component_id")).alias("component_id"))
 
 
 def _class(component: Column) -> Column:
@@ -365,6 +370,5 @@ def _class(component: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows without an id stay."""
-    dropped = join(docs, words, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` whose id is the smallest of their text's component; rows without an id stay."""
+    return without(docs, classes(docs, words, percent).where("doc_id <> component_id"))

@@ -315,10 +315,12 @@ class Search:
     def ranked(self, found: DataFrame) -> DataFrame:
         """place, rank, doc_id, score of the best rows of all tasks.
 
-        The lowest of the best scores among some rows (those of one tree) is where every task
-        starts: it saves work, and no row that scores less can be among the best of all.
+        The lowest of the best scores among some rows (those of one tree, out of one written file) is
+        where every task starts: it saves work, and no row that scores less can be among the best of all.
         """
-        some = self.local(found.where(F.size("terms") > 0).limit(self.tree), {})
+        files = sorted(found.inputFiles())[:1]
+        some = found.sparkSession.read.schema(found.schema).parquet(*files) if files else found
+        some = self.local(some.where(F.size("terms") > 0).limit(self.tree), {})
         first = some.groupBy("place").agg(F.count("*").alias("n"), F.min("score").alias("least"))
         least = {r.place: r.least for r in first.collect() if r.n == self.top}
         order = Window.partitionBy("place").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import cut
-from .common import SPACE
+from .common import SPACE, text_key, without
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -206,7 +206,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is kept; a row without an id follows its own text."""
-    stats = cut(statistics(docs.select("doc_id", "text")), "quality-statistics")
+    rows = docs.select(F.struct("doc_id", text_key().alias("key")).alias("doc_id"), "text")
+    stats = statistics(rows)
+    stats = cut(stats.select("doc_id.*", *stats.columns[1:]), "quality-statistics")
     verdict = ~base_failed() & fit(stats, labels).column()
-    dropped = stats.where(~verdict & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, stats.where(~verdict).select("doc_id", "key"))
