@@ -25,6 +25,7 @@ from tomewise.llm import (
     ppm,
     quality_rules,
     token_counts,
+    tokens,
     toxicity,
     whitening,
 )
@@ -509,3 +510,40 @@ def test_stages_decide_on_rows_not_on_ids(spark, shared_ids):
     rows = spark.createDataFrame([(5, "poor"), (5, long), (None, "a b"), (None, long), (6, None)], "doc_id long, text string")
     marks = spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int")
     assert kept(quality_rules.keep_good(rows, marks), rows) == collections.Counter([(5, long), (None, long)])
+
+
+@pytest.mark.parametrize("file, kind", [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
+def test_special_strings_in_texts_are_special_ids(file, kind):
+    path = public_tokenizers.path(file)
+    texts = ["a <|endoftext|> b", "<|endoftext|><|startoftext|>", "<|ENDOFTEXT|> x", "<| endoftext |>", "x <|StartOfText|>", "plain  <|", "", "a b"]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    got = tokens.encoder(path, kind).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    assert {49407, 50256} & set(want[0]) and not {49407, 50256} & set(want[-1])
+
+
+@pytest.mark.parametrize("table", ["sf0.01", "sf0.1"])
+def test_large_pieces_are_packed_by_configurations(spark, table):
+    docs = spark.read.parquet(f"/root/testdata/{table}/documents.parquet")
+    pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
+    large = {x: n for x, n in counts.items() if packing.CAPACITY // packing.SMALL < x < packing.CAPACITY}
+    made = packing.configured(large)
+    held = collections.Counter()
+    for run in made:
+        held.update({x: run.n * k for x, k in run.lengths.items()})
+    assert held == large  # no sequence is taken apart, and none of them is left to best fit
+    whole = packing.plan(counts)
+    of = lambda runs: sum(r.n for r in runs if any(x in large for x in r.lengths))
+    assert of(whole) == of(made)
+    assert sum(r.n for r in whole) <= 1.003 * math.ceil(sum(x * n for x, n in counts.items()) / packing.CAPACITY)
+
+
+def test_groups_are_rounded_up():
+    rng = np.random.default_rng(9)
+    left = dict(zip(*(x.tolist() for x in np.unique(rng.integers(129, 1024, 500), return_counts=True)), strict=True))
+    rounded = packing.rounded_up(left, 10)
+    assert len(rounded) <= 10 and sum(rounded.values()) == 500
+    actual = sorted((x for x, n in left.items() for _ in range(n)), reverse=True)
+    planned = sorted((x for x, n in rounded.items() for _ in range(n)), reverse=True)
+    assert all(a <= b for a, b in zip(actual, planned, strict=True)) and max(actual) == max(planned)

@@ -3,11 +3,12 @@
 Documents are cut into pieces of at most ``capacity`` tokens. All that packing depends on is how
 many pieces there are of each length, a table of at most ``capacity`` rows that the driver holds.
 Large lengths are rounded up within groups of equal cardinality; configurations of the few rounded
-sizes are optimised by column generation; actual lengths are put back in place of the rounded ones;
-sequences that rounding left with wide gaps are taken apart again, and left-overs and small lengths
-go into the tightest gap that takes them. The plan is kept as runs of
-equal sequences, so its size does not depend on the number of pieces, and executors look up each
-piece's place by its rank within its length.
+sizes are optimised by column generation and used a whole number of times; actual lengths are put
+in place of the rounded ones, longer ones where earlier slots left room; what rounding the numbers
+down leaves over is grouped anew, until all large pieces are in configurations. Small lengths go
+into the tightest gap that takes them. The plan is kept as runs of equal sequences, so its size does
+not depend on the number of pieces, and executors look up each piece's place by its rank within its
+length.
 
 Null and empty texts are one end token. Repeated rows are packed like any others. An empty table
 gives an empty result; other columns are ignored.
@@ -31,7 +32,7 @@ from .tokens import encoder
 CAPACITY, END = 1024, 2
 GROUPS = 48  # rounded sizes
 SMALL = 8  # lengths up to capacity / SMALL are small
-ROOMS = (-1, 0, 1, 2, 4, 8, 16, 32, 64, 1024)  # gaps tried: the plan with the fewest sequences is taken
+CLOSE = 2000  # see configurations
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 RANK_BITS = 48  # of a key that holds length and rank
@@ -77,19 +78,22 @@ class Run:
         self.room -= length * times
 
 
-def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[list[int], int]]:
-    """Patterns of the sizes and how often each is used, from the rounded-down optimum of the
-    relaxed problem; patterns are generated by a knapsack over the prices of the sizes."""
-    n = len(sizes)
+def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[list[int], float]]:
+    """Configurations (how often each size is in a sequence) and how often each is used, from the
+    optimum of the relaxed problem. They are generated by a knapsack over the prices of the sizes,
+    until none is worth adding or the sequences are full but for one part in CLOSE."""
+    n, size = len(sizes), np.array(sizes)
     basis = np.diag([float(capacity // s) for s in sizes])
     used = np.array(demand, float) / np.diag(basis)
+    least = (size * np.array(demand)).sum() / capacity
     for _ in range(40 * n):
+        if used.sum() <= least * (1 + 1 / CLOSE):
+            break
         price = np.linalg.solve(basis.T, np.ones(n))
         best, via = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        shift = np.array(sizes)
         for room in range(min(sizes), capacity + 1):
-            fits = shift <= room
-            value = np.where(fits, best[room - np.minimum(shift, room)] + price, -1.0)
+            fits = size <= room
+            value = np.where(fits, best[room - np.minimum(size, room)] + price, -1.0)
             k = int(np.argmax(value))
             best[room], via[room] = (value[k], k) if value[k] > best[room - 1] + 1e-12 else (best[room - 1], -1)
         if best[capacity] <= 1 + 1e-7:
@@ -108,63 +112,76 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
         used = used - ratio[out] * rate
         used[out] = ratio[out]
         basis[:, out] = column
-    return [([int(x) for x in basis[:, j].round()], int(used[j] + 1e-9)) for j in range(n) if used[j] >= 1]
+    return [([int(x) for x in basis[:, j].round()], float(used[j])) for j in range(n) if used[j] > 1e-9]
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
     """Runs of sequences that hold exactly ``counts`` pieces of each length."""
-    left = dict(counts)
-    full = [Run(left.pop(capacity), {capacity: 1}, 0)] if left.get(capacity) else []
-    large = sorted((x for x in left if x > capacity // SMALL), reverse=True)
-    total = sum(left[x] for x in large)
-    if not total:
-        return full + _best_fit([], left, capacity)
-    grouped = _large_runs([(x, left[x]) for x in large], total, capacity, min(groups, total))
-    plans = [full + _finished(grouped, left, capacity, room) for room in ROOMS]
-    return min(plans, key=lambda runs: sum(r.n for r in runs))
-
-
-def _finished(grouped: list[Run], left: dict[int, int], capacity: int, room: int) -> list[Run]:
-    """Keeps the sequences that rounding left with at most ``room``, and best-fits all other pieces."""
-    kept = [Run(r.n, dict(r.lengths), r.room) for r in grouped if r.room <= room]
-    rest = dict(left)
-    for run in kept:
-        for length, times in run.lengths.items():
-            rest[length] -= run.n * times
-    return _best_fit(kept, rest, capacity)
-
-
-def _large_runs(lengths: list[tuple[int, int]], total: int, capacity: int, groups: int) -> list[Run]:
-    # positions of all large pieces by falling length, in groups of equal cardinality
-    ends = np.cumsum([n for _, n in lengths])
-    values = [x for x, _ in lengths]
-    at = lambda i: values[int(np.searchsorted(ends, i, side="right"))]
+    small = dict(counts)
+    full = [Run(small.pop(capacity), {capacity: 1}, 0)] if small.get(capacity) else []
+    large = {x: small.pop(x) for x in list(small) if x > capacity // SMALL and small[x]}
+    return _best_fit(full + configured(large, capacity, groups), small, capacity)
+
+
+def configured(left: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
+    """Runs that hold all large pieces, each out of a configuration.
+
+    Configurations are used as often as the relaxed optimum says, rounded down; what is left over is
+    grouped and optimised anew. Where nothing is left after rounding down, those used at least half a
+    time, or else the most used one, are taken once.
+    """
+    out: list[Run] = []
+    left = dict(left)
+    while total := sum(left.values()):
+        rounded = rounded_up(left, min(groups, total))
+        sizes = sorted(rounded, reverse=True)
+        found = configurations(sizes, [rounded[x] for x in sizes], capacity)
+        whole = [(p, int(used + 1e-9)) for p, used in found if used >= 1 - 1e-9]
+        if not whole:
+            most = max(used for _, used in found)
+            whole = [(p, 1) for p, used in found if used >= min(0.5, most)]
+        for pattern, n in sorted(whole, reverse=True):
+            slots = [x for x, times in zip(sizes, pattern, strict=True) for _ in range(times)]
+            out += substituted(slots, n, left, capacity)
+    return out
+
+
+def rounded_up(left: dict[int, int], groups: int) -> dict[int, int]:
+    """How many pieces have each length once those of a group are as long as its longest."""
+    lengths = sorted((x for x, n in left.items() if n), reverse=True)
+    ends = np.cumsum([left[x] for x in lengths])
+    total, out = int(ends[-1]), defaultdict(int)
     edges = [total * g // groups for g in range(groups + 1)]
-    rounded = defaultdict(int)
-    spans: dict[int, list[list[int]]] = defaultdict(list)
     for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            rounded[at(a)] += b - a
-            spans[at(a)].append([a, b])
-    sizes = sorted(rounded, reverse=True)
-    cursor = {s: spans[s][0][0] for s in sizes}  # groups of one size are neighbours
+        out[lengths[int(np.searchsorted(ends, a, side="right"))]] += b - a
+    return {x: n for x, n in out.items() if n}
+
+
+def substituted(slots: list[int], n: int, left: dict[int, int], capacity: int) -> list[Run]:
+    """``n`` sequences of a configuration with actual pieces, which are taken from ``left``.
+
+    A slot takes the longest piece that leaves the later slots their room: of its own group, or a
+    longer one where actual pieces have left room that rounding had set aside; a large piece that
+    fits into what is left at the end is added. So what is left over is never more than what was
+    planned for, piece by piece."""
     out: list[Run] = []
-    for pattern, used in configurations(sizes, [rounded[s] for s in sizes], capacity):
-        starts = []
-        for size, times in zip(sizes, pattern, strict=True):
-            for _ in range(times):
-                starts.append(cursor[size])
-                cursor[size] += used
-        # actual lengths are constant between the places where some slot changes its length
-        breaks = {0, used}
-        for s in starts:
-            breaks.update(int(e - s) for e in ends if s < e < s + used)
-        marks = sorted(breaks)
-        for a, b in zip(marks, marks[1:], strict=False):
-            run = Run(b - a, {}, capacity)
-            for s in starts:
-                run.put(at(s + a), 1)
-            out.append(run)
+    while n > 0:
+        lengths = sorted((x for x, have in left.items() if have), reverse=True)
+        taken: dict[int, int] = defaultdict(int)
+        room, later = capacity, sum(slots)
+        for slot in (*slots, *[0] * (SMALL + 1)):
+            later -= slot
+            fits = next((x for x in lengths if x <= room - later and left[x] > taken[x]), None)
+            if fits is not None:
+                taken[fits] += 1
+                room -= fits
+        if not taken:
+            break
+        times = min(n, *(left[x] // k for x, k in taken.items()))
+        for x, k in taken.items():
+            left[x] -= times * k
+        out.append(Run(times, dict(taken), room))
+        n -= times
     return out
 
 

@@ -1,7 +1,8 @@
 """Token ids of whole texts with the installed ``tokenizers`` library.
 
 Natural text repeats its words, so each distinct piece is encoded once and remembered. A piece ends
-where every match of the tokenizer's own pattern must end, so ids equal those of the whole text.
+where every match of the tokenizer's own pattern must end, so ids equal those of the whole text. A
+text that may hold a special string goes through the library as a whole, which gives special ids.
 What is remembered is bounded: when it is full, it becomes the old generation, from which
 pieces are taken over when they are met again, and the generation before goes.
 """
@@ -52,9 +53,7 @@ def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 #: Code points below need no normalisation beyond lower-casing, and libraries agree on their classes.
@@ -149,11 +148,31 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
 
+class WithSpecials:
+    """Another encoder, but for texts in which one of the tokenizer's special strings may be found."""
+
+    def __init__(self, tokenizer, plain: Words | ByteLevel):
+        self.tokenizer, self.plain = tokenizer, plain
+        self.strings = [t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def special(self, text: str) -> bool:
+        # some are looked for after lower-casing, and all begin alike: most texts are read once
+        return any(s[:2] in text and s in text.lower() for s in self.strings)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = self.plain.encode(["" if self.special(t) else t for t in texts])
+        for i, text in enumerate(texts):
+            if self.special(text):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                out[i] = np.array(ids, "<u4").tobytes()
+        return out
+
+
 def encoder(path: str, kind: str):
     """The worker's encoder of a file, loaded once: kind ``bytes`` or ``words``."""
     loaded = worker_state()
     if (kind, path) not in loaded:
         tokenizer, words = load(path), kind == "words"
         pieces = Pieces(tokenizer, WORD_PATTERN if words else BYTE_PATTERN, words)
-        loaded[kind, path] = Words(pieces) if words else ByteLevel(pieces)
+        loaded[kind, path] = WithSpecials(tokenizer, Words(pieces) if words else ByteLevel(pieces))
     return loaded[kind, path]
