@@ -37,6 +37,7 @@ from .text_vectors import matrix_of
 BLOCK_ROWS = 16_384
 CHUNK_ROWS = 1024
 MAX_PIVOTS = 512
+USUAL_SHARE = 0.5  # of sound vectors must be of the usual width
 DIGITS = 9  # similarities are compared after rounding, so that ties break by id
 STEP = 10**DIGITS
 SLACK = 2 / STEP
@@ -54,11 +55,11 @@ def knn(
 
     ``queries`` has (book_id, embedding), ``bank`` also average_rating. Unless ``keep_self``,
     a query is not its own neighbour; self is recognised by id. Vectors that cannot be compared
-    (null, with a null or non-finite coordinate, or not as wide as the narrowest sound vector of
-    the bank) are no queries and no neighbours; ``unsound`` counts them.
+    (null, with a null or non-finite coordinate, or not of the bank's usual width) are no queries and
+    no neighbours; ``unsound`` counts them.
     """
     m = k if keep_self else k + 1
-    width = bank.where(_finite()).agg(F.min(F.size("embedding"))).first()[0]
+    width = usual_width(bank)
     if width is None:
         return _empty(queries)
     queries, bank = (df.where(_finite() & (F.size("embedding") == width)) for df in (queries, bank))
@@ -98,12 +99,24 @@ def _finite() -> Column:
     return F.coalesce(numbers & (F.size("embedding") > 0), F.lit(False))
 
 
+def usual_width(vectors: DataFrame, share: float = USUAL_SHARE) -> int | None:
+    """The most frequent width of sound vectors (of equally frequent ones the larger), None without
+    any. A table in which less than ``share`` of them have it mixes vectors of several sources, whose
+    similarities would mean nothing: an error, not an empty answer."""
+    widths = vectors.where(_finite()).groupBy(F.size("embedding").alias("width")).agg(F.count("*").alias("n"))
+    found = widths.agg(F.max(F.struct("n", "width")).alias("most"), F.sum("n").alias("n")).first()
+    if found.most is None:
+        return None
+    if found.most.n < share * found.n:
+        raise ValueError(f"only {found.most.n} of {found.n} sound vectors have the most frequent width, {found.most.width}")
+    return found.most.width
+
+
 def unsound(vectors: DataFrame) -> DataFrame:
-    """One row: vectors, and how many of them are null, hold no number somewhere or differ in width
-    from the narrowest sound one."""
+    """One row: vectors, and how many of them are null, hold no number somewhere or differ from the
+    usual width."""
     sound = F.coalesce(_finite(), F.lit(False))
-    widths = F.when(sound, F.size("embedding"))
-    width = F.lit(vectors.agg(F.min(widths)).first()[0])
+    width = F.lit(usual_width(vectors, 0.0))
     return vectors.agg(
         F.count("*").alias("n_vectors"),
         F.count_if(F.col("embedding").isNull()).alias("n_null"),

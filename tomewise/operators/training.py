@@ -1,4 +1,4 @@
-"""Regressors on Spark ML, chosen by name and fitted on one assembled matrix."""
+"""Regressors of Spark ML and of ``trees``, chosen by name and fitted on one assembled matrix."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException, IllegalArgumentException
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -15,22 +15,21 @@ from pyspark.sql import functions as F
 
 from .distribution import PowerTransform, fit_power_transform
 from .evaluation import assign_folds, regression_metrics
+from .trees import ExtraTrees, Growth, SecondOrderBoosting, TreeEnsemble
 
 LABEL = "average_rating"
 log = logging.getLogger(__name__)
 
-# Model sizes of the published configurations. Trees grown without bootstrap on all
-# features would all be the same tree, as split points are not drawn at random here; extra-trees
-# therefore choose among 0.8 of the features at each node.
+# Model sizes and penalties of the published configurations.
 PRESETS: dict[str, tuple[str, dict]] = {
     "xgboost": ("xgboost", {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 10,
-                            "subsample": 0.85, "colsample": "0.85"}),
+                            "subsample": 0.85, "colsample": 0.85, "alpha": 0.1, "l2": 1.0}),
     "gradient_boosting": ("gradient_boosting", {"n_estimators": 100, "learning_rate": 0.1,
                                                 "max_depth": 6}),
     "random_forest": ("random_forest", {"n_estimators": 100, "max_depth": 10}),
     "optimized_rf": ("random_forest", {"n_estimators": 300, "max_depth": 20, "min_leaf": 2,
                                        "max_features": "0.8"}),
-    "extra_trees": ("extra_trees", {"n_estimators": 200, "max_depth": 20, "max_features": "0.8"}),
+    "extra_trees": ("extra_trees", {"n_estimators": 200, "max_depth": 20, "min_split": 5}),
     "elastic_net": ("elastic_net", {"alpha": 0.1, "l1_ratio": 0.5}),
     "ridge": ("ridge", {"alpha": 1.0}),
     "linear": ("linear", {}),
@@ -49,15 +48,37 @@ def regressor(
     label: str = LABEL,
     seed: int = 42,
     **p,
-) -> Estimator:
-    """A Spark ML regressor for a model name.
+) -> Estimator | ExtraTrees | SecondOrderBoosting:
+    """A regressor for a model name: Spark ML's, or an ensemble of ``trees`` where Spark ML has none.
 
     Penalties are stated as usual for least squares: ridge on the sum of squared errors,
     elastic net on half their mean. Spark works on the label divided by its deviation, which
     scales the squared part of the penalty only; ``scale`` from ``label_scale`` undoes that.
     """
     common = {"featuresCol": "features", "labelCol": label}
-    if kind in ("gradient_boosting", "xgboost"):
+    if kind == "xgboost":
+        growth = Growth(
+            random=False,
+            trees=p.get("n_estimators", 100),
+            max_depth=p.get("max_depth", 6),
+            alpha=p.get("alpha", 0.0),
+            l2=p.get("l2", 1.0),
+            columns=p.get("colsample", 1.0),
+            rows=p.get("subsample", 1.0),
+            seed=seed,
+        )
+        return SecondOrderBoosting(growth, p.get("learning_rate", 0.3), label)
+    if kind == "extra_trees":
+        growth = Growth(
+            random=True,
+            trees=p.get("n_estimators", 100),
+            max_depth=p.get("max_depth", 20),
+            min_split=p.get("min_split", 2),
+            min_leaf=p.get("min_leaf", 1),
+            seed=seed,
+        )
+        return ExtraTrees(growth, label)
+    if kind == "gradient_boosting":
         return GBTRegressor(
             **common,
             seed=seed,
@@ -67,15 +88,14 @@ def regressor(
             subsamplingRate=p.get("subsample", 1.0),
             featureSubsetStrategy=p.get("colsample", "all"),
         )
-    if kind in ("random_forest", "extra_trees"):
+    if kind == "random_forest":
         return RandomForestRegressor(
             **common,
             seed=seed,
             numTrees=p.get("n_estimators", 100),
             maxDepth=p.get("max_depth", 20),
             minInstancesPerNode=p.get("min_leaf", 1),
-            featureSubsetStrategy=p.get("max_features", "all" if kind == "random_forest" else "0.8"),
-            bootstrap=kind == "random_forest",
+            featureSubsetStrategy=p.get("max_features", "all"),
         )
     n_rows, deviation = scale
     if kind == "linear":
@@ -104,6 +124,21 @@ def preset(name: str, train: DataFrame | None = None, seed: int = 42) -> Estimat
     return regressor(kind, scale, seed=seed, **params)
 
 
+def save_model(spark: SparkSession, model: Model | TreeEnsemble, path: str) -> None:
+    own = isinstance(model, TreeEnsemble)
+    spark.createDataFrame([(own,)], "ensemble boolean").write.mode("overwrite").parquet(f"{path}/kind")
+    if own:
+        model.save(spark, path)
+    else:
+        PipelineModel([model]).write().overwrite().save(f"{path}/pipeline")
+
+
+def load_model(spark: SparkSession, path: str) -> Model | TreeEnsemble:
+    if spark.read.parquet(f"{path}/kind").first().ensemble:
+        return TreeEnsemble.load(spark, path)
+    return PipelineModel.load(f"{path}/pipeline").stages[0]
+
+
 def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """(keep..., features) with one vector per row."""
     out = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
@@ -113,7 +148,7 @@ def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Dat
 @dataclass
 class Trained:
     name: str
-    model: Model
+    model: Model | TreeEnsemble
     predictions: DataFrame
     metrics: dict[str, float]
 

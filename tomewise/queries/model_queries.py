@@ -241,6 +241,75 @@ def train_gbt(spark, sf):
     return preset_report(spark, sf, "gradient_boosting", low=0.0, high=6.0)
 
 
+@query("train_second_order", tested_sql("xgboost"))
+def train_second_order(spark, sf):
+    """The full preset with penalised leaves: 300 trees of up to 10 levels."""
+    return preset_report(spark, sf, "xgboost", low=0.0, high=6.0)
+
+
+#: Features of two values, on which a drawn and a quantile split point part the rows alike.
+FLAGS = (
+    "title_has_colon", "title_question", "is_very_recent", "is_recent", "is_modern",
+    "is_picture_book", "is_early_reader", "is_middle_grade",
+)
+
+
+def stump_sql(trees: int, gradient: str, alpha: float, l2: float) -> str:
+    """The best split of one node by SQL: the gain of each flag with penalised leaves, the largest of
+    them, and how many rows go left and right with which values. Every tree must find it."""
+    shrink = lambda x: f"(sign({x}) * greatest(abs({x}) - {alpha}, 0))"
+    score = lambda x, h: f"pow({shrink(x)}, 2) / ({h} + {l2})"
+    value = lambda x, h: q.r6(f"-{shrink(x)} / ({h} + {l2})")
+    return q.over_clean(
+        "SELECT tree, feature, nl AS n_left, n - nl AS n_right, "
+        f"{value('gl', 'nl')} AS left_value, {value('(g - gl)', '(n - nl)')} AS right_value, {q.r6('gain', 4)} AS gain "
+        f"FROM (SELECT *, {score('gl', 'nl')} + {score('(g - gl)', '(n - nl)')} - {score('g', 'n')} AS gain "
+        "FROM found WHERE nl > 0 AND nl < n ORDER BY gain DESC, place LIMIT 1), "
+        f"(SELECT CAST(unnest(range({trees})) AS INTEGER) AS tree)",
+        features=q.FEATURES_SQL,
+        rated=f"SELECT * FROM features WHERE average_rating BETWEEN 1 AND 5 AND ({HASH_SQL}) >= 20",
+        train=f"SELECT *, {gradient} AS gradient FROM rated",
+        found=" UNION ALL ".join(
+            f"SELECT {i} AS place, '{c}' AS feature, count(*) AS n, sum(gradient) AS g, "
+            f"count(*) FILTER (WHERE {c} <= 0) AS nl, coalesce(sum(gradient) FILTER (WHERE {c} <= 0), 0) AS gl FROM train"
+            for i, c in enumerate(FLAGS)
+        ),
+    )
+
+
+def stumps(spark, sf, kind: str, **params) -> DataFrame:
+    """The root and the two leaves of each tree of one level."""
+    features = feature_frame(spark, sf).where(evaluation_rows())
+    wide = training.assemble(sanitize(features.select(KEY, LABEL, *FLAGS), FLAGS), FLAGS, [KEY, LABEL])
+    train, _ = evaluation.train_test_split(wide)
+    model = training.regressor(kind, max_depth=1, **params).fit(train)
+    nodes = model.frame(spark)
+    root, left, right = (nodes.where(F.col("node") == i).alias(f"n{i}") for i in (1, 2, 3))
+    both = root.join(left, "tree").join(right, "tree")
+    names = F.array(*map(F.lit, FLAGS))
+    return both.select(
+        "tree",
+        F.element_at(names, F.col("n1.feature") + 1).alias("feature"),
+        F.col("n2.cover").cast("long").alias("n_left"),
+        F.col("n3.cover").cast("long").alias("n_right"),
+        r6("n2.value").alias("left_value"),
+        r6("n3.value").alias("right_value"),
+        r6("n1.gain", 4).alias("gain"),
+    )
+
+
+@query("second_order_stump", stump_sql(1, "(SELECT avg(average_rating) FROM rated) - average_rating", 3.0, 5.0))
+def second_order_stump(spark, sf):
+    """One boosted tree of one level: leaf values and gain under both penalties."""
+    return stumps(spark, sf, "xgboost", n_estimators=1, alpha=3.0, l2=5.0)
+
+
+@query("extra_trees_stumps", stump_sql(3, "-average_rating", 0.0, 0.0))
+def extra_trees_stumps(spark, sf):
+    """Randomised trees of one level: drawn split points part flags in one way only."""
+    return stumps(spark, sf, "extra_trees", n_estimators=3)
+
+
 @query("train_forest_variants", tested_sql("optimized_rf", "extra_trees"))
 def train_forest_variants(spark, sf):
     return preset_report(spark, sf, "optimized_rf", "extra_trees")
