@@ -1,7 +1,10 @@
 """Nearest neighbours against brute force."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tomewise.operators import similarity
 
@@ -120,3 +123,36 @@ def test_sample_is_stable(spark):
     a = {r.book_id for r in similarity.bank_sample(bank, 100).collect()}
     b = {r.book_id for r in similarity.bank_sample(bank.repartition(9), 100).collect()}
     assert a == b and len(a) == 100
+
+
+@pytest.mark.parametrize("block_rows", [10_000, 40])
+def test_a_saved_index_answers_like_the_bank_and_is_not_written_again(spark, tmp_path, block_rows):
+    x = clustered(300)
+    bank = frame(spark, x, np.linspace(1, 5, 300))
+    similarity.build_index(bank, 7, block_rows).save(spark, str(tmp_path / "index"))
+    index = similarity.NeighbourIndex.load(spark, str(tmp_path / "index"))
+    assert (index.pivots is None) == (block_rows > 300)
+    queries = bank.where("book_id < 9").select("book_id", "embedding")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    got = found(similarity.search(queries, index, 7))
+    fresh = [p for p in set(shared.iterdir()) - before if p.is_dir()]
+    assert {p.name.rsplit("-", 1)[0] for p in fresh} <= {"asked", "visits"}  # nothing of the bank
+    assert all(spark.read.parquet(str(p)).select("rep").distinct().count() <= 9 for p in fresh)
+    assert got == brute(np.arange(9), x[:9], np.arange(300), x, 7, False)
+    with pytest.raises(ValueError):
+        similarity.search(queries, index, 8)
+
+
+def test_the_usual_width_decides(spark):
+    x = clustered(30)
+    bank = frame(spark, x, np.linspace(1, 5, 30))
+    short = frame(spark, [[1.0]], [3.0], start=100)
+    got = found(similarity.knn(bank, bank.union(short), 3))
+    assert got == brute(np.arange(30), x, np.arange(30), x, 3, False)
+    counts = similarity.unsound(bank.union(short)).first()
+    assert (counts.n_vectors, counts.n_other_width) == (31, 1)
+    other = frame(spark, x[:, :3], start=200).withColumn("average_rating", F.lit(2.0))
+    third = frame(spark, x[:, :5], start=300).withColumn("average_rating", F.lit(2.0))
+    with pytest.raises(ValueError, match="most frequent width"):
+        similarity.knn(bank, bank.union(other).union(third), 3)

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import number_array
@@ -58,22 +58,27 @@ def knn(
     (null, with a null or non-finite coordinate, or not of the bank's usual width) are no queries and
     no neighbours; ``unsound`` counts them.
     """
+    return search(queries, build_index(bank, k, block_rows), k, keep_self)
+
+
+def search(queries: DataFrame, index: NeighbourIndex, k: int = 20, keep_self: bool = False) -> DataFrame:
+    """What ``knn`` gives, from an index that was built or loaded. Writes and shuffles queries and
+    candidates only, nothing of the bank's size but the blocks that queries visit."""
     m = k if keep_self else k + 1
-    width = usual_width(bank)
-    if width is None:
+    if m > index.m:
+        raise ValueError(f"the index keeps {index.m} copies of a vector; {m} are asked for")
+    if not index.n_bank:
         return _empty(queries)
-    queries, bank = (df.where(_finite() & (F.size("embedding") == width)) for df in (queries, bank))
-    banked = cut(_fold_bank(bank, m), "bank")
+    queries = queries.where(_finite() & (F.size("embedding") == index.width))
     asked = cut(
         queries.groupBy("embedding").agg(F.min("book_id").alias("rep"), F.count("*").alias("n")),
         "asked",
     )
-    n_bank = banked.count()
     sizes = asked.agg(F.count("*").alias("vectors"), F.sum("n").alias("rows")).first()
-    if not n_bank or not sizes.vectors:
+    if not sizes.vectors:
         return _empty(queries)
 
-    local = _block_top(asked, banked, n_bank, m, block_rows)
+    local = _block_top(asked, index)
     flat = local.select("rep", "r", F.inline("members"))
     copies = sizes.vectors < sizes.rows
     if not keep_self and not copies:
@@ -187,22 +192,69 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(2.0 - 2.0 * (a @ b.T), 0.0, None))
 
 
-def _block_top(
-    asked: DataFrame, banked: DataFrame, n_bank: int, m: int, block_rows: int
-) -> DataFrame:
-    """(rep, low_id, r, members) per block: the local top m of every query that visits it."""
-    spark = asked.sparkSession
+@dataclass
+class NeighbourIndex:
+    """A bank of vectors laid out for search: folded, and where one block does not hold it dealt to
+    cells around pivots, with the bounds that tell which cells a query need not visit."""
+
+    vectors: DataFrame  # embedding, low_id, members; with pivots also cell, distance
+    m: int  # lowest ids kept of equal vectors
+    width: int
+    n_bank: int
+    block_rows: int
+    pivots: np.ndarray | None = None
+    reach: np.ndarray | None = None
+    near: np.ndarray | None = None
+    sizes: dict[int, int] | None = None
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+        facts = [(self.m, self.width, self.n_bank, self.block_rows)]
+        facts = spark.createDataFrame(facts, "m int, width int, n_bank long, block_rows long")
+        facts.write.mode("overwrite").parquet(f"{path}/facts")
+        cells = [] if self.pivots is None else [
+            (c, p.tolist(), float(self.reach[c]), self.near[c].tolist(), self.sizes.get(c, 0))
+            for c, p in enumerate(self.pivots)
+        ]
+        cells = spark.createDataFrame(cells, "cell int, pivot array<double>, reach double, near array<double>, n long")
+        cells.write.mode("overwrite").parquet(f"{path}/cells")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> NeighbourIndex:
+        facts = spark.read.parquet(f"{path}/facts").first()
+        out = cls(spark.read.parquet(f"{path}/vectors"), facts.m, facts.width, facts.n_bank, facts.block_rows)
+        if cells := sorted(spark.read.parquet(f"{path}/cells").collect(), key=lambda r: r.cell):
+            out.pivots, out.near = (np.array([r[c] for r in cells]) for c in ("pivot", "near"))
+            out.reach, out.sizes = np.array([r.reach for r in cells]), {r.cell: r.n for r in cells if r.n}
+        return out
+
+
+def build_index(bank: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS) -> NeighbourIndex:
+    """The index of (book_id, embedding, average_rating), written to the shared folder once."""
+    m, width = k + 1, usual_width(bank)
+    sound = bank.where(_finite() & (F.size("embedding") == F.lit(width or 0)))
+    banked = cut(_fold_bank(sound, m), "bank")
+    n_bank = banked.count()
     if n_bank <= block_rows:
-        # one block holds the whole bank: send it to the queries
-        bank = spark.sparkContext.broadcast(banked.toArrow())
-        asking = spread(asked.select("rep", "embedding"), "rep")
-        return asking.mapInArrow(_against(bank, m), _TOP_SCHEMA)
-
+        return NeighbourIndex(banked, m, width or 0, n_bank, block_rows)
     n_cells = min(MAX_PIVOTS, -(-n_bank // block_rows))
     chosen = banked.orderBy(F.xxhash64("low_id"), "low_id").limit(n_cells).collect()
     pivots = _unit(np.array([r.embedding for r in chosen], dtype=float), is_query=False)
     cells = cut(banked.mapInArrow(_assign(pivots), _CELL_SCHEMA), "cells")
-    reach, near, bank_sizes = _cell_bounds(cells, n_cells, m)
+    return NeighbourIndex(cells, m, width, n_bank, block_rows, pivots, *_cell_bounds(cells, n_cells, m))
+
+
+def _block_top(asked: DataFrame, index: NeighbourIndex) -> DataFrame:
+    """(rep, low_id, r, members) per block: the local top m of every query that visits it."""
+    spark, m, block_rows = asked.sparkSession, index.m, index.block_rows
+    if index.pivots is None:
+        # one block holds the whole bank: send it to the queries
+        bank = spark.sparkContext.broadcast(index.vectors.toArrow())
+        asking = spread(asked.select("rep", "embedding"), "rep")
+        return asking.mapInArrow(_against(bank, m), _TOP_SCHEMA)
+
+    pivots, reach, near, bank_sizes = index.pivots, index.reach, index.near, index.sizes
+    n_cells, cells = len(pivots), index.vectors
     visits = cut(asked.mapInArrow(_visit(pivots, reach, near, m), _VISIT_SCHEMA), "visits")
     query_sizes = dict(visits.groupBy("cell").count().collect())
 

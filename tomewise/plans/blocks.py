@@ -173,6 +173,9 @@ def lexicon_block(clean: DataFrame) -> DataFrame:
     return select_by_name(add_lexicon_features(clean.select(KEY, "title", "description")))
 
 
+NEIGHBOURS = 20
+
+
 @dataclass
 class SemanticBlock:
     """Scaled vectors, neighbour rating aggregates and text quality.
@@ -184,6 +187,7 @@ class SemanticBlock:
     scaler: VectorScaler | None = None
     bank: DataFrame | None = None
     mean_rating: float | None = None
+    index: similarity.NeighbourIndex | None = None
 
     def fit(self, clean: DataFrame) -> SemanticBlock:
         """Learns from the rows that have a vector; others get their own features and 0 for what
@@ -194,8 +198,15 @@ class SemanticBlock:
         scaled = self.scaler.scaled().cast("array<float>").alias("embedding")
         self.bank = rated.select(KEY, scaled, LABEL)
         self.mean_rating = rated.agg(F.avg(LABEL)).first()[0]
+        self.index = None
         return self
 
+    def indexed(self) -> similarity.NeighbourIndex:
+        """The bank laid out for search: made once, however often rows are scored."""
+        if self.index is None:
+            self.index = similarity.build_index(self.bank, NEIGHBOURS)
+        return self.index
+
     def scaled(self, clean: DataFrame) -> DataFrame:
         if self.bank is None:
             raise ValueError("the block must be fitted before it transforms new rows")
@@ -213,7 +224,7 @@ class SemanticBlock:
     def neighbours(self, scaled: DataFrame) -> DataFrame:
         """(book_id, aggregates...) for rows that carry a scaled vector."""
         queries = scaled.select(KEY, "embedding").where(F.col("embedding").isNotNull())
-        found = similarity.knn(queries, self.bank, k=20)
+        found = similarity.search(queries, self.indexed(), NEIGHBOURS)
         return neighbour_aggregates(found, self.mean_rating)
 
     def transform(self, clean: DataFrame) -> DataFrame:
@@ -224,6 +235,7 @@ class SemanticBlock:
     def save(self, spark: SparkSession, path: str) -> None:
         self.scaler.to_frame(spark).write.mode("overwrite").parquet(f"{path}/scaler")
         save_bank(self.bank, f"{path}/bank")
+        self.indexed().save(spark, f"{path}/index")
         mean = spark.createDataFrame([(self.mean_rating,)], "mean_rating double")
         mean.write.mode("overwrite").parquet(f"{path}/mean")
 
@@ -231,7 +243,8 @@ class SemanticBlock:
     def load(cls, spark: SparkSession, path: str) -> SemanticBlock:
         bank = load_bank(spark, f"{path}/bank")
         mean = spark.read.parquet(f"{path}/mean").first().mean_rating
-        return cls(VectorScaler.from_frame(spark.read.parquet(f"{path}/scaler")), bank, mean)
+        index = similarity.NeighbourIndex.load(spark, f"{path}/index")
+        return cls(VectorScaler.from_frame(spark.read.parquet(f"{path}/scaler")), bank, mean, index)
 
 
 def neighbour_aggregates(neighbours: DataFrame, mean_rating: float | None) -> DataFrame:

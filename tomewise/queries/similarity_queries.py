@@ -8,6 +8,7 @@ from ..operators import similarity
 from ..plans.blocks import OWN_SEMANTIC, SemanticBlock
 from ..plans.flagship import language_report
 from ..sources import tables
+from ..sources.workspace import new_path
 from . import sql as q
 from .common import clean_embedded, rated_bank
 from .registry import KEY, query, r6
@@ -59,6 +60,14 @@ def knn_pruned(spark, sf):
     return topk(similarity.knn(bank, bank, 20, block_rows=256))
 
 
+@query("knn_indexed", TOPK_SQL)
+def knn_indexed(spark, sf):
+    """The same join from an index with cells that was saved and loaded again."""
+    bank, path = rated_bank(spark, sf), new_path(spark, "index")
+    similarity.build_index(bank, 20, block_rows=256).save(spark, path)
+    return topk(similarity.search(bank, similarity.NeighbourIndex.load(spark, path), 20))
+
+
 # Ten neighbouring ids share the whole vector of the first of them, so that similarities tie.
 COPIES_SQL = """
 SELECT book_id, CAST(e.embedding AS DOUBLE[]) AS v, average_rating AS rating
@@ -67,18 +76,19 @@ FROM books JOIN embeddings own ON own.vec_id = book_id
 """
 
 
-# Vectors that cannot be compared: null, with NaN or a null place, and of another width.
+# Vectors that cannot be compared: null, with NaN or a null place, longer and shorter ones.
 DIRTY = """CASE WHEN book_id % 50 = 1 THEN NULL
   WHEN book_id % 50 = 2 THEN transform(embedding, (x, i) -> IF(i = 3, CAST('NaN' AS FLOAT), x))
   WHEN book_id % 50 = 3 THEN transform(embedding, (x, i) -> IF(i = 5, CAST(NULL AS FLOAT), x))
-  WHEN book_id % 50 = 4 THEN concat(embedding, array(CAST(1 AS FLOAT))) ELSE embedding END"""
+  WHEN book_id % 50 = 4 THEN concat(embedding, array(CAST(1 AS FLOAT)))
+  WHEN book_id % 50 = 5 THEN slice(embedding, 1, 1) ELSE embedding END"""
 
 
 @query(
     "knn_dirty_vectors",
     q.over_books(
         f"SELECT book_id, rn, neighbour_id, {q.r6('similarity')} AS similarity FROM near",
-        bank=f"SELECT * FROM ({BANK_SQL}) WHERE book_id % 50 NOT IN (1, 2, 3, 4)",
+        bank=f"SELECT * FROM ({BANK_SQL}) WHERE book_id % 50 NOT IN (1, 2, 3, 4, 5)",
         near=near_sql(),
     ),
 )
@@ -93,7 +103,7 @@ def knn_dirty_vectors(spark, sf):
     q.over_books(
         "SELECT count(*) AS n_vectors, count(*) FILTER (WHERE book_id % 50 = 1) AS n_null, "
         "count(*) FILTER (WHERE book_id % 50 IN (2, 3)) AS n_not_finite, "
-        "count(*) FILTER (WHERE book_id % 50 = 4) AS n_other_width "
+        "count(*) FILTER (WHERE book_id % 50 IN (4, 5)) AS n_other_width "
         f"FROM ({BANK_SQL})"
     ),
 )
