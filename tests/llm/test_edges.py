@@ -183,10 +183,32 @@ def test_byte_bpe(odd, none):
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     duck = byte_bpe.DuckBpe(path, public_tokenizers.PATTERN)
     texts = ["a" * 3000, "ab" * 700 + "aab" * 300, "x  y\n\n z \t", "日本語" * 90, "it's <|endoftext|> — ok", " ", "zqxj" * 200]
-    for text, (ids, back) in zip(texts, duck.encode(texts), strict=True):
+    made = duck.encode(texts)
+    for text, ids, back in zip(texts, made, duck.decode(made), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == coder.encode_ordinary(text) and back == text.encode()
 
 
+def test_byte_bpe_decodes_from_ids_alone(spark, odd, none):
+    args = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(odd, *args)
+    assert byte_bpe.decode(byte_bpe.encode(none, *args), *args).count() == 0
+    back = by_id(byte_bpe.decode(encoded, *args))
+    assert {r.doc_id: r.text or "" for r in odd.collect() if r.doc_id} == {i: r.text for i, r in back.items() if i}
+    with open(args[0], "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    coder = tiktoken.Encoding("own", pat_str=args[1], mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(5)
+    lists = [rng.integers(0, len(ranks) - 1, n).tolist() for n in (1, 7, 4000)]  # ids that no text gives
+    odd_lists = [[], None, [1, None], [1, 10**7], [-1]]
+    rows = list(enumerate(lists + odd_lists))
+    got = by_id(byte_bpe.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>"), *args))
+    for i, ids in enumerate(lists):
+        assert bytes(got[i].bytes) == coder.decode_bytes(ids)
+        assert got[i].text == coder.decode_bytes(ids).decode("utf-8", "replace")
+    assert (bytes(got[3].bytes), got[3].text) == (b"", "")
+    assert all(got[i].bytes is None and got[i].text is None for i in range(4, 8))
+
+
 def test_jaccard(odd, none):
     got = jaccard_join.join(odd).collect()
     assert len(got) == len(ROWS)

@@ -3,14 +3,17 @@
 The distinct words (matches of the split pattern) of a task's documents are cut into bytes, a row
 for each token position. A recursive query joins neighbours with the merge table and contracts each
 word's leftmost pair of the lowest rank until no pair can be merged; ordered aggregation makes the
-ids, and the bytes that they decode to, of each word. A word that is itself in the vocabulary is
-its id. What is remembered of words is bounded.
+ids of each word. A word that is itself in the vocabulary is its id. What is remembered of words is
+bounded. Decoding knows ids only: a row for each position joins the vocabulary, and ordered
+aggregation puts each document's bytes together.
 
 In very long words, all places of the lowest pair are contracted at once where no merge with the
 new token can rank lower, which gives the same ids in fewer steps.
 
 Null and empty texts have no ids. An empty table gives an empty result; repeated rows are encoded
-alike; other columns are ignored.
+alike; other columns are ignored. Null lists of ids and lists that hold a null or an id without a
+token have no bytes and no text (null); an empty list has empty ones. Bytes that are no UTF-8, as where a
+list ends inside a character, become replacement characters in the text and stay in the bytes.
 """
 
 from __future__ import annotations
@@ -21,7 +24,6 @@ import hashlib
 import duckdb
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -31,9 +33,10 @@ from .tokens import Remembered, blank_pieces
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 LONG_WORD = 96  # bytes; a place in a shorter word fits seven bits
 
-#: One contraction in each word and step. A position is one number: word * 128 + place in the word.
+#: One contraction in each word and step. A position is one number: word * 128 + place in the word;
+#: of each position the last turn is kept.
 LEFTMOST = """
-WITH RECURSIVE step(k, id, turn) AS (
+WITH RECURSIVE step(k, id, turn) USING KEY (k) AS (
   SELECT word << 7 | place, id, 0 FROM start
   UNION ALL
   SELECT s.k - (s.k > spot)::BIGINT, CASE WHEN s.k = spot THEN made ELSE s.id END, s.turn + 1
@@ -75,14 +78,21 @@ SELECT word, (word << 32) | pos AS k, id, turn FROM step
 """
 
 #: The last turn of each word holds its tokens. One thread aggregates rows in the order of the sort,
-#: which is cheaper than a sort in each group; what is decoded is compared with the word.
+#: which is cheaper than a sort in each group.
 AGGREGATE = """
 WITH ends AS (SELECT word, max(turn) AS turn FROM tokens GROUP BY word)
-SELECT word, list(id) AS ids, list(token) AS decoded FROM (
-  SELECT word, t.id, v.token FROM tokens t JOIN ends USING (word, turn) JOIN vocabulary v USING (id) ORDER BY t.k
+SELECT word, list(id) AS ids FROM (
+  SELECT word, t.id FROM tokens t JOIN ends USING (word, turn) ORDER BY t.k
 ) GROUP BY word ORDER BY word
 """
 
+#: The tokens of each document in order; `bad` tells of ids without a token.
+DECODE = """
+SELECT doc, list(token) AS tokens, bool_or(token IS NULL) AS bad FROM (
+  SELECT p.doc, v.token FROM places p LEFT JOIN vocabulary v ON v.id = p.id ORDER BY p.pos
+) GROUP BY doc ORDER BY doc
+"""
+
 
 class DuckBpe:
     """The vocabulary of a rank file as DuckDB tables, and what words have become."""
@@ -91,6 +101,7 @@ class DuckBpe:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
+        self.own = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.made = Remembered(self.words, limit)
@@ -114,12 +125,9 @@ class DuckBpe:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM pairs")
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM entries")
 
-    def words(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """Ids and decoded bytes of each word."""
-        out: list[tuple[bytes, bytes] | None] = []
-        for w in words:
-            rank = self.ranks.get(w)
-            out.append(None if rank is None else (rank.to_bytes(4, "little"), w))
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word."""
+        out = list(map(self.own.get, words))
         open_ = [i for i, x in enumerate(out) if x is None]
         for long in (False, True):
             some = [i for i in open_ if (len(words[i]) > LONG_WORD) == long]
@@ -129,7 +137,7 @@ class DuckBpe:
                     out[i] = x
         return out
 
-    def _merge(self, words: list[bytes], long: bool) -> list[tuple[bytes, bytes]]:
+    def _merge(self, words: list[bytes], long: bool) -> list[bytes]:
         sizes = np.array([len(w) for w in words])
         ends = np.cumsum(sizes)
         start = pa.table({
@@ -140,54 +148,94 @@ class DuckBpe:
         self.db.register("start", start)
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE tokens AS {ALL_PLACES if long else LEFTMOST}")
         self.db.unregister("start")
-        made = self.db.sql(AGGREGATE).to_arrow_table().combine_chunks()
-        ids, decoded = made["ids"].chunk(0), made["decoded"].chunk(0)
+        ids = self.db.sql(AGGREGATE).to_arrow_table().combine_chunks()["ids"].chunk(0)
         flat = ids.flatten().to_numpy().astype("<u4").tobytes()
-        cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())]).tolist()
-        sizes = pc.binary_length(decoded.flatten()).to_numpy()
-        back, ends = b"".join(decoded.flatten().to_pylist()), np.concatenate([[0], np.cumsum(sizes)])[cuts].tolist()
-        out = [
-            (flat[4 * a : 4 * b], back[c:d])
-            for a, b, c, d in zip(cuts, cuts[1:], ends, ends[1:], strict=False)
-        ]
-        if [x for _, x in out] != words:
-            raise AssertionError("the tokens of some word do not decode to it")
-        return out
+        cuts = (4 * ids.offsets.to_numpy().astype(np.int64)).tolist()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def _pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids and decoded bytes of pieces that end where a match of the pattern ends."""
-        split = [[w.encode("utf-8", "surrogatepass") for w in self.pattern.findall(p)] for p in pieces]
-        out = []
-        for got in self.made.lists(split):
-            ids = b"".join(x[0] for x in got)
-            out.append(len(ids).to_bytes(4, "little") + ids + b"".join(x[1] for x in got))
-        return out
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that end where a match of the pattern ends."""
+        return self.made.join([[w.encode("utf-8", "surrogatepass") for w in self.pattern.findall(p)] for p in pieces])
 
-    def encode(self, docs: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids and decoded bytes of each document."""
+    def encode(self, docs: list[str]) -> list[bytes]:
+        """Ids of each document."""
         split = [blank_pieces(t) for t in docs]
-        heads = self.first.lists([[t] if s is None else s[:1] for t, s in zip(docs, split, strict=True)])
-        tails = self.later.lists([[] if s is None else s[1:] for s in split])
-        out = []
-        for head, tail in zip(heads, tails, strict=True):
-            parts = [(4 + int.from_bytes(x[:4], "little"), x) for x in (*head, *tail)]
-            out.append((b"".join(x[4:n] for n, x in parts), b"".join(x[n:] for n, x in parts)))
+        heads = self.first.join([[t] if s is None else s[:1] for t, s in zip(docs, split, strict=True)])
+        tails = self.later.join([[] if s is None else s[1:] for s in split])
+        return [h + t for h, t in zip(heads, tails, strict=True)]
+
+    def decode(self, docs: list[bytes]) -> list[bytes | None]:
+        """The bytes of each document's ids, None for one that holds an id without a token."""
+        out: list[bytes | None] = [b""] * len(docs)
+        sizes = [len(x) // 4 for x in docs]
+        if not sum(sizes):
+            return out
+        places = pa.table({
+            "doc": np.repeat(np.arange(len(docs), dtype=np.int32), sizes),
+            "pos": np.arange(sum(sizes), dtype=np.int64),
+            "id": np.frombuffer(b"".join(docs), "<u4").astype(np.int64),
+        })
+        self.db.register("places", places)
+        made = self.db.sql(DECODE).to_arrow_table().combine_chunks()
+        self.db.unregister("places")
+        tokens = made["tokens"].chunk(0)
+        flat = tokens.values.cast(pa.large_binary())
+        ends = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+        data, cuts = memoryview(flat.buffers()[2] or b""), ends[tokens.offsets.to_numpy()].tolist()
+        for doc, bad, a, b in zip(made["doc"].to_pylist(), made["bad"].to_pylist(), cuts, cuts[1:], strict=False):
+            out[doc] = None if bad else bytes(data[a:b])
         return out
 
 
-def encode_and_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """RESULT for every row of doc_id, text."""
+def _coder(path: str, pattern: str) -> DuckBpe:
+    """The worker's coder of a file, loaded once."""
+    loaded = worker_state()
+    if ("duck", path, pattern) not in loaded:
+        loaded["duck", path, pattern] = DuckBpe(path, pattern)
+    return loaded["duck", path, pattern]
+
+
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, ids for every row of doc_id, text."""
 
     def run(batches):
-        loaded = worker_state()
-        if ("duck", path, pattern) not in loaded:
-            loaded["duck", path, pattern] = DuckBpe(path, pattern)
-        coder = loaded["duck", path, pattern]
+        coder = _coder(path, pattern)
         for batch in chunks(batches):
             made = coder.encode(texts(batch))
-            arrays = [batch.column("doc_id").cast(pa.int64()), pa.array([len(i) // 4 for i, _ in made]),
-                      pa.array([hashlib.sha256(i).hexdigest() for i, _ in made]),
-                      pa.array([hashlib.sha256(b).hexdigest() for _, b in made])]
+            ends = np.cumsum([0, *(len(x) // 4 for x in made)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(made), "<i4"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), ids], ["doc_id", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+
+
+def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, bytes, text for every row of doc_id, ids (``encode`` made them, or anything else)."""
+
+    def run(batches):
+        coder = _coder(path, pattern)
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            lists = batch.column("ids").to_pylist()
+            sound = [x is not None and None not in x and min(x, default=0) >= 0 for x in lists]
+            given = [np.array(x if ok else [], "<u4").tobytes() for x, ok in zip(lists, sound, strict=True)]
+            made = [x if ok else None for x, ok in zip(coder.decode(given), sound, strict=True)]
+            shown = [None if x is None else x.decode("utf-8", "replace") for x in made]
+            arrays = [batch.column("doc_id").cast(pa.int64()), pa.array(made, pa.binary()), pa.array(shown, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "bytes", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary, text string")
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """RESULT for every row of doc_id, text; the decoded bytes are made from the ids."""
+
+    def run(batches):
+        coder = _coder(path, pattern)
+        for batch in chunks(batches):
+            ids = coder.encode(texts(batch))
+            arrays = [batch.column("doc_id").cast(pa.int64()), pa.array([len(i) // 4 for i in ids]),
+                      pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
+                      pa.array([hashlib.sha256(b).hexdigest() for b in coder.decode(ids)])]
             yield pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in RESULT.split(", ")])
 
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)
