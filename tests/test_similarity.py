@@ -76,25 +76,55 @@ def test_other_queries_than_bank_and_few_neighbours(spark):
     assert all(len(v) == 4 for v in got.values())
 
 
-def test_cells_are_skipped(spark):
-    """On clustered data a query visits far fewer cells than there are."""
-    x = clustered(600, seed=9)
-    x = x[np.linalg.norm(x, axis=1) > 0]
-    pivots = similarity._unit(x[:6], is_query=False)
-    cell = similarity._distance(similarity._unit(x, False), pivots)
-    own, reach = cell.argmin(axis=1), np.full(6, -np.inf)
-    near = np.full((6, 5), np.inf)
-    for c in range(6):
-        d = np.sort(cell[own == c, c])
-        if len(d):
-            reach[c], near[c, : min(5, len(d))] = d[-1], d[:5]
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_arrays(
-        [pa.array(range(len(x))), pa.array(x.tolist())], names=["rep", "embedding"]
-    )
-    visits = sum(b.num_rows for b in similarity._visit(pivots, reach, near, 5)([batch]))
-    assert visits < 6 * len(x)
+def laid_out(x, n_cells, m):
+    """Unit vectors with cells around the first of them, and the bounds of the cells."""
+    b = similarity._unit(x, is_query=False)
+    d = similarity._distance(b, b[:n_cells])
+    own, reach, near = d.argmin(axis=1), np.full(n_cells, -np.inf), np.full((n_cells, m), np.inf)
+    for c in range(n_cells):
+        nearest = np.sort(d[own == c, c])
+        reach[c], near[c, : min(m, len(nearest))] = nearest[-1], nearest[:m]
+    return b, own, b[:n_cells], reach, near
+
+
+def test_a_task_skips_cells_by_its_running_kth_neighbour():
+    x = np.random.default_rng(1).normal(size=(3000, 3))
+    b, own, pivots, reach, near = laid_out(x, 60, 40)
+    q = similarity._unit(x[:100], is_query=True)
+    rows, keys, products = similarity._running_top(q, b, own, pivots, reach, near, 40)
+    sims = np.rint(q @ b.T * 1e9).astype(np.int64) * len(b) + np.arange(len(b) - 1, -1, -1)
+    for i in range(100):
+        assert sorted(keys[rows == i]) == sorted(sims[i])[-40:]
+    d = similarity._distance(q, pivots)
+    visited = d - reach <= similarity._limit(similarity._bounds(d, near, 40))[:, None]
+    assert products < 0.95 * (visited @ np.bincount(own, minlength=60)).sum() < 0.5 * len(q) * len(b)
+
+
+def test_a_query_gives_at_most_k_rows_a_task_and_its_vector_to_each_column_once(spark):
+    x = clustered(900, seed=4)
+    bank = frame(spark, x, np.linspace(1, 5, 900))
+    index = similarity.build_index(bank, 3, block_rows=30)
+    assert len(index.pivots) > 20
+    asked = bank.select(F.col("book_id").alias("rep"), "embedding").dropDuplicates(["embedding"])
+    columns = similarity._Chain(index.pivots, index.sizes, similarity.GRID_ROWS * 30)
+    visits = list(similarity._visit(index.pivots, index.reach, index.near, 4, columns)(asked.toArrow().to_batches()))
+    tasks = {r: len(c) for b in visits for r, c in zip(b["rep"].to_pylist(), b["columns"].to_pylist(), strict=True)}
+    given = {r.rep: r["count"] for r in similarity._block_top(asked, index).groupBy("rep").count().collect()}
+    assert given.keys() == tasks.keys()
+    assert all(n <= 4 * tasks[rep] for rep, n in given.items())
+    assert max(tasks.values()) <= columns.n and sum(tasks.values()) < 0.7 * columns.n * len(tasks)
+
+
+def test_pieces_of_a_chain_are_even_however_full_a_cell_is(spark):
+    pivots = similarity._unit(clustered(40, seed=2)[1:6], is_query=False)
+    sizes = {0: 10, 1: 5000, 3: 7, 4: 900}  # one cell is empty
+    chain = similarity._Chain(pivots, sizes, 500)
+    rows = [(c, 10_000 * c + i) for c, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "cell int, id long").withColumn("piece", chain.piece("cell", "id"))
+    counts = {r.piece: r["count"] for r in df.groupBy("piece").count().collect()}
+    assert set(counts) <= set(range(chain.n)) and max(counts.values()) < 650
+    outside = df.where(~F.array_contains(chain.pieces("cell"), F.col("piece")))
+    assert outside.count() == 0
 
 
 def test_empty_bank(spark):

@@ -8,9 +8,12 @@ The join never forms a cross join and never sends pairs through a shuffle:
 2. Bank vectors are assigned to the nearest of a few pivots. A query's distance to the
    pivots bounds its k-th neighbour from above and each cell's vectors from below, so
    cells that cannot hold a neighbour are skipped. This is exact: no candidate is dropped.
-3. Cells are split into blocks by the number of rows they hold, query sets likewise, and
-   each (cell, block, query chunk) task is one matrix product that emits only its local
-   top-k. A window with a rank limit merges these.
+3. Bank and queries are laid along one chain of neighbouring cells and cut into pieces of about
+   equally many rows, whatever the cells hold: columns of the bank and blocks of queries. A task is
+   one place of this grid. It has those cells of its column that its queries may need, walks them
+   from the nearest on, keeps each query's top-k, and skips a cell for every query whose k-th
+   neighbour so far is nearer than the cell can be. A query's vector goes to each column once, and
+   a task gives back k rows a query. A window with a rank limit merges these.
 
 A bank that fits in one block (its distinct vectors are counted first) is broadcast instead,
 and the queries stay where they are.
@@ -36,6 +39,7 @@ from .text_vectors import matrix_of
 
 BLOCK_ROWS = 16_384
 CHUNK_ROWS = 1024
+GRID_ROWS = 2  # blocks of bank rows in a column of the grid
 MAX_PIVOTS = 512
 USUAL_SHARE = 0.5  # of sound vectors must be of the usual width
 DIGITS = 9  # similarities are compared after rounding, so that ties break by id
@@ -253,55 +257,64 @@ def _block_top(asked: DataFrame, index: NeighbourIndex) -> DataFrame:
         asking = spread(asked.select("rep", "embedding"), "rep")
         return asking.mapInArrow(_against(bank, m), _TOP_SCHEMA)
 
-    pivots, reach, near, bank_sizes = index.pivots, index.reach, index.near, index.sizes
-    n_cells, cells = len(pivots), index.vectors
-    visits = cut(asked.mapInArrow(_visit(pivots, reach, near, m), _VISIT_SCHEMA), "visits")
-    query_sizes = dict(visits.groupBy("cell").count().collect())
-
-    # per cell, a bounded number of rows on either side of a task; at least one task a core,
-    # unless that would copy bank blocks for a handful of queries
-    share = -(-spark.sparkContext.defaultParallelism // n_cells)
-    blocks = [max(-(-bank_sizes.get(c, 0) // block_rows), 1) for c in range(n_cells)]
-    chunks = []
-    for asking in (query_sizes.get(c, 0) for c in range(n_cells)):
-        chunks.append(max(-(-asking // block_rows), min(share, -(-asking // CHUNK_ROWS)), 1))
-    n_blocks, n_chunks = (
-        F.element_at(number_array(sizes), F.col("cell") + 1).cast("long")
-        for sizes in (blocks, chunks)
-    )
-
-    bank_side = cells.withColumn("block", F.pmod(F.xxhash64("low_id"), n_blocks)).select(
-        "cell",
-        "block",
-        F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)).alias("chunk"),
-        "low_id",
-        "embedding",
-        "members",
-    )
-    query_side = visits.withColumn("chunk", F.pmod(F.xxhash64("rep"), n_chunks)).select(
-        "cell",
-        F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)).alias("block"),
-        "chunk",
-        "rep",
-        "embedding",
-    )
-    task = ["cell", "block", "chunk"]
-    # every task is one product of bounded size, so tasks need not be merged after the shuffle
-    n_tasks = sum(b * c for b, c in zip(blocks, chunks))
-    parts = min(n_tasks, 20_000)
+    pivots, reach = index.pivots, index.reach
+    columns = _Chain(pivots, index.sizes, GRID_ROWS * block_rows)
+    visits = cut(asked.mapInArrow(_visit(pivots, reach, index.near, m, columns), _VISIT_SCHEMA), "visits")
+    homes = {r.home: r["count"] for r in visits.groupBy("home").count().collect()}
+    share = -(-sum(homes.values()) // spark.sparkContext.defaultParallelism)
+    blocks = _Chain(pivots, homes, min(max(share, CHUNK_ROWS), block_rows))
+    visits = visits.withColumn("block", blocks.piece("home", "rep"))
+
+    query_side = visits.select("block", F.explode("columns").alias("column"), "rep", "embedding")
+    # (asking block, cell) pairs without vectors; a cell's pieces are separate keys, so none is larger than a column
+    wanted = visits.select(F.col("block").alias("asking"), F.explode("cells").alias("cell")).distinct()
+    wanted = wanted.withColumn("column", F.explode(columns.pieces("cell")))
+    bank_side = index.vectors.withColumn("column", columns.piece("cell", "low_id"))
+    bank_side = bank_side.join(wanted, ["cell", "column"])
+    bank_side = bank_side.select("asking", "column", "cell", "low_id", "embedding", "members")
+    # every task is of bounded size, so tasks need not be merged after the shuffle
+    parts = min(blocks.n * columns.n, 20_000)
     return (
-        query_side.repartition(parts, *task)
-        .groupBy(*task)
-        .cogroup(bank_side.repartition(parts, *task).groupBy(*task))
-        .applyInArrow(_product(m), _TOP_SCHEMA)
+        query_side.repartition(parts, "block", "column")
+        .groupBy("block", "column")
+        .cogroup(bank_side.repartition(parts, "asking", "column").groupBy("asking", "column"))
+        .applyInArrow(_walk(pivots, reach, index.near, m), _TOP_SCHEMA)
     )
 
 
+class _Chain:
+    """Cells in a row, each next to a near one, cut into pieces of about ``size`` rows."""
+
+    def __init__(self, pivots: np.ndarray, rows: dict[int, int], size: int):
+        self.size = size
+        self.rows = np.array([rows.get(c, 0) for c in range(len(pivots))], np.int64)
+        order, left = [0], np.ones(len(pivots), bool)
+        left[0] = False
+        while left.any():
+            rest = np.flatnonzero(left)
+            order.append(int(rest[(pivots[rest] @ pivots[order[-1]]).argmax()]))
+            left[order[-1]] = False
+        self.starts = np.zeros(len(pivots), np.int64)
+        self.starts[order] = np.concatenate([[0], np.cumsum(self.rows[order])[:-1]])
+        self.first = self.starts // size
+        self.last = (self.starts + np.maximum(self.rows, 1) - 1) // size
+        self.n = max(-(-int(self.rows.sum()) // size), 1)
+
+    def piece(self, cell: str, key: str) -> Column:
+        """The piece of a row: its place is drawn by hash among the places of its cell."""
+        start, n = (F.element_at(number_array(x.tolist()), F.col(cell) + 1).cast("long") for x in (self.starts, self.rows))
+        return F.floor((start + F.pmod(F.xxhash64(key), F.greatest(n, F.lit(1)))) / self.size).cast("int")
+
+    def pieces(self, cell: str) -> Column:
+        ends = (F.element_at(number_array(x.tolist()), F.col(cell) + 1).cast("int") for x in (self.first, self.last))
+        return F.sequence(*ends)
+
+
 _MEMBERS = "array<struct<neighbour_id: long, rating: double>>"
 _CELL_SCHEMA = (
     f"embedding array<float>, low_id long, members {_MEMBERS}, cell int, distance double"
 )
-_VISIT_SCHEMA = "rep long, embedding array<float>, cell int"
+_VISIT_SCHEMA = "rep long, embedding array<float>, home int, cells array<int>, columns array<int>"
 _TOP_SCHEMA = f"rep long, r long, members {_MEMBERS}"
 
 
@@ -341,23 +354,40 @@ def _cell_bounds(
     return reach, near, sizes
 
 
-def _visit(pivots: np.ndarray, reach: np.ndarray, near: np.ndarray, m: int):
+def _bounds(d: np.ndarray, near: np.ndarray, m: int) -> np.ndarray:
+    """Per query a cosine that its m-th neighbour reaches: the nearest cells' vectors next to
+    their pivots lie within the sum of both distances."""
+    close = np.argsort(d, axis=1)[:, :BOUND_CELLS]
+    upper = np.take_along_axis(d, close, axis=1)[:, :, None] + near[close]
+    worst = np.sort(upper.reshape(len(d), -1), axis=1)[:, m - 1]
+    return 1.0 - worst**2 / 2.0
+
+
+def _limit(cosine: np.ndarray) -> np.ndarray:
+    """The distance beyond which nothing is as similar, with room for rounding."""
+    return np.sqrt(np.clip(2.0 - 2.0 * (cosine - SLACK), 0.0, None)) + 1e-7
+
+
+def _visit(pivots: np.ndarray, reach: np.ndarray, near: np.ndarray, m: int, columns: _Chain):
+    first, last, rows = columns.first, columns.last, columns.rows
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             d = _distance(_unit(matrix_of(batch, "embedding"), is_query=True), pivots)
-            # m bank vectors lie within `worst`: take the closest cells' nearest vectors
-            close = np.argsort(d, axis=1)[:, :BOUND_CELLS]
-            upper = np.take_along_axis(d, close, axis=1)[:, :, None] + near[close]
-            worst = np.sort(upper.reshape(len(d), -1), axis=1)[:, m - 1]
-            lowest_cosine = 1.0 - worst**2 / 2.0 - SLACK
-            limit = np.sqrt(np.clip(2.0 - 2.0 * lowest_cosine, 0.0, None)) + 1e-7
-            row, cell = np.nonzero(d - reach[None, :] <= limit[:, None])
-            picked = batch.take(pa.array(row))
+            needed = (d - reach[None, :] <= _limit(_bounds(d, near, m))[:, None]) & (rows > 0)
+            cells = [np.flatnonzero(x) for x in needed]
+            found = [sorted({p for c in x for p in range(first[c], last[c] + 1)}) for x in cells]
             yield pa.RecordBatch.from_arrays(
-                [picked.column("rep"), picked.column("embedding"), pa.array(cell.astype(np.int32))],
-                names=["rep", "embedding", "cell"],
+                [
+                    batch.column("rep"),
+                    batch.column("embedding"),
+                    pa.array(d.argmin(axis=1).astype(np.int32)),
+                    pa.array([x.tolist() for x in cells], pa.list_(pa.int32())),
+                    pa.array(found, pa.list_(pa.int32())),
+                ],
+                names=["rep", "embedding", "home", "cells", "columns"],
             )
 
     return visit
@@ -402,13 +432,58 @@ def _best(query: pa.Table, block: tuple[np.ndarray, pa.Array], m: int) -> pa.Tab
     return pa.table(columns, schema=_TOP_ARROW)
 
 
-def _product(m: int):
-    def product(query: pa.Table, bank: pa.Table) -> pa.Table:
+def _walk(pivots: np.ndarray, reach: np.ndarray, near: np.ndarray, m: int):
+    def walk(query: pa.Table, bank: pa.Table) -> pa.Table:
         if not query.num_rows or not bank.num_rows:
             return _TOP_ARROW.empty_table()
-        return _best(query, _prepared(bank), m)
-
-    return product
+        bank = bank.sort_by("low_id").combine_chunks()
+        b, cell = _unit(_table_matrix(bank), is_query=False), bank.column("cell").to_numpy()
+        q = _unit(_table_matrix(query), is_query=True)
+        rows, keys, _ = _running_top(q, b, cell, pivots, reach, near, m)
+        n = len(b)
+        rep = query.column("rep").combine_chunks().take(pa.array(rows))
+        found = bank.column("members").combine_chunks().take(pa.array(n - 1 - keys % n))
+        columns = [rep, pa.array(keys // n), found.cast(_TOP_ARROW.field("members").type)]
+        return pa.table(columns, schema=_TOP_ARROW)
+
+    return walk
+
+
+def _running_top(
+    q: np.ndarray, b: np.ndarray, cell: np.ndarray, pivots: np.ndarray, reach: np.ndarray, near: np.ndarray, m: int
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Query rows, and for each of their top m in ``b`` one number: the rounded similarity, then the
+    lower place first, so that the choice is exact on ties. Last, the products that it took."""
+    n, products = len(b), 0
+    order = np.argsort(cell, kind="stable")
+    present, starts = np.unique(cell[order], return_index=True)
+    held = dict(zip(present.tolist(), np.split(order, starts[1:]), strict=True))
+    none = np.iinfo(np.int64).min
+    rows, keys = [], []
+    for at in range(0, len(q), 512):
+        part = q[at : at + 512]
+        d = _distance(part, pivots)
+        floor = _bounds(d, near, m)
+        lowest = d[:, present] - reach[present]
+        best = np.full((len(part), m), none)
+        for i in np.argsort(lowest.min(axis=0), kind="stable"):
+            open_ = np.flatnonzero(lowest[:, i] <= _limit(floor))
+            if not len(open_):
+                continue
+            places = held[int(present[i])]
+            products += len(open_) * len(places)
+            r = np.rint(part[open_] @ b[places].T * STEP).astype(np.int64) * n + (n - 1 - places)
+            if len(places) > m:
+                r = -np.partition(-r, m - 1, axis=1)[:, :m]
+            both = np.concatenate([best[open_], r], axis=1)
+            best[open_] = kept = -np.partition(-both.clip(none + 1), m - 1, axis=1)[:, :m]
+            worst = kept.min(axis=1)
+            full = worst > none + 1
+            floor[open_[full]] = np.maximum(floor[open_[full]], worst[full] // n / STEP)
+        row, place = np.nonzero(best > none + 1)
+        rows.append(row + at)
+        keys.append(best[row, place])
+    return np.concatenate(rows), np.concatenate(keys), products
 
 
 def _against(bank: Broadcast, m: int):
