@@ -209,6 +209,18 @@ def test_byte_bpe_decodes_from_ids_alone(spark, odd, none):
     assert all(got[i].bytes is None and got[i].text is None for i in range(4, 8))
 
 
+def test_grammar_goes_on_while_a_pair_pays():
+    rng = np.random.default_rng(8)
+    phrases = [rng.integers(0, 49_408, 6) for _ in range(900)]  # rare symbols, more than a thousand
+    ids = np.concatenate([phrases[i] for i in rng.permutation(np.repeat(np.arange(900), 7))]).astype(np.uint32)
+    left, right, lengths, body = grammar_store.repair(ids)
+    assert len(left) < grammar_store.MAX_RULES and len(body) < 1.1 * 900 * 7
+    pairs, counts = np.unique(body[:-1].astype(np.int64) << 16 | body[1:], return_counts=True)
+    assert counts.max() < grammar_store.LEAST
+    shard = grammar_store.Shard(np.array([1]), np.array([True]), np.array([0, len(ids)]), left, right, lengths, body)
+    assert (shard.expand(body) == ids).all()
+
+
 def test_jaccard(odd, none):
     got = jaccard_join.join(odd).collect()
     assert len(got) == len(ROWS)

@@ -31,8 +31,9 @@ END = 1
 FIRST_RULE = 49_408  # ids below are tokens
 MAX_RULES = 65_536 - FIRST_RULE  # so that a symbol takes two bytes
 SHARD_IDS = 1 << 20  # a shard ends with the document that reaches it
-ROUNDS, ROUND_RULES, LEAST = 12, 2048, 24  # rounds, rules of a round, occurrences that pay for a rule
-SAVES = 200  # rounds end with one that shortens the body by less than one part in so many
+LEAST = 5  # occurrences from which a rule, four symbols of the file, pays
+NEAR_MOST = 3  # a round takes pairs at least one part in so many as frequent as the most frequent one
+ROUND_RULES = 4096  # the most frequent of them, so that counts stay true
 HEAD = "<4s4Q"
 MAGIC = b"RPG1"
 SHARDS = "part int, seq int, n_ids long, shard binary"
@@ -94,51 +95,57 @@ class Shard:
         return self.expand(self.body[first : last + 1])[a - skipped : b - skipped]
 
 
-def _most(counts: np.ndarray, n: int) -> np.ndarray:
-    """Places of the n highest counts that pay for a rule, in ascending order."""
-    pays = np.flatnonzero(counts >= LEAST)
-    return pays if len(pays) <= n else np.sort(pays[np.argpartition(-counts[pays], n)[:n]])
+def _frequent(body: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Left and right symbols of the round's pairs, in ascending order; all adjacent pairs are counted."""
+    codes = body[:-1].astype(np.uint32)
+    codes <<= 16
+    codes |= body[1:]
+    codes.sort()
+    often = codes[LEAST - 1 :][codes[LEAST - 1 :] == codes[: 1 - LEAST]]
+    if not len(often):
+        return often, often
+    ends = np.flatnonzero(np.concatenate([often[1:] != often[:-1], [True]]))
+    counts = np.diff(ends, prepend=-1) + LEAST - 1
+    at = np.flatnonzero(NEAR_MOST * counts >= counts.max())
+    if len(at) > most:
+        at = np.sort(at[np.argpartition(-counts[at], most - 1)[:most]])
+    pairs = often[ends[at]]
+    return pairs >> 16, pairs & 0xFFFF
 
 
 def repair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """left, right, lengths of the rules and the body that expand to ``ids`` (below FIRST_RULE).
 
-    A round counts pairs of the shard's commonest symbols, makes rules of the most frequent ones and
-    replaces them from left to right; rules of earlier rounds are symbols of later ones.
+    A round counts all adjacent pairs, makes rules of the most frequent ones and replaces them from
+    left to right; rules of earlier rounds are symbols of later ones. It goes on while a pair pays for
+    a rule and two bytes can name one.
     """
     body, left, right = ids.astype(np.uint16), [], []
     lengths = np.ones(1 << 16, np.int64)
-    for _ in range(ROUNDS):
-        if len(body) < 2 or len(left) >= MAX_RULES:
+    while len(body) > LEAST and len(left) < MAX_RULES:
+        a, b = _frequent(body, min(ROUND_RULES, MAX_RULES - len(left)))
+        if not len(a):
             break
-        common = _most(np.bincount(body, minlength=1 << 16), 1023)
-        code = np.zeros(1 << 16, np.uint32)
-        code[common] = np.arange(1, len(common) + 1)
-        local = code[body]
-        pairs = local[:-1] << 10 | local[1:]
-        pairs[(local[:-1] == 0) | (local[1:] == 0)] = 0
-        counts = np.bincount(pairs, minlength=1 << 20)
-        counts[0] = 0
-        top = _most(counts, min(ROUND_RULES, MAX_RULES - len(left)))
-        if not len(top):
-            break
-        symbol = np.zeros(1 << 20, np.uint16)
-        symbol[top] = FIRST_RULE + len(left) + np.arange(len(top))
-        a, b = common[(top >> 10) - 1], common[(top & 1023) - 1]
-        lengths[symbol[top]] = lengths[a] + lengths[b]
+        rules = (FIRST_RULE + len(left) + np.arange(len(a))).astype(np.uint16)
+        lengths[rules] = lengths[a] + lengths[b]
         left += a.tolist()
         right += b.tolist()
-        found = symbol[pairs]
-        at = np.flatnonzero(found)
+        # the rule of a pair: a dense table over the round's left and right symbols
+        row, col = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.uint16)
+        for place, symbols in ((row, np.unique(a)), (col, np.unique(b))):
+            place[symbols] = np.arange(1, len(symbols) + 1)
+        table = np.zeros((int(row.max()) + 1, int(col.max()) + 1), np.uint16)
+        table[row[a], col[b]] = rules
+        at = np.flatnonzero((row[body[:-1]] > 0) & (col[body[1:]] > 0))
+        found = table[row[body[at]], col[body[at + 1]]]
+        at, found = at[found > 0], found[found > 0]
         # of overlapping places, every second one from the left is taken
-        fresh = np.concatenate([[True], np.diff(at) > 1])
-        since = np.arange(len(at)) - np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[since % 2 == 0]
-        body = body.copy()
-        body[at] = found[at]
-        body = np.delete(body, at + 1)
-        if SAVES * len(at) < len(body):
-            break
+        fresh, index = np.concatenate([[True], np.diff(at) > 1]), np.arange(len(at))
+        taken = (index - np.maximum.accumulate(np.where(fresh, index, 0))) % 2 == 0
+        body[at[taken]] = found[taken]
+        kept = np.ones(len(body), bool)
+        kept[at[taken] + 1] = False
+        body = body[kept]
     rules = len(left)
     return np.array(left, np.int64), np.array(right, np.int64), lengths[FIRST_RULE : FIRST_RULE + rules], body
 

@@ -93,7 +93,20 @@ class Pieces:
                 self.known[text] = ids
         return ids
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Lower-cased words: those of ASCII letters are one match and go to the model at once."""
+        ids, tokenize = self.id_bytes, self.model.tokenize
+        simple = [w.isascii() and w.isalpha() for w in words]
+        rest = iter(self._any([w for w, ok in zip(words, simple, strict=True) if not ok]))
+        return [
+            b"".join([ids[t.id] for t in tokenize(w.lower())]) if ok else next(rest)
+            for w, ok in zip(words, simple, strict=True)
+        ]
+
     def __call__(self, pieces: list[str]) -> list[bytes]:
+        return self._words(pieces) if self.lower else self._any(pieces)
+
+    def _any(self, pieces: list[str]) -> list[bytes]:
         plain = [not p or max(p) < PLAIN for p in pieces]
         rest = [p for p, ok in zip(pieces, plain, strict=True) if not ok]
         whole = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
