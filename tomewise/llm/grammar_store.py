@@ -69,19 +69,20 @@ class Shard:
         return cls(*out)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Token ids of symbols: nonterminals are replaced by their pairs until none is left."""
-        out = symbols.astype(np.uint32)
-        while True:
-            rule = out >= FIRST_RULE
-            if not rule.any():
-                return out
-            at = np.flatnonzero(rule)
-            place = np.arange(len(out)) + np.concatenate([[0], np.cumsum(rule)[:-1]])
-            wide = np.empty(len(out) + len(at), np.uint32)
-            wide[place] = out
-            index = out[at] - FIRST_RULE
-            wide[place[at]], wide[place[at] + 1] = self.left[index], self.right[index]
-            out = wide
+        """Token ids of symbols. Expansion lengths say where each part of a nonterminal goes, so that
+        a step touches what is not yet expanded only."""
+        symbols = symbols.astype(np.int64)
+        size = np.concatenate([np.ones(FIRST_RULE, np.int64), self.lengths])
+        ends = np.cumsum(size[symbols])
+        out, place = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32), ends - size[symbols]
+        while len(symbols):
+            rule = symbols >= FIRST_RULE
+            out[place[~rule]] = symbols[~rule]
+            index, place = symbols[rule] - FIRST_RULE, place[rule]
+            left = self.left[index].astype(np.int64)
+            symbols = np.concatenate([left, self.right[index]])
+            place = np.concatenate([place, place + size[left]])
+        return out
 
     def document(self, i: int) -> np.ndarray:
         """Ids of document ``i`` of the shard, expanding only what covers it."""
