@@ -86,21 +86,25 @@ def test_too_few_rows(spark):
     assert cleaning.require_min_rows(spark.range(100)).count() == 100
 
 
-@pytest.mark.parametrize("max_distinct", [10**6, 0])
-def test_quantiles_both_ways(spark, max_distinct):
+def test_quantiles_of_several_columns(spark):
     rng = np.random.default_rng(7)
-    data = np.concatenate([rng.normal(size=3000), np.full(1500, 0.25), rng.integers(0, 5, 500)])
-    df = spark.createDataFrame([(float(x),) for x in data], "x double").repartition(7)
+    mixed = np.concatenate([rng.normal(size=3000), np.full(1500, 0.25), rng.integers(0, 5, 500)])
+    flags = rng.integers(0, 2, 5000).astype(float)
+    rows = [(float(x), float(f), None, float("nan") if i % 2 else i / 7) for i, (x, f) in enumerate(zip(mixed, flags))]
+    df = spark.createDataFrame(rows, "x double, `a flag` double, nothing double, half double").repartition(7)
     probs = [0.0, 0.01, 0.2, 0.25, 0.5, 0.777, 0.99, 1.0]
-    got = exact_quantiles(df, {"x": probs}, max_distinct)["x"]
-    assert got == pytest.approx(np.quantile(data, probs).tolist(), abs=1e-12)
+    got = exact_quantiles(df, {"x": probs, "a flag": [0.5, 0.1], "nothing": [0.5], "half": probs})
+    assert got["x"] == pytest.approx(np.quantile(mixed, probs).tolist(), abs=1e-12)
+    assert got["a flag"] == np.quantile(flags, [0.5, 0.1]).tolist()
+    assert got["nothing"] is None
+    assert got["half"] == pytest.approx(np.quantile(np.arange(0, 5000, 2) / 7, probs).tolist(), abs=1e-9)
 
 
 def test_quantiles_of_nothing_and_of_one(spark):
     empty = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(empty, {"x": [0.5]})["x"] is None
     one = spark.createDataFrame([(3.5,)], "x double")
-    assert exact_quantiles(one, {"x": [0.1, 0.9]}, max_distinct=0)["x"] == [3.5, 3.5]
+    assert exact_quantiles(one, {"x": [0.1, 0.9]})["x"] == [3.5, 3.5]
 
 
 def test_values_at_ranks(spark):

@@ -86,6 +86,45 @@ def test_svd_matches_numpy(spark):
         text_vectors.fit_svd(df, {"v": 9})
 
 
+def test_svd_of_more_places_than_directions(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 150)) * (rng.random((600, 150)) < 0.1) * np.linspace(3, 0.5, 150)
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").repartition(70)
+    fitted = text_vectors.fit_svd(df, {"v": 6})["v"]
+    values, vectors = np.linalg.eigh(x.T @ x)
+    assert fitted.singular_values == pytest.approx(np.sqrt(values[::-1][:6]).tolist(), rel=1e-4)
+    projected = x @ np.array(fitted.components).T
+    gram = projected.T @ projected
+    assert gram == pytest.approx(np.diag(np.array(fitted.singular_values) ** 2), abs=1e-8)
+    assert np.abs(np.sum(np.array(fitted.components) * vectors[:, ::-1][:, :6].T, axis=1)) == pytest.approx(
+        np.ones(6), abs=1e-3
+    )
+
+
+def test_svd_of_twenty_thousand_places(spark):
+    """Rows of few entries among 20,000 places: the driver holds places x directions only."""
+    places, rng = 20_000, np.random.default_rng(6)
+    left, right = rng.normal(size=(120, 3)), np.zeros((3, places))
+    for c in range(3):
+        right[c, rng.choice(places, 40, replace=False)] = rng.normal(size=40) * (3 - c)
+    x = left @ right
+    entries = [
+        (i, [int(p) for p in np.flatnonzero(r)], [float(v) for v in r[np.flatnonzero(r)]]) for i, r in enumerate(x)
+    ]
+    df = spark.createDataFrame(entries, "id long, at array<int>, w array<double>").repartition(4)
+    dense = F.transform(F.sequence(F.lit(0), F.lit(places - 1)), lambda p: F.coalesce(F.try_element_at(F.map_from_arrays("at", "w"), p), F.lit(0.0)))
+    fitted = text_vectors.fit_svd(df.select(dense.alias("v")), {"v": 3})["v"]
+    assert np.shape(fitted.components) == (3, places)
+    assert fitted.singular_values == pytest.approx(np.linalg.svd(x, compute_uv=False)[:3].tolist(), rel=1e-9)
+
+
+def test_svd_of_rows_without_entries_or_vectors(spark):
+    rows = [([0.0, 0.0, 0.0],), (None,), ([0.0, 2.0, 0.0],)]
+    fitted = text_vectors.fit_svd(spark.createDataFrame(rows, "v array<double>"), {"v": 2})["v"]
+    assert fitted.singular_values == pytest.approx([2.0, 0.0])
+    assert np.abs(fitted.components[0]) == pytest.approx([0.0, 1.0, 0.0])
+
+
 def sk_uniform(x, grid, shares):
     """Average of the interpolation from the left and from the right."""
     up = np.interp(x, grid, shares)

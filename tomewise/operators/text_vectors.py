@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
 from ..functions.text import book_text, text
+from ..sources.workspace import cut
 
 
 def terms(df: DataFrame, source: Column, stop_words: Sequence[str]) -> DataFrame:
@@ -173,56 +174,184 @@ class TruncatedSvd:
         return cls([list(r.loading) for r in rows], [r.s for r in rows])
 
 
-def fit_svd(df: DataFrame, columns: Mapping[str, int]) -> dict[str, TruncatedSvd]:
-    """Per vector column its k leading components, all from one pass.
+OVERSAMPLING = 10
+BLOCK_ROWS = 256
+FAN_IN = 64
 
-    Each task sums its rows into one Gram matrix per column (columns x columns, so as small
-    as the vocabulary squared); the sums of those are decomposed.
+
+def fit_svd(
+    df: DataFrame,
+    columns: Mapping[str, int],
+    tolerance: float = 1e-9,
+    max_steps: int = 30,
+    seed: int = 42,
+) -> dict[str, TruncatedSvd]:
+    """Per vector column its k leading components, by a randomised range finder.
+
+    The rows are written once as their non-zero entries. A power step multiplies k + 10 directions by
+    the rows and their transpose: tasks sum (place, direction) products, which are added up by place.
+    Steps go on until no leading squared singular value changes by more than ``tolerance`` of the
+    largest. The rows projected on the directions are then factored block by block, and the triangular
+    factors in a tree, so the components are orthogonal over the rows to working precision. The
+    driver holds places x (k + 10) numbers of a column, never places x places.
     """
     names = list(columns)
+    rows = cut(df.select(*[_entries(F.col(n)).alias(n) for n in names]), "entries")
+    sizes = rows.agg(*[F.max(f"{n}.size").alias(n) for n in names]).first()
+    random, found = np.random.default_rng(seed), {}
+    for name in names:
+        size, k = sizes[name] or 0, columns[name]
+        if size < 1 or k > size:
+            raise ValueError(f"cannot take {k} components out of {size} columns")
+        width = min(k + OVERSAMPLING, size)
+        # directions that span everything need no power step
+        found[name] = np.eye(size) if width == size else random.normal(size=(size, width))
+    found = {n: np.linalg.qr(q)[0] for n, q in found.items()}
+    moving = [n for n in names if found[n].shape[0] > found[n].shape[1]]
+    before: dict[str, np.ndarray] = {}
+    for _ in range(max_steps):
+        if not moving:
+            break
+        products = _power_step(rows, {n: found[n] for n in moving})
+        for name in list(moving):
+            z, k = products[name], columns[name]
+            squares = np.linalg.eigvalsh(found[name].T @ z)[::-1][:k]
+            found[name] = np.linalg.qr(z)[0]
+            last, before[name] = before.get(name), squares
+            if last is not None and np.abs(squares - last).max() <= tolerance * max(squares[0], 1e-300):
+                moving.remove(name)
+    factors = _triangles(rows, found)
+    return {n: _leading(found[n], factors.get(n), columns[n]) for n in names}
+
+
+def _entries(vector: Column) -> Column:
+    """Width, places and values of the entries that are not zero."""
+    pairs = F.filter(
+        F.transform(vector, lambda x, i: F.struct(i.cast("int").alias("i"), x.cast("double").alias("x"))),
+        lambda e: e["x"] != 0,
+    )
+    return F.struct(F.size(vector).alias("size"), pairs["i"].alias("i"), pairs["x"].alias("x"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places in use, dense block over those places), a bounded number of rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK_ROWS):
+            row = batch.slice(start, BLOCK_ROWS).column(name)
+            i, x = row.field("i"), row.field("x")
+            lengths = np.diff(i.offsets.to_numpy())
+            places = i.flatten().to_numpy(zero_copy_only=False)
+            used, at = np.unique(places, return_inverse=True)
+            block = np.zeros((len(lengths), len(used)))
+            block[np.repeat(np.arange(len(lengths)), lengths), at] = x.flatten().to_numpy(zero_copy_only=False)
+            yield used, block
 
-    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = [0.0] * len(names)
+
+def sum_arrays(parts: DataFrame, keys: Sequence[str], value: str = "v") -> DataFrame:
+    """Equally long arrays added up by integer keys; every task holds the sums of its own keys."""
+    names, schema = [*keys, value], parts.select(*keys, value).schema
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
             if batch.num_rows:
-                for c, name in enumerate(names):
-                    x = matrix_of(batch, name)
-                    total[c] = total[c] + x.T @ x
-        for c, g in enumerate(total):
-            if np.ndim(g):
-                n = len(g)
+                at = zip(*[batch.column(k).to_pylist() for k in keys])
+                for key, row in zip(at, batch.column(value)):
+                    x = row.values.to_numpy(zero_copy_only=False)
+                    sums[key] = sums[key] + x if key in sums else x.copy()
+        if sums:
+            columns = [pa.array(c, pa.int32()) for c in zip(*sums)]
+            yield pa.RecordBatch.from_arrays([*columns, _lists(list(sums.values()))], names=names)
+
+    return parts.select(*names).repartition(*keys).mapInArrow(add, schema)
+
+
+def _lists(rows: Sequence[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
+
+
+def _power_step(rows: DataFrame, bases: Mapping[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Per column the transposed rows times the rows times its directions."""
+    names, spark = list(bases), rows.sparkSession
+    shared = spark.sparkContext.broadcast([bases[n] for n in names])
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros_like(q) for q in shared.value]
+        for batch in batches:
+            for c, name in enumerate(names):
+                for used, block in _blocks(iter([batch]), name):
+                    sums[c][used] += block.T @ (block @ shared.value[c][used])
+        for c, z in enumerate(sums):
+            at = np.flatnonzero(z.any(axis=1))
+            if len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([c] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(g.tolist())],
-                    names=["c", "i", "row"],
+                    [pa.array([c] * len(at), pa.int32()), pa.array(at, pa.int32()), _lists(z[at])],
+                    names=["c", "i", "v"],
                 )
 
-    parts = df.select(*names).mapInArrow(gram, "c int, i int, row array<double>")
-    cells = parts.select("c", "i", F.posexplode("row").alias("j", "v"))
-    sums = cells.groupBy("c", "i", "j").agg(F.sum("v").alias("v")).collect()
-    out = {}
-    for c, name in enumerate(names):
-        mine = [r for r in sums if r.c == c]
-        size = 1 + max((r.i for r in mine), default=-1)
-        if size < 1 or columns[name] > size:
-            raise ValueError(f"cannot take {columns[name]} components out of {size} columns")
-        total = np.zeros((size, size))
-        for r in mine:
-            total[r.i, r.j] = r.v
-        out[name] = _leading(total, columns[name])
+    parts = rows.select(*names).mapInArrow(multiply, "c int, i int, v array<double>")
+    out = {n: np.zeros_like(q) for n, q in bases.items()}
+    for r in sum_arrays(parts, ["c", "i"]).toLocalIterator():
+        out[names[r.c]][r.i] = r.v
+    shared.unpersist()
     return out
 
 
-def _leading(gram: np.ndarray, k: int) -> TruncatedSvd:
-    values, vectors = np.linalg.eigh(gram)
-    leading = np.argsort(values)[::-1][:k]
-    components = vectors[:, leading].T
+def _triangles(rows: DataFrame, bases: Mapping[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Per column the triangular factor of the rows projected on its directions. Factors of tasks
+    are stacked and factored again, at most 64 at a time, until few enough are left for the driver."""
+    names, spark = list(bases), rows.sparkSession
+    shared = spark.sparkContext.broadcast([bases[n] for n in names])
+
+    def written(factors: Mapping[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for c, r in factors.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c], pa.int32()), _lists([r.ravel()])], names=["c", "r"]
+            )
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, name in enumerate(names):
+                for used, block in _blocks(iter([batch]), name):
+                    _stack(factors, c, block @ shared.value[c][used])
+        yield from written(factors)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, r in zip(batch.column("c").to_pylist(), batch.column("r")):
+                _stack(factors, c, r.values.to_numpy(zero_copy_only=False).reshape(-1, shared.value[c].shape[1]))
+        yield from written(factors)
+
+    schema = "c int, r array<double>"
+    level = cut(rows.mapInArrow(project, schema), "triangles")
+    while (n := level.count()) > FAN_IN * len(names):
+        level = cut(level.repartition(-(-n // FAN_IN)).mapInArrow(merge, schema), "triangles")
+    factors: dict[int, np.ndarray] = {}
+    for r in level.collect():
+        _stack(factors, r.c, np.array(r.r).reshape(-1, bases[names[r.c]].shape[1]))
+    shared.unpersist()
+    return {names[c]: r for c, r in factors.items()}
+
+
+def _stack(factors: dict[int, np.ndarray], c: int, block: np.ndarray) -> None:
+    stacked = np.vstack([factors[c], block]) if c in factors else block
+    factors[c] = np.linalg.qr(stacked, mode="r")
+
+
+def _leading(basis: np.ndarray, triangle: np.ndarray | None, k: int) -> TruncatedSvd:
+    if triangle is None:
+        triangle = np.zeros((1, basis.shape[1]))
+    _, values, turned = np.linalg.svd(triangle, full_matrices=True)
+    values = np.concatenate([values, np.zeros(max(k - len(values), 0))])
+    components = turned[:k] @ basis.T
     # a component's sign is free: make its largest loading positive
     largest = np.abs(components).argmax(axis=1)
     signs = np.sign(components[np.arange(k), largest])
     components = components * np.where(signs == 0, 1.0, signs)[:, None]
-    return TruncatedSvd(
-        components.tolist(), np.sqrt(np.clip(values[leading], 0, None)).tolist()
-    )
+    return TruncatedSvd(components.tolist(), values[:k].tolist())
 
 
 @dataclass(frozen=True)
