@@ -168,8 +168,12 @@ def test_power_transform(spark):
         down = np.where(x < 0, -((1 + np.abs(x)) ** (2 - lam) - 1) / (2 - lam), 0)
         return -len(x) / 2 * np.log((up + down).var()) + (lam - 1) * np.sum(np.sign(x) * np.log1p(np.abs(x)))
 
-    grid = np.linspace(-1, 2, 3001) + 1e-7
-    assert fitted.lam == pytest.approx(grid[np.argmax([loglik(g) for g in grid])], abs=2e-3)
+    low, high = -1.0, 2.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        rising = loglik(middle + 1e-4) > loglik(middle - 1e-4)
+        low, high = (middle, high) if rising else (low, middle)
+    assert fitted.lam == pytest.approx((low + high) / 2, abs=1e-6)
     z = df.select(fitted.forward(F.col("y")).alias("z"), "y")
     stats = z.agg(F.avg("z"), F.stddev_pop("z")).first()
     assert tuple(stats) == pytest.approx((0, 1), abs=1e-9)
@@ -177,6 +181,18 @@ def test_power_transform(spark):
     assert max(abs(r[0]) for r in back) < 1e-9
 
 
+def test_power_transform_of_values_far_from_zero_at_bounds_and_without_spread(spark):
+    far = np.random.default_rng(3).normal(5e4, 3.0, 500)
+    rows = [(float(v), 2.5, float(np.exp(3 * g)), None) for v, g in zip(far, np.random.default_rng(4).gamma(1, 1, 500))]
+    df = spark.createDataFrame(rows, "far double, same double, heavy double, nothing double")
+    fitted = distribution.fit_power_transform(df, "far")
+    z = df.agg(F.avg(fitted.forward(F.col("far"))), F.stddev_pop(fitted.forward(F.col("far")))).first()
+    assert tuple(z) == pytest.approx((0, 1), abs=1e-3)
+    assert distribution.fit_power_transform(df, "heavy", low=0.5, high=2.0).lam == 0.5
+    assert distribution.fit_power_transform(df, "same") == distribution.PowerTransform(1.0, 2.5, 0.0)
+    assert distribution.fit_power_transform(df, "nothing") == distribution.PowerTransform(1.0, 0.0, 0.0)
+
+
 def test_select_k_best_orders_by_f_and_drops_constants(spark):
     rng = np.random.default_rng(5)
     y = rng.normal(size=200)

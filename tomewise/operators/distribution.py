@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import inverse_normal, number_array
 from ..functions.text import flag
+from ..sources.workspace import cut
 from .quantiles import exact_quantiles
 
 INF = float("inf")
@@ -145,21 +147,60 @@ def yeo_johnson_inverse(z: Column, lam: float) -> Column:
     return F.when(z >= 0, up).otherwise(down)
 
 
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """(x, n): every distinct value once, written, so that a search reads the rows once only."""
+    x = F.col(column).cast("double")
+    counts = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("x")
+    return cut(counts.agg(F.count("*").alias("n")), "values")
+
+
 def log_likelihoods(df: DataFrame, column: str, lambdas: Sequence[float]) -> DataFrame:
-    """(lambda, log_likelihood) of every candidate, all from one pass. Every row meets every
-    candidate inside its task; only one partial sum per candidate leaves it."""
-    x, lam = F.col("x"), F.col("lambda")
-    pairs = df.where(F.col(column).isNotNull()).select(
-        F.col(column).cast("double").alias("x"),
-        F.explode(number_array(lambdas)).alias("lambda"),
+    """(lambda, log_likelihood) of every candidate; null where the values do not vary."""
+    return likelihood_slopes(value_counts(df, column), lambdas).select("lambda", "log_likelihood")
+
+
+def likelihood_slopes(counts: DataFrame, lambdas: Sequence[float]) -> DataFrame:
+    """(lambda, log_likelihood, slope) of every candidate, all from one pass over counted values.
+
+    Every value meets every candidate inside its task; only one partial sum per candidate leaves
+    it. Transformed values are taken relative to that of the mean, which keeps the moments of
+    values far from zero accurate.
+    """
+    n, lam = F.col("n"), F.col("lambda")
+    centre = counts.agg(F.sum(F.col("x") * n) / F.sum(n)).first()[0]
+    x, at = F.col("x"), F.lit(centre).cast("double")
+    z = yeo_johnson(x, lam) - yeo_johnson(at, lam)
+    dz = yeo_johnson_slope(x, lam) - yeo_johnson_slope(at, lam)
+    pairs = counts.withColumn("lambda", F.explode(number_array(lambdas)))
+    sums = pairs.select("lambda", "x", "n", z.alias("z"), dz.alias("dz")).groupBy("lambda").agg(
+        F.sum("n").alias("n"),
+        F.sum(n * F.col("z")).alias("z"),
+        F.sum(n * F.col("dz")).alias("dz"),
+        F.sum(n * F.col("z") * F.col("z")).alias("zz"),
+        F.sum(n * F.col("z") * F.col("dz")).alias("zdz"),
+        F.sum(n * F.signum(x) * F.log1p(F.abs(x))).alias("s"),
+        F.count("*").alias("distinct"),
     )
-    sums = pairs.groupBy("lambda").agg(
-        F.count("*").alias("n"),
-        F.var_pop(yeo_johnson(x, lam)).alias("v"),
-        F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"),
+    var = F.col("zz") / n - F.pow(F.col("z") / n, F.lit(2))
+    cov = F.col("zdz") / n - F.col("z") * F.col("dz") / (n * n)
+    varies = (F.col("distinct") > 1) & (F.col("var") > 0)
+    return sums.withColumns({"var": var, "cov": cov}).select(
+        "lambda",
+        F.when(varies, -n / 2 * F.log("var") + (lam - 1) * F.col("s")).alias("log_likelihood"),
+        F.when(varies, F.col("s") - n * F.col("cov") / F.col("var")).alias("slope"),
     )
-    value = -F.col("n") / 2 * F.log("v") + (lam - 1) * F.col("s")
-    return sums.select("lambda", F.when(F.col("v") > 0, value).alias("log_likelihood"))
+
+
+def yeo_johnson_slope(x: Column, lam: Column) -> Column:
+    """Derivative of the transformed value by lambda."""
+
+    def slope(u: Column, power: Column) -> Column:
+        z = power * u
+        series = u * u * (0.5 + z / 3 + z * z / 8)  # where the quotient would cancel
+        exact = (z * F.exp(z) - F.expm1(z)) / (power * power)
+        return F.when(F.abs(z) < 1e-4, series).otherwise(exact)
+
+    return F.when(x >= 0, slope(F.log1p(x), lam)).otherwise(slope(F.log1p(-x), 2 - lam))
 
 
 @dataclass(frozen=True)
@@ -176,18 +217,49 @@ class PowerTransform:
 
 
 def fit_power_transform(
-    df: DataFrame, column: str, low: float = -4.0, high: float = 6.0, rounds: int = 5
+    df: DataFrame, column: str, low: float = -4.0, high: float = 6.0, tolerance: float = 1e-9
 ) -> PowerTransform:
-    """Best lambda by a grid that is refined around its best point, one aggregate a round."""
-    best = 1.0
-    for _ in range(rounds):
-        grid = np.linspace(low, high, 21)
-        scored = log_likelihoods(df, column, grid).where(F.col("log_likelihood").isNotNull())
-        top = scored.agg(F.max_by("lambda", "log_likelihood")).first()[0]
-        if top is None:
+    """Most likely lambda between ``low`` and ``high``, by the slope of the likelihood.
+
+    The rows are read once, for the counts of their values; every later step reads those. A grid brackets
+    the greatest likelihood; each step then tries evenly spaced points and the point where the line
+    through both ends' slopes is zero, with a neighbour on either side, and keeps the narrowest
+    bracket with a change of sign. Values that do not vary leave lambda at 1.
+    """
+    counts = value_counts(df, column)
+    best = _most_likely(counts, low, high, tolerance)
+    x, n = F.col("x"), F.col("n")
+    centre = counts.agg(F.sum(x * n) / F.sum(n)).first()[0]
+    if centre is None:
+        return PowerTransform(best, 0.0, 0.0)
+    start = yeo_johnson(F.lit(centre), best)
+    z = yeo_johnson(x, best) - start
+    row = counts.agg(
+        F.sum(n * z) / F.sum(n), F.sum(n * z * z) / F.sum(n), F.first(start), F.count("*")
+    ).first()
+    spread = math.sqrt(max(row[1] - row[0] ** 2, 0.0)) if row[3] > 1 else 0.0
+    return PowerTransform(best, row[2] + row[0], spread)
+
+
+def _most_likely(counts: DataFrame, low: float, high: float, tolerance: float) -> float:
+    rows = sorted(likelihood_slopes(counts, np.linspace(low, high, 21).tolist()).dropna().collect())
+    if not rows:
+        return 1.0
+    top = max(range(len(rows)), key=lambda i: rows[i].log_likelihood)
+    left, peak, right = rows[max(top - 1, 0)], rows[top], rows[min(top + 1, len(rows) - 1)]
+    while right["lambda"] - left["lambda"] > tolerance and left.slope > 0 > right.slope:
+        a, b = left["lambda"], right["lambda"]
+        zero = a + (b - a) * left.slope / (left.slope - right.slope)
+        tried = {*np.linspace(a, b, 10)[1:-1].tolist(), zero, zero - (b - a) / 1000, zero + (b - a) / 1000}
+        inside = [t for t in tried if a < t < b]
+        if not inside:
+            break
+        rows = sorted([left, *likelihood_slopes(counts, inside).dropna().collect(), right])
+        rising = max(i for i, r in enumerate(rows[:-1]) if r.slope > 0)
+        if (rows[rising]["lambda"], rows[rising + 1]["lambda"]) == (a, b):
             break
-        best, step = float(top), (high - low) / 20
-        low, high = best - step, best + step
-    z = yeo_johnson(F.col(column), best)
-    row = df.agg(F.avg(z).alias("m"), F.stddev_pop(z).alias("s")).first()
-    return PowerTransform(float(best), row.m or 0.0, row.s or 0.0)
+        left, right = rows[rising], rows[rising + 1]
+    if left.slope > 0 >= right.slope:
+        share = left.slope / (left.slope - right.slope)
+        return float(left["lambda"] + share * (right["lambda"] - left["lambda"]))
+    return float(max((left, peak, right), key=lambda r: r.log_likelihood)["lambda"])

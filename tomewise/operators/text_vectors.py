@@ -261,12 +261,13 @@ def sum_arrays(parts: DataFrame, keys: Sequence[str], value: str = "v") -> DataF
                     sums[key] = sums[key] + x if key in sums else x.copy()
         if sums:
             columns = [pa.array(c, pa.int32()) for c in zip(*sums)]
-            yield pa.RecordBatch.from_arrays([*columns, _lists(list(sums.values()))], names=names)
+            yield pa.RecordBatch.from_arrays([*columns, list_arrays(list(sums.values()))], names=names)
 
     return parts.select(*names).repartition(*keys).mapInArrow(add, schema)
 
 
-def _lists(rows: Sequence[np.ndarray]) -> pa.Array:
+def list_arrays(rows: Sequence[np.ndarray]) -> pa.Array:
+    """A list column with one array a row."""
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
 
@@ -286,7 +287,7 @@ def _power_step(rows: DataFrame, bases: Mapping[str, np.ndarray]) -> dict[str, n
             at = np.flatnonzero(z.any(axis=1))
             if len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([c] * len(at), pa.int32()), pa.array(at, pa.int32()), _lists(z[at])],
+                    [pa.array([c] * len(at), pa.int32()), pa.array(at, pa.int32()), list_arrays(z[at])],
                     names=["c", "i", "v"],
                 )
 
@@ -307,7 +308,7 @@ def _triangles(rows: DataFrame, bases: Mapping[str, np.ndarray]) -> dict[str, np
     def written(factors: Mapping[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for c, r in factors.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([c], pa.int32()), _lists([r.ravel()])], names=["c", "r"]
+                [pa.array([c], pa.int32()), list_arrays([r.ravel()])], names=["c", "r"]
             )
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .distribution import PowerTransform, fit_power_transform
 from .evaluation import assign_folds, regression_metrics
+from .fold_statistics import LINEAR, cross_validate_linear, fold_statistics, summary
 from .trees import ExtraTrees, Growth, SecondOrderBoosting, TreeEnsemble
 
 LABEL = "average_rating"
@@ -219,6 +220,15 @@ def cross_validate(
     )
 
 
+def cross_validate_preset(name: str, train: DataFrame, k: int = 5, key: str = "book_id") -> DataFrame:
+    """One row as ``cross_validate`` gives; linear models take one scan for all folds."""
+    kind, params = PRESETS[name]
+    if kind not in LINEAR:
+        return cross_validate(preset(name, train), train, k, key)
+    statistics = fold_statistics(train, LABEL, k, key)
+    return summary(cross_validate_linear(train.sparkSession, statistics, {name: (kind, params)})).drop("model")
+
+
 def evaluate_on_transformed_target(
     name: str, kind: str, train: DataFrame, test: DataFrame, **params
 ) -> tuple[Trained, PowerTransform]:

@@ -91,9 +91,8 @@ def train_configured(books: DataFrame, name: str = "linear", folds: int = 5):
     columns = block.features()
     rows = cut(training.assemble(block.transform(clean, [LABEL]), columns, [KEY, LABEL]), "config-rows")
     train, test = evaluation.train_test_split(rows)
-    estimator = training.preset(name, train)
-    done = training.evaluate(name, estimator, train, test)
-    scores = training.cross_validate(estimator, train, folds)
+    done = training.evaluate(name, training.preset(name, train), train, test)
+    scores = training.cross_validate_preset(name, train, folds)
     trees = hasattr(done.model, "featureImportances")
     importance = training.feature_importance(books.sparkSession, done.model, columns) if trees else None
     return done, scores, importance
