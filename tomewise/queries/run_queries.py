@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
 from ..operators import evaluation, runs
+from ..operators.registry import VersionRegistry
 from ..sources import tables
+from ..sources.workspace import cut, new_path
 from . import sql as q
 from .registry import query, r6
 
@@ -93,6 +96,45 @@ def promote_version(spark, sf):
     return runs.promote(versions, fresh, F.format_string("R2 = %.4f", "r2"))
 
 
+@query(
+    "registry_commits",
+    q.over_runs(
+        "SELECT v.model_name, v.version, v.run_id, CASE WHEN stage = 'Production' AND n.run_id IS "
+        "NOT NULL THEN 'Archived' ELSE stage END AS stage, CAST(NULL AS VARCHAR) AS description "
+        "FROM versions v LEFT JOIN fresh n ON n.model_name = v.model_name UNION ALL "
+        "SELECT fresh.model_name, last + 1, run_id, 'Archived', printf('R2 = %.4f', r2) "
+        "FROM fresh JOIN last USING (model_name) UNION ALL "
+        "SELECT second.model_name, last + 2, second.run_id, 'Production', printf('R2 = %.4f', second.r2) "
+        "FROM second JOIN last USING (model_name) UNION ALL "
+        "SELECT fresh.model_name || '-new', 1, run_id, 'Production', printf('R2 = %.4f', r2) FROM fresh",
+        ranked="SELECT model_name, run_id, best_r2 AS r2, row_number() OVER (PARTITION BY model_name "
+        "ORDER BY best_r2 DESC, run_id) AS rn FROM versions JOIN runs USING (run_id) WHERE best_r2 IS NOT NULL",
+        fresh="SELECT model_name, run_id, r2 FROM ranked WHERE rn = 1",
+        second="SELECT model_name, run_id, r2 FROM ranked WHERE rn = 2",
+        last="SELECT model_name, max(version) AS last FROM versions GROUP BY model_name",
+    ),
+)
+def registry_commits(spark, sf):
+    """All versions registered, then two promotions, the first of them by a job that runs twice."""
+    versions, all_runs = tables.versions(spark, sf), tables.runs(spark, sf)
+    best = Window.partitionBy("model_name").orderBy(F.desc("best_r2"), "run_id")
+    ranked = (
+        versions.join(all_runs.where("best_r2 IS NOT NULL"), "run_id")
+        .withColumn("rn", F.row_number().over(best))
+        .where("rn <= 2")
+        .select("model_name", "run_id", F.col("best_r2").alias("r2"), "rn")
+    )
+    ranked = cut(ranked, "ranked")
+    first, second = ranked.where("rn = 1").drop("rn"), ranked.where("rn = 2").drop("rn")
+    fresh = first.withColumn("model_name", F.concat("model_name", F.lit("-new")))
+    said = F.format_string("R2 = %.4f", "r2")
+    registry = VersionRegistry(spark, new_path(spark, "registry"))
+    registry.register(versions)
+    for rows, key in ((first.union(fresh), "job 1"), (first.union(fresh), "job 1"), (second, "job 2")):
+        registry.promote(rows, said, key)
+    return registry.versions()
+
+
 @query(
     "compare_versions",
     q.over_runs(
