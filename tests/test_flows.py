@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tomewise.operators import evaluation, runs, scoring, text_vectors, training
+from tomewise.operators.registry import MetricsLog, VersionRegistry
 from tomewise.plans import flow
 from tomewise.plans.blocks import LEXICON_FEATURES, lexicon_block
 from tomewise.sources import sinks, tables
@@ -130,7 +131,10 @@ def test_flow_trains_registers_and_scores(spark, sf, tmp_path):
 
     # the run left all that another session needs
     assert sinks.load_manifest(spark, f"{tmp_path}/feature_manifest") == manifest
-    logged = {r.key: r.run_id for r in spark.read.parquet(f"{tmp_path}/metrics").collect()}
+    logged = {r.key: r.run_id for r in MetricsLog(spark, f"{tmp_path}/metrics").read().collect()}
+    committed = VersionRegistry(spark, f"{tmp_path}/registry").versions()
+    columns = ["model_name", "version", "run_id", "stage", "description"]
+    assert sorted(committed.select(columns).collect(), key=str) == sorted(registered.select(columns).collect(), key=str)
     assert logged == {"forest_r2": "7", "forest_rmse": "7", "forest_mae": "7"}
     assert spark.read.csv(f"{tmp_path}/importance", header=True).count() == model_width
     loaded = flow.Scorer.load(spark, f"{tmp_path}/scorer")

@@ -49,6 +49,53 @@ def scan_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_PAGES = "CAST(CAST(num_pages AS BIGINT) AS VARCHAR)"
+
+
+@query(
+    "scan_json_any",
+    q.over_books(
+        f"SELECT book_id, title, CASE WHEN book_id % 5 = 0 THEN 'p' || {_PAGES} ELSE {_PAGES} END AS pages, "
+        "average_rating AS average, CAST(ratings_count AS BIGINT) AS ratings, "
+        "CASE WHEN book_id % 97 = 96 THEN book_id % 2 = 0 END AS late_key, "
+        "CASE WHEN book_id % 3 = 1 THEN popular_shelves END AS deep FROM books"
+    ),
+)
+def scan_json_any(spark: SparkSession, sf: str) -> DataFrame:
+    """All books written with nested keys, a key of two types, keys that few records have, and
+    malformed lines; read back without a schema."""
+    books = tables.books(spark, sf)
+    shelf = F.array(F.struct(F.col("popular_shelves").alias("the name")))
+    pages = F.col("num_pages").cast("long")
+    rating = F.struct(F.col("average_rating").alias("average"), F.col("ratings_count").alias("count"))
+
+    def line(value):
+        return F.to_json(
+            F.struct(
+                KEY,
+                "title",
+                value.alias("pages"),
+                rating.alias("rating"),
+                F.when(F.col(KEY) % 97 == 96, F.col(KEY) % 2 == 0).alias("late key"),
+                F.when(F.col(KEY) % 3 == 1, F.struct(shelf.alias("shelves"))).alias("VOID"),
+            )
+        )
+
+    lines = F.when(F.col(KEY) % 5 == 0, line(F.concat(F.lit("p"), pages))).otherwise(line(pages))
+    bad = F.when(F.col(KEY) % 10 == 0, F.concat(F.lit('{"book_id": '), F.col(KEY), F.lit(", BAD")))
+    path = new_path(spark, "any-json")
+    books.select(F.explode(F.array_compact(F.array(lines, bad))).alias("value")).write.text(path)
+    return catalog.scan_json_any(spark, path).select(
+        KEY,
+        "title",
+        F.col("pages").cast("string").alias("pages"),
+        F.col("rating.average").cast("double").alias("average"),
+        F.col("rating.count").cast("long").alias("ratings"),
+        F.col("late key").alias("late_key"),
+        F.col("VOID")["shelves"][0]["the name"].alias("deep"),
+    )
+
+
 @query(
     "prefix_limit",
     q.over_books("SELECT book_id, title FROM books ORDER BY book_id LIMIT 100"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +63,36 @@ def scan_json(
     return parsed.where(sound).select(*[F.col("r")[f].alias(f) for f in schema.fieldNames()])
 
 
+def scan_json_any(spark: SparkSession, path: str, sample_size: int | None = None) -> DataFrame:
+    """Read JSON lines whose keys are not known beforehand: one column per key that any record has.
+
+    Lines that hold no JSON object, or one with a repeated key, are skipped; ``sample_size`` is as in
+    ``scan_json``. The first pass merges the schemas of all records, so a key counts that the last
+    record alone has; the second gives every value its type. Objects become structs, at any
+    depth. A key whose values have types that do not go together is a VARIANT column, as is one
+    with empty objects only, and one with nulls only is text. Keys that differ in case only need
+    ``spark.sql.caseSensitive``. Without records there are no columns. The merged schema, one
+    entry per key, is what comes to the driver.
+    """
+    lines = first_lines(spark, path, sample_size) if sample_size else spark.read.text(path)
+    parsed = lines.select(F.try_parse_json("value").alias("v"))
+    objects = parsed.where(F.try_variant_get("v", "$", "map<string, variant>").isNotNull())
+    merged = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not merged.startswith("OBJECT<") or merged == "OBJECT<>":
+        return objects.select()
+    return objects.select(F.try_variant_get("v", "$", column_type(merged)).alias("r")).select("r.*")
+
+
+# names in backticks are left alone, and a bare name is followed by a colon
+_VARIANT_TYPE = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<>|\bOBJECT<|\bVOID\b(?!:)")
+_COLUMN_TYPE = {"OBJECT<>": "VARIANT", "OBJECT<": "STRUCT<", "VOID": "STRING"}
+
+
+def column_type(variant_type: str) -> str:
+    """The type of a column that holds what a variant's schema describes."""
+    return _VARIANT_TYPE.sub(lambda m: _COLUMN_TYPE.get(m[0], m[0]), variant_type)
+
+
 def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The first n lines in order of file path and place in the file.
 
