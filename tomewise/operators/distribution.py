@@ -156,18 +156,22 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def log_likelihoods(df: DataFrame, column: str, lambdas: Sequence[float]) -> DataFrame:
     """(lambda, log_likelihood) of every candidate; null where the values do not vary."""
-    return likelihood_slopes(value_counts(df, column), lambdas).select("lambda", "log_likelihood")
+    counts = value_counts(df, column)
+    return likelihood_slopes(counts, mean_of(counts), lambdas).select("lambda", "log_likelihood")
+
+
+def mean_of(counts: DataFrame) -> float | None:
+    return counts.agg(F.sum(F.col("x") * F.col("n")) / F.sum("n")).first()[0]
 
 
-def likelihood_slopes(counts: DataFrame, lambdas: Sequence[float]) -> DataFrame:
+def likelihood_slopes(counts: DataFrame, centre: float | None, lambdas: Sequence[float]) -> DataFrame:
     """(lambda, log_likelihood, slope) of every candidate, all from one pass over counted values.
 
     Every value meets every candidate inside its task; only one partial sum per candidate leaves
-    it. Transformed values are taken relative to that of the mean, which keeps the moments of
-    values far from zero accurate.
+    it. Transformed values are taken relative to that of ``centre``, the mean, which keeps the
+    moments of values far from zero accurate.
     """
     n, lam = F.col("n"), F.col("lambda")
-    centre = counts.agg(F.sum(F.col("x") * n) / F.sum(n)).first()[0]
     x, at = F.col("x"), F.lit(centre).cast("double")
     z = yeo_johnson(x, lam) - yeo_johnson(at, lam)
     dz = yeo_johnson_slope(x, lam) - yeo_johnson_slope(at, lam)
@@ -227,11 +231,10 @@ def fit_power_transform(
     bracket with a change of sign. Values that do not vary leave lambda at 1.
     """
     counts = value_counts(df, column)
-    best = _most_likely(counts, low, high, tolerance)
-    x, n = F.col("x"), F.col("n")
-    centre = counts.agg(F.sum(x * n) / F.sum(n)).first()[0]
+    x, n, centre = F.col("x"), F.col("n"), mean_of(counts)
     if centre is None:
-        return PowerTransform(best, 0.0, 0.0)
+        return PowerTransform(1.0, 0.0, 0.0)
+    best = _most_likely(counts, centre, low, high, tolerance)
     start = yeo_johnson(F.lit(centre), best)
     z = yeo_johnson(x, best) - start
     row = counts.agg(
@@ -241,8 +244,8 @@ def fit_power_transform(
     return PowerTransform(best, row[2] + row[0], spread)
 
 
-def _most_likely(counts: DataFrame, low: float, high: float, tolerance: float) -> float:
-    rows = sorted(likelihood_slopes(counts, np.linspace(low, high, 21).tolist()).dropna().collect())
+def _most_likely(counts: DataFrame, centre: float, low: float, high: float, tolerance: float) -> float:
+    rows = sorted(likelihood_slopes(counts, centre, np.linspace(low, high, 21).tolist()).dropna().collect())
     if not rows:
         return 1.0
     top = max(range(len(rows)), key=lambda i: rows[i].log_likelihood)
@@ -254,7 +257,7 @@ def _most_likely(counts: DataFrame, low: float, high: float, tolerance: float) -
         inside = [t for t in tried if a < t < b]
         if not inside:
             break
-        rows = sorted([left, *likelihood_slopes(counts, inside).dropna().collect(), right])
+        rows = sorted([left, *likelihood_slopes(counts, centre, inside).dropna().collect(), right])
         rising = max(i for i, r in enumerate(rows[:-1]) if r.slope > 0)
         if (rows[rising]["lambda"], rows[rising + 1]["lambda"]) == (a, b):
             break
