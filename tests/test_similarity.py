@@ -1,5 +1,6 @@
 """Nearest neighbours against brute force."""
 
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -115,6 +116,25 @@ def test_a_query_gives_at_most_k_rows_a_task_and_its_vector_to_each_column_once(
     assert max(tasks.values()) <= columns.n and sum(tasks.values()) < 0.7 * columns.n * len(tasks)
 
 
+def test_small_blocks_do_not_send_vectors_more_often(spark):
+    x = clustered(900, seed=4)
+    bank = frame(spark, x, np.linspace(1, 5, 900))
+    index = similarity.build_index(bank, 3, block_rows=30)
+    asked = bank.select(F.col("book_id").alias("rep"), "embedding").dropDuplicates(["embedding"])
+    given = similarity._block_top(asked, index).groupBy("rep").count().collect()
+    assert len(index.pivots) > 20 and all(r["count"] <= 4 for r in given)  # one column, so one task a query
+
+
+def test_a_task_holds_a_bounded_number_of_similarities():
+    x = np.random.default_rng(1).normal(size=(16_384, 4))
+    b, own, pivots, reach, near = laid_out(x, 2, 21)
+    tracemalloc.start()
+    similarity._running_top(similarity._unit(x[:512], is_query=True), b, own, pivots, reach, near, 21)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # all 512 x 16,384 similarities at a time would be 67 MB, and several copies of that
+
+
 def test_pieces_of_a_chain_are_even_however_full_a_cell_is(spark):
     pivots = similarity._unit(clustered(40, seed=2)[1:6], is_query=False)
     sizes = {0: 10, 1: 5000, 3: 7, 4: 900}  # one cell is empty
