@@ -83,6 +83,20 @@ def test_trees_do_not_depend_on_where_they_are_finished(frame, gather):
     assert same(SecondOrderBoosting(replace(BOOST, gather=gather), 0.3).fit(frame.coalesce(1)).nodes) == same(whole)
 
 
+@pytest.mark.parametrize(("gather", "levels"), [(300, None), (0, 4)])
+def test_small_nodes_take_one_job_and_the_last_level_none(frame, monkeypatch, gather, levels):
+    calls = {"_finished": 0, "_level": 0}
+    for name in calls:
+        def counted(*args, name=name, own=getattr(trees, name)):
+            calls[name] += 1
+            return own(*args)
+
+        monkeypatch.setattr(trees, name, counted)
+    SecondOrderBoosting(replace(BOOST, trees=1, gather=gather), 0.3).fit(frame)
+    assert calls["_finished"] == (1 if gather else 0)
+    assert levels is None or calls["_level"] == levels
+
+
 def test_passes_of_a_bounded_number_of_sums(frame, monkeypatch):
     whole = ExtraTrees(replace(EXTRA, gather=0, max_depth=4, trees=30)).fit(frame).nodes
     monkeypatch.setattr(trees, "CELLS", 1)
