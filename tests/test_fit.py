@@ -1,6 +1,7 @@
 """Fitted transforms against numpy and by hand."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -232,3 +233,41 @@ def test_saved_stop_words_and_absent_languages_come_back(spark, tmp_path):
     own = text_vectors.fit_tfidf(df, {"t": (text_vectors.title_source(), 5)}, 1, ("beta",))["t"]
     again = text_vectors.TfIdf.from_frame(own.to_frame(spark))
     assert again == own and "beta" not in again.vocabulary
+
+
+def test_first_terms_match_a_count_of_all_words_and_pairs(spark):
+    """Pairs that cannot be among the first terms are not counted; those that can are, level ones too."""
+    draw, letters = np.random.default_rng(5), "the ax bo cu du ée ﬁx Straße naïve x _y 7 ½½ ŝoŝo ŝo日 日本 本 new".split()
+    texts = [" ".join(draw.choice(letters, draw.integers(0, 9))) + draw.choice(["", ".", " !", "—ax"]) for _ in range(120)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", None]], "t string")
+    for size, min_df, stop in ((3, 2, ("the",)), (12, 3, ()), (60, 1, ("the", "new")), (4000, 2, ("the",))):
+        rows = text_vectors.terms(df.where("t IS NOT NULL"), F.col("t"), stop).select("terms").collect()
+        tf, n = Counter(t for r in rows for t in r.terms), Counter(t for r in rows for t in set(r.terms))
+        plain = sorted((-tf[t], t, n[t]) for t in tf if n[t] >= min_df)[:size]
+        found = text_vectors.top_terms(df, {"s": (F.col("t"), size)}, stop, min_df)["s"]
+        assert found == [(t, -c, k) for c, t, k in plain]
+
+
+def test_pairs_of_rare_words_are_not_counted(spark, monkeypatch):
+    """All words but one are rare: what is counted after the words must not grow with their number."""
+    df = spark.createDataFrame([(f"ax bo ax bo w{i}a w{i}b w{i}c",) for i in range(300)], "t string")
+    counted, plain = [], text_vectors._counted
+
+    def noted(*a):
+        counted.append(plain(*a))
+        return counted[-1]
+
+    monkeypatch.setattr(text_vectors, "_counted", noted)
+    top = text_vectors.top_terms(df, {"s": (F.col("t"), 2)}, (), 1)["s"]
+    assert [t for t, _, _ in top] == ["ax", "ax bo"]
+    assert counted[-1].count() == 2
+
+
+def test_few_places_take_no_power_steps(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(300, 256))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").repartition(3)
+    monkeypatch.setattr(text_vectors, "_power_step", None)
+    fitted = text_vectors.fit_svd(df, {"v": 64})["v"]
+    _, s, vt = np.linalg.svd(x, full_matrices=False)
+    assert fitted.singular_values == pytest.approx(s[:64].tolist(), rel=1e-9)
+    assert np.abs(np.array(fitted.components) @ vt[:64].T).diagonal() == pytest.approx(np.ones(64), abs=1e-6)

@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import (
-    CountVectorizerModel,
-    ElementwiseProduct,
-    NGram,
-    Normalizer,
-    StopWordsRemover,
-)
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import NGram, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,33 +32,111 @@ def terms(df: DataFrame, source: Column, stop_words: Sequence[str]) -> DataFrame
     return pairs.withColumn("terms", F.concat("kept", "pairs")).drop("tokens", "kept", "pairs")
 
 
-def term_statistics(
-    df: DataFrame, sources: Mapping[str, Column], stop_words: Sequence[str], min_df: int
-) -> DataFrame:
-    """Per source and term: total count and number of rows with it.
+#: Texts of these code points only are split in the tasks: libraries agree on their classes.
+OTHER_THAN_LATIN = r"[^\x00-\xFF]"
+LATIN_WORDS = bytes(c if chr(c).isalnum() or chr(c) == "_" else 32 for c in range(256))
+LETTERS = frozenset(map(chr, range(256)))  # words have two characters or more
+HELD_TERMS = 200_000  # counts that a task holds before it hands them on
+SECOND_WORDS = 16  # times the wanted terms: words that may end a pair, sent to the tasks
 
-    Each row emits its terms once for the count and its distinct terms once for the rows, so
-    one pass and one shuffle on the term, with partial sums before it, give everything.
+
+def split_source(source: Column) -> Column:
+    """What ``words_of`` reads: the lower-case text, or, where it has other than Latin-1 characters, its
+    words with a blank after each one."""
+    low = F.lower(source)
+    other = F.coalesce(F.rlike(low, F.lit(OTHER_THAN_LATIN)), F.lit(False))
+    words = F.concat_ws(" ", F.regexp_extract_all(low, F.lit(lx.TOKEN), F.lit(0)))
+    return F.struct(F.when(other, words).otherwise(low).alias("text"), other.alias("split"))
+
+
+def words_of(texts: Iterable[str | None], split: Iterable[bool], stop: frozenset[str]) -> Iterator[list[str]]:
+    """The words of each text as ``terms`` finds them, without pairs."""
+    left_out = stop | LETTERS
+    for text_, done in zip(texts, split, strict=True):
+        if text_ and not done:
+            text_ = text_.encode("latin-1").translate(LATIN_WORDS).decode("latin-1")
+        yield [w for w in (text_ or "").split() if w not in left_out]
+
+
+def _counted(df: DataFrame, sources: Mapping[str, Column], stop_words: Sequence[str], pick) -> DataFrame:
+    """(source, term, tf, df) of the terms that ``pick(source, words of a row)`` gives, added up. A task
+    hands on sums, and holds a bounded number of them."""
+    names, stop = list(sources), frozenset(stop_words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {n: (Counter(), Counter()) for n in names}
+
+        def handed(name: str) -> pa.RecordBatch:
+            tf, rows = held[name]
+            arrays = [pa.array([name] * len(tf)), pa.array(list(tf), pa.string()),
+                      pa.array(list(tf.values()), pa.int64()), pa.array([rows[t] for t in tf], pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, ["source", "term", "tf", "df"])
+
+        for batch in batches:
+            for name in names:
+                tf, rows = held[name]
+                text_, done = (batch.column(name).field(f).to_pylist() for f in ("text", "split"))
+                for words in words_of(text_, done, stop):
+                    found = pick(name, words)
+                    tf.update(found)
+                    rows.update(set(found))
+                    if len(tf) > HELD_TERMS:
+                        yield handed(name)
+                        tf.clear()
+                        rows.clear()
+        for name in names:
+            if held[name][0]:
+                yield handed(name)
+
+    texts = df.select(*[split_source(c).alias(n) for n, c in sources.items()])
+    parts = texts.mapInArrow(count, "source string, term string, tf long, df long")
+    return parts.groupBy("source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def top_terms(
+    df: DataFrame, sources: Mapping[str, tuple[Column, int]], stop_words: Sequence[str], min_df: int
+) -> dict[str, list[tuple[str, int, int]]]:
+    """Per source (text, size) the ``size`` most frequent words and pairs that ``min_df`` rows have, as
+    (term, tf, df) by falling tf, then by term.
+
+    Words are counted first. A pair is never more frequent than its words, and its first word comes before
+    it in the order, so a pair can be among the ``size`` first terms only if its first word is among the
+    ``size`` first words and its second word is as frequent as the last of those. Only such pairs are
+    counted, in a second pass; nothing is left out.
     """
-    tagged = df.select(*[c.alias(f"src_{name}") for name, c in sources.items()])
-    marks = []
-    for name in sources:
-        tagged = terms(tagged, F.col(f"src_{name}"), stop_words)
-        tagged = tagged.withColumnRenamed("terms", f"terms_{name}")
-        for column, tf, n in (
-            (F.col(f"terms_{name}"), 1, 0),
-            (F.array_distinct(f"terms_{name}"), 0, 1),
-        ):
-            marks.append(F.transform(column, _mark(name, tf, n)))
-    seen = tagged.select(F.inline(F.concat(*marks)))
-    totals = seen.groupBy("source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
-    return totals.where(F.col("df") >= min_df)
-
-
-def _mark(name: str, tf: int, n: int):
-    return lambda t: F.struct(
-        F.lit(name).alias("source"), t.alias("term"), F.lit(tf).alias("tf"), F.lit(n).alias("df")
-    )
+    columns = {n: c for n, (c, _) in sources.items()}
+    words = cut(_counted(df, columns, stop_words, lambda _, found: found).where(F.col("df") >= min_df), "words")
+    tops = _first(words, sources)
+    first = {n: frozenset(t for t, _, _ in rows) for n, rows in tops.items()}
+    # where more words than asked for exist, the last one bounds what a second word must have
+    least = {n: rows[-1][1] if len(rows) == sources[n][1] else 0 for n, rows in tops.items()}
+    bound = F.create_map(*[F.lit(x) for n in sources for x in (n, least.get(n, 0))])
+    able = words.where(F.col("tf") >= bound[F.col("source")]).select("source", "term")
+    # words level with the last one may be any number: beyond a bound all second words stay in
+    limit = SECOND_WORDS * sum(size for _, size in sources.values())
+    found = able.limit(limit + 1).collect()
+    second = None if len(found) > limit else {n: frozenset(r.term for r in found if r.source == n) for n in sources}
+
+    def pairs(name: str, found: list[str]) -> list[str]:
+        begins, ends = first.get(name, frozenset()), second and second[name]
+        return [f"{a} {b}" for a, b in zip(found, found[1:]) if a in begins and (ends is None or b in ends)]
+
+    counted = _counted(df, columns, stop_words, pairs).where(F.col("df") >= min_df)
+    more = _first(counted, sources)
+    order = lambda row: (-row[1], row[0])
+    return {n: sorted(tops.get(n, []) + more.get(n, []), key=order)[:size] for n, (_, size) in sources.items()}
+
+
+def _first(counted: DataFrame, sources: Mapping[str, tuple[Column, int]]) -> dict[str, list[tuple[str, int, int]]]:
+    rank = Window.partitionBy("source").orderBy(F.desc("tf"), "term")
+    size = F.create_map(*[F.lit(x) for n, (_, k) in sources.items() for x in (n, k)])[F.col("source")]
+    largest = max(k for _, k in sources.values())
+    # the rank limit is applied before the shuffle; what is collected is a vocabulary
+    top = counted.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= largest).where(F.col("rn") <= size)
+    out: dict[str, list[tuple[str, int, int]]] = {}
+    for r in sorted(top.collect(), key=lambda r: r.rn):
+        out.setdefault(r.source, []).append((r.term, r.tf, r.df))
+    return out
 
 
 @dataclass(frozen=True)
@@ -82,21 +154,21 @@ class TfIdf:
 
     def transform(self, df: DataFrame, source: Column, output: str = "tfidf") -> DataFrame:
         """Adds the weights as array<double> with Euclidean length 1 (or all 0)."""
-        steps = [
-            CountVectorizerModel.from_vocabulary(
-                self.vocabulary, inputCol="terms", outputCol="counts"
-            ),
-            ElementwiseProduct(
-                inputCol="counts", outputCol="weights", scalingVec=Vectors.dense(self.idf)
-            ),
-            Normalizer(inputCol="weights", outputCol="unit", p=2.0),
-        ]
-        out = terms(df, source, self.stop_words)
-        for step in steps:
-            out = step.transform(out)
-        return out.withColumn(output, vector_to_array("unit")).drop(
-            "terms", "counts", "weights", "unit"
-        )
+        place = {t: i for i, t in enumerate(self.vocabulary)}
+        idf, stop = np.array(self.idf), frozenset(self.stop_words)
+
+        @F.pandas_udf("array<double>")
+        def weights(rows: pd.DataFrame) -> pd.Series:
+            out = np.zeros((len(rows), len(idf)))
+            for row, words in zip(out, words_of(rows["text"], rows["split"], stop), strict=True):
+                for term, n in Counter(chain(words, map(" ".join, zip(words, words[1:])))).items():
+                    if (at := place.get(term)) is not None:
+                        row[at] = n
+            out *= idf
+            length = np.sqrt((out * out).sum(1))[:, None]
+            return pd.Series(list(out / np.where(length > 0, length, 1.0)), dtype=object)
+
+        return df.withColumn(output, weights(split_source(source)))
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(i, t, d, self.n_rows) for i, (t, d) in enumerate(zip(self.vocabulary, self.doc_freq))]
@@ -121,14 +193,10 @@ def fit_tfidf(
     stop_words: Sequence[str] = lx.ENGLISH_STOP_WORDS,
 ) -> dict[str, TfIdf]:
     """Per source (text, size) the ``size`` most frequent terms that ``min_df`` rows have."""
-    stats = term_statistics(df, {n: c for n, (c, _) in sources.items()}, stop_words, min_df)
-    rank = Window.partitionBy("source").orderBy(F.desc("tf"), "term")
-    largest = max(size for _, size in sources.values())
-    # the rank limit is applied before the shuffle; what is collected is a vocabulary
-    top = stats.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= largest).collect()
+    top = top_terms(df, sources, stop_words, min_df)
     n_rows, out = df.count(), {}
-    for name, (_, size) in sources.items():
-        rows = sorted((r.term, r.df) for r in top if r.source == name and r.rn <= size)
+    for name in sources:
+        rows = sorted((term, n) for term, _, n in top[name])
         if not rows:
             raise ValueError(f"no term of {name} occurs in {min_df} rows")
         out[name] = TfIdf([t for t, _ in rows], [d for _, d in rows], n_rows, tuple(stop_words))
@@ -175,6 +243,7 @@ class TruncatedSvd:
 
 
 OVERSAMPLING = 10
+FEW_PLACES = 512  # so many places are their own directions: one pass over the rows, no power step
 BLOCK_ROWS = 256
 FAN_IN = 64
 
@@ -203,7 +272,7 @@ def fit_svd(
         size, k = sizes[name] or 0, columns[name]
         if size < 1 or k > size:
             raise ValueError(f"cannot take {k} components out of {size} columns")
-        width = min(k + OVERSAMPLING, size)
+        width = size if size <= FEW_PLACES else min(k + OVERSAMPLING, size)
         # directions that span everything need no power step
         found[name] = np.eye(size) if width == size else random.normal(size=(size, width))
     found = {n: np.linalg.qr(q)[0] for n, q in found.items()}
