@@ -152,3 +152,22 @@ def test_white_space_classes_agree():
         c = chr(code)
         assert c.isspace() == (c in lx.WS_CHARS), hex(code)
     assert math.isclose(len(lx.WS_CHARS), 29)
+
+
+def test_keywords_and_words_need_no_pattern_where_there_is_nothing_to_find(spark):
+    """Patterns cost far more than plain searches: flags and word counts take none, keyword counts only
+    where a keyword is there. Results are those of the patterns."""
+    keys = ("fun", "unfair", "learn")
+    texts = ["", " ", "Fun", "funfun", "unfunfair learnlearn", "fu n", " a\tb　c  ", "lear", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    pattern = F.lit("|".join(keys))
+    plain = (F.coalesce(F.lower(t).rlike("|".join(keys)), F.lit(False)).cast("int"), F.regexp_count(F.lower(t), pattern),
+             F.regexp_count(text.plain_spaces(t), F.lit("[^ ]+")))
+    fast = (text.has_any(t, keys), text.keyword_hits(t, keys), text.n_words(t))
+    rows = df.select(*[a.eqNullSafe(b) for a, b in zip(plain, fast, strict=True)]).collect()
+    assert all(all(r) for r in rows)
+    for column in (fast[0], fast[2]):
+        shown = str(column).lower()
+        assert "rlike" not in shown and "regexp" not in shown
+    assert "contains" in str(fast[1]).lower()

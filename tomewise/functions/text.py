@@ -34,7 +34,7 @@ def plain_spaces(x: Column) -> Column:
 
 
 def n_words(x: Column) -> Column:
-    return F.regexp_count(plain_spaces(x), F.lit("[^ ]+"))
+    return F.array_size(words(x))
 
 
 def words(x: Column) -> Column:
@@ -52,8 +52,10 @@ def avg_word_length(x: Column) -> Column:
 
 
 def keyword_hits(x: Column, keywords: Iterable[str]) -> Column:
-    """Non-overlapping occurrences of any of the keywords (they count repeatedly)."""
-    return F.regexp_count(F.lower(x), F.lit("|".join(keywords)))
+    """Non-overlapping occurrences of any of the keywords (they count repeatedly). Keywords are plain
+    strings; only texts that hold one are searched by the pattern, which costs far more."""
+    low, keywords = F.lower(x), list(keywords)
+    return F.when(contains_any(low, keywords), F.regexp_count(low, F.lit("|".join(keywords)))).otherwise(F.when(low.isNotNull(), F.lit(0)))
 
 
 def keywords_present(lowered: Column, keywords: Iterable[str]) -> Column:
@@ -63,8 +65,12 @@ def keywords_present(lowered: Column, keywords: Iterable[str]) -> Column:
     )
 
 
+def contains_any(lowered: Column, keywords: Iterable[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(k)) for k in keywords])
+
+
 def has_any(x: Column, keywords: Iterable[str]) -> Column:
-    return flag(F.lower(x).rlike("|".join(keywords)))
+    return flag(contains_any(F.lower(x), keywords))
 
 
 # --------------------------------------------------------------------- features
@@ -239,7 +245,7 @@ def format_flags(lowered: Column, prefix: str = "fmt_") -> dict[str, Column]:
     """Format named in the text. The prefix keeps these apart from the page-count
     bands, two of which would otherwise carry the same name."""
     return {
-        f"{prefix}is_{name}": flag(lowered.rlike("|".join(kws)))
+        f"{prefix}is_{name}": flag(contains_any(lowered, kws))
         for name, kws in lx.FORMAT_KEYWORDS.items()
     }
 
