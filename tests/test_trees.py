@@ -4,11 +4,12 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 
-from tomewise.operators import trees
-from tomewise.operators.trees import ExtraTrees, Growth, SecondOrderBoosting, TreeEnsemble
+from tomewise.operators import training, trees
+from tomewise.operators.trees import ExtraTrees, Growth, RandomForest, SecondOrderBoosting, TreeEnsemble
 
 
 @pytest.fixture(scope="module")
@@ -166,3 +167,89 @@ def test_one_row_and_no_rows(spark):
         with pytest.raises(ValueError):
             model.fit(frame.limit(0))
         assert model.fit(frame).predict(np.array([[5.0]])).tolist() == [2.0]
+
+
+FOREST = Growth(random=False, trees=3, max_depth=5, min_leaf=2, bootstrap=True)
+
+
+def test_forest_splits_are_the_best_for_the_rows_drawn(frame, data):
+    """Covers, values and gains of every node from its rows, each as often as it was drawn."""
+    model = RandomForest(FOREST).fit(frame)
+    rows = trees.rows_of(frame, "label", key="book_id")
+    held = rows.toPandas()
+    x, y, row = np.stack(held["x"]), held["label"].to_numpy(), held["row"].to_numpy()
+    code = trees.coded(x, trees.forest_edges(rows, x.shape[1], len(x)))
+    growth = replace(FOREST, trees=1)
+    for tree in range(3):
+        times = np.searchsorted(trees.DRAWS, trees.mixed(growth.seed + 2, tree, row), side="right")
+        assert 0.9 < times.mean() < 1.1 and times.max() >= 3 and (times == 0).mean() == pytest.approx(np.exp(-1), abs=0.05)
+        drawn = np.repeat(np.arange(len(x)), times)
+        g = (model.base - y)[drawn]
+
+        def best_of(own, drawn=drawn, g=g):
+            best, c = 0.0, code[drawn[own]]
+            for f in range(x.shape[1]):
+                for edge in range(trees.FOREST_BINS - 1):
+                    for missing in (False, True):
+                        left = np.where(c[:, f] == trees.FOREST_BINS, missing, c[:, f] <= edge)
+                        a, b = own[left], own[~left]
+                        if min(len(a), len(b)) >= 2:
+                            best = max(best, score(g[a].sum(), len(a), growth) + score(g[b].sum(), len(b), growth) - score(g[own].sum(), len(own), growth))
+            return best
+
+        checked([(0, *n[1:]) for n in model.nodes if n[0] == tree], x[drawn], g, growth, best_of)
+
+
+def test_forest_does_not_depend_on_where_it_is_finished(frame):
+    some = replace(FOREST, node_features="0.5")
+    whole = RandomForest(some).fit(frame)
+    assert same(RandomForest(replace(some, gather=150)).fit(frame.coalesce(1)).nodes) == same(whole.nodes)
+    assert same(RandomForest(replace(some, gather=0)).fit(frame).nodes) == same(whole.nodes)
+    assert np.isfinite(whole.predict(np.zeros((1, 6)))).all()
+
+
+def test_named_forest_takes_one_job_for_small_nodes(spark, frame, monkeypatch):
+    """Spark's forest made dense sums of every feature for each of some 1,000 nodes a tree in every task."""
+    calls = []
+    monkeypatch.setattr(trees, "_finished", lambda *a, own=trees._finished: calls.append(1) or own(*a))
+    forest = training.regressor("random_forest", label="label", n_estimators=20, max_depth=10).fit(frame)
+    assert calls == [1] and {n[0] for n in forest.nodes} == set(range(20))
+    with pytest.raises(AnalysisException):
+        training.regressor("random_forest", label="label").setFeaturesCol("none").fit(frame)
+
+
+def test_rows_of_equal_features_are_drawn_apart(spark):
+    rows = [(i, Vectors.dense([1.0]), 2.0) for i in range(100)]
+    frame = spark.createDataFrame(rows, ["book_id", "features", "label"])
+    assert trees.rows_of(frame, "label", key="book_id").select("row").distinct().count() == 100
+    assert RandomForest(FOREST).fit(frame).predict(np.array([[5.0]])).tolist() == [2.0]
+    with pytest.raises(ValueError):
+        RandomForest(FOREST).fit(frame.limit(0))
+
+
+def test_split_points_and_numbers_of_features():
+    assert trees.split_points(np.array([1.0, 2.0, 4.0]), np.array([5, 1, 1]), 32) == [1.5, 3.0]
+    points = trees.split_points(np.arange(1000.0), np.array([9000, *[1] * 999]), 32)
+    assert len(points) == 31 and points[:2] == [0.5, 1.5]  # behind the frequent value, as early as may be
+    even = trees.split_points(np.arange(320.0), np.ones(320, int), 32)
+    assert even == [9.5 + 10 * k for k in range(31)]
+    got = {s: trees.features_of_node(s, 43) for s in ("all", "0.8", "sqrt", "log2", "onethird", "7", "1.0")}
+    assert got == {"all": 43, "0.8": 35, "sqrt": 7, "log2": 6, "onethird": 15, "7": 7, "1.0": 43}
+    with pytest.raises(ValueError):
+        trees.features_of_node("some", 43)
+
+
+def test_forest_is_as_good_as_spark_s(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2400, 8))
+    y = x[:, 0] * 2 + np.sin(3 * x[:, 1]) + (x[:, 2] > 0) + 0.3 * rng.normal(size=2400)
+    rows = [(Vectors.dense(a), float(b)) for a, b in zip(x, y, strict=True)]
+    train, test = (spark.createDataFrame(part, ["features", "label"]).coalesce(2).cache() for part in (rows[:1800], rows[1800:]))
+    own = RandomForest(Growth(random=False, trees=30, max_depth=10, bootstrap=True)).fit(train)
+    spark_s = RandomForestRegressor(numTrees=30, maxDepth=10, featureSubsetStrategy="all", seed=1).fit(train)
+
+    def r2(model):
+        a, p = np.array([(r.label, r.prediction) for r in model.transform(test).select("label", "prediction").collect()]).T
+        return 1 - ((a - p) ** 2).sum() / ((a - a.mean()) ** 2).sum()
+
+    assert r2(own) == pytest.approx(r2(spark_s), abs=0.02)
