@@ -37,7 +37,7 @@ SLOTS, SLOT_SHIFT = 1 << 24, np.uint64(40)  # of shingle hashes, by their first
 SAMPLE, SHARED = 8_000, 3  # documents looked at for common shingles, and how many share one
 TILE = 8 << 20  # bytes of shingle hashes in a tile
 LEAF = 16  # points of a leaf, and leaves of a box
-FACTS = "doc_id long, key long, n long, node long, slabs array<long>"
+FACTS = "doc_id long, key long, n long, node long"
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -153,31 +153,46 @@ def common_shingles(docs: DataFrame, words: int, sample: int = SAMPLE) -> np.nda
     return out
 
 
-def _facts(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """FACTS of every row; the keys of a set are given once in a task."""
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
+def _facts(docs: DataFrame, words: int) -> DataFrame:
+    """FACTS of every row."""
 
     def run(batches):
-        seen: set[int] = set()
         for batch in chunks(batches, limit=2 << 20):
             sets = shingle_sets([lower_words(t) for t in texts(batch)], words)
             nodes = np.array([int(mixed(s).sum(dtype=np.uint64)) for s in sets], np.uint64).astype(np.int64)
-            ids = batch.column("doc_id").to_pylist()
-            fresh = []
-            for i, (s, node, doc_id) in enumerate(zip(sets, nodes.tolist(), ids, strict=True)):
-                if len(s) and doc_id is not None and node not in seen:
-                    seen.add(node)
-                    fresh.append(i)
-            keys: list = [None] * len(sets)
-            for i, k in zip(fresh, slab_keys([sets[i] for i in fresh], percent, common.value), strict=True):
-                keys[i] = k.astype(np.int64)
             columns = [batch.column("doc_id").cast(pa.int64()), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()),
-                       pa.array(nodes, mask=np.array([not len(s) for s in sets])), pa.array(keys, pa.list_(pa.int64()))]
+                       pa.array(nodes, mask=np.array([not len(s) for s in sets]))]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FACTS.split(", ")])
 
     return docs.select("doc_id", "text", text_key().alias("key")).mapInArrow(run, FACTS)
 
 
+def _slabs(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """key, node of every slab of the sets of rows with an id; those of a set are given once in a task.
+
+    They take about as much room as the texts, so they are never written: they go straight to their shuffle.
+    """
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in chunks(batches, limit=2 << 20):
+            sets = shingle_sets([lower_words(t) for t in texts(batch)], words)
+            fresh, nodes = [], []
+            for s in sets:
+                node = int(mixed(s).sum(dtype=np.uint64))
+                if len(s) and node not in seen:
+                    seen.add(node)
+                    fresh.append(s)
+                    nodes.append(node)
+            keys = slab_keys(fresh, percent, common.value)
+            owner = np.repeat(np.array(nodes, np.uint64).astype(np.int64), [len(k) for k in keys])
+            flat = np.concatenate([*keys, np.zeros(0, np.uint64)]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(owner)], ["key", "node"])
+
+    return docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "key long, node long")
+
+
 def _stars(batches):
     """An edge from the first node of each key to its other nodes, from rows sorted by key and node."""
     key, hub, seen = None, None, set()
@@ -345,8 +360,8 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
 def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, key of the text, n_shingles, component_id of every row of doc_id, text."""
     docs = docs.select("doc_id", "text")
-    facts = cut(_facts(docs, words, percent), "join-facts")
-    dealt = facts.select(F.explode("slabs").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
+    facts = cut(_facts(docs, words), "join-facts")
+    dealt = _slabs(docs, words, percent).repartition("key").sortWithinPartitions("key", "node")
     clusters = components(cut(dealt.mapInArrow(_stars, "a long, b long").distinct(), "join-stars"))
     clusters = cut(clusters.withColumnRenamed("root", "cluster"), "join-clusters")
     nodes = facts.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
