@@ -253,3 +253,40 @@ def test_forest_is_as_good_as_spark_s(spark):
         return 1 - ((a - p) ** 2).sum() / ((a - a.mean()) ** 2).sum()
 
     assert r2(own) == pytest.approx(r2(spark_s), abs=0.02)
+
+
+def test_boosted_trees_of_a_small_table_take_no_job_each(frame, monkeypatch):
+    """Each tree took two jobs or more, which was most of the time of 300 trees."""
+    calls = []
+    for name in ("_level", "_finished"):
+        monkeypatch.setattr(trees, name, lambda *a, own=getattr(trees, name), **k: calls.append(1) or own(*a, **k))
+    model = SecondOrderBoosting(BOOST, 0.3).fit(frame)
+    assert not calls and {n[0] for n in model.nodes} == set(range(BOOST.trees))
+
+
+def test_nodes_are_looked_up_in_bounded_groups(spark, frame, data, monkeypatch, tmp_path):
+    """The driver held a tuple for each node of all trees, which follow the rows in number."""
+    x, _ = data
+    forest = RandomForest(FOREST).fit(frame)
+    whole, want = sorted(forest.nodes), forest.predict(x)
+    assert not forest._nodes and np.allclose(forest.predict(x), TreeEnsemble(whole, forest.base, forest.scale, 6).predict(x))
+    shares = forest.featureImportances
+    monkeypatch.setattr(trees, "GROUP", 1)
+    assert all(len(set(g["tree"].tolist())) == 1 for g in forest.groups())
+    vectors = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], ["i", "features"])
+    got = [r.prediction for r in forest.transform(vectors).orderBy("i").collect()]
+    assert np.allclose(got, want, atol=1e-12) and forest.featureImportances == shares
+    forest.save(spark, str(tmp_path / "forest"))
+    assert sorted(TreeEnsemble.load(spark, str(tmp_path / "forest")).nodes) == whole
+
+
+def test_ties_do_not_follow_the_order_of_sums():
+    edges, rng = np.array([[0.5], [0.5]]), np.random.default_rng(1)
+    left = rng.random(40) < 0.5
+    code = np.stack([left, ~left]).astype(np.uint8)  # both features part the rows alike, the other way round
+    g, growth = rng.normal(size=40), replace(BOOST, trees=1, columns=1.0, rows=1.0, max_depth=1)
+    for _ in range(20):
+        order = rng.permutation(40)
+        root, ones = trees.Open(np.array([0]), np.array([1])), np.ones(40)
+        made = trees.finish_binned(np.ascontiguousarray(code[:, order]), g[order], ones, np.zeros(40, int), root, edges, growth)
+        assert made["feature"][0] == 0
